@@ -304,32 +304,38 @@ def earliest_rows(df: DataFrame, time: str, n: int, *tiebreak: str) -> DataFrame
     return df.orderBy(time, *tiebreak).limit(n)
 
 
-def concat_fragments(
+def fragment_pieces(
     df: DataFrame, key: str, order: str, line: str, *, field: str = "response", span: int = 10_000
 ) -> DataFrame:
-    """Join the text fragments of JSON lines per key, in order.
+    """Text of JSON lines joined per key and `span` of the order: (key, piece, text).
 
-    Blank and malformed lines are skipped, a missing field counts as empty text. Fragments are
-    joined per `span` of the order first, so a key with very many lines is spread over many tasks
-    and only its finished pieces meet.
+    Blank and malformed lines are skipped, a missing field counts as empty text. A key with very
+    many lines is spread over as many tasks as it has pieces.
     """
-    read = F.from_json(line, f"{field} STRING, broken STRING", {"columnNameOfCorruptRecord": "broken"})
-    usable = F.col(line).isNotNull() & (F.trim(line) != "")
-    fragments = (
-        df.filter(usable)
+    schema = f"{field} STRING, broken STRING"
+    read = F.from_json(line, schema, {"columnNameOfCorruptRecord": "broken"})
+    text = F.when(F.col("read.broken").isNull(), F.coalesce(f"read.{field}", F.lit("")))
+    return (
+        df.filter(F.trim(line) != "")
         .select(key, order, read.alias("read"))
-        .select(
-            key,
-            order,
-            F.floor(F.col(order) / span).alias("piece"),
-            F.when(F.col("read.broken").isNull(), F.coalesce(f"read.{field}", F.lit(""))).alias("text"),
-        )
+        .select(key, order, F.floor(F.col(order) / span).alias("piece"), text.alias("text"))
+        .filter("text IS NOT NULL")
+        .groupBy(key, "piece")
+        .agg(_joined_text(order).alias("text"))
     )
 
-    def joined(position):
-        ordered = F.sort_array(F.collect_list(F.struct(position, "text")))
-        return F.array_join(F.transform(ordered, lambda item: item["text"]), "")
 
-    pieces = fragments.filter("text IS NOT NULL").groupBy(key, "piece").agg(joined(order).alias("text"))
-    texts = pieces.groupBy(key).agg(joined("piece").alias("text"))
-    return texts
+def concat_fragments(
+    df: DataFrame, key: str, order: str, line: str, *, field: str = "response", span: int = 10_000
+) -> DataFrame:
+    """The whole text per key: its finished pieces in order.
+
+    The result is one value per key by definition; `fragment_pieces` keeps longer texts apart.
+    """
+    pieces = fragment_pieces(df, key, order, line, field=field, span=span)
+    return pieces.groupBy(key).agg(_joined_text("piece").alias("text"))
+
+
+def _joined_text(position: str) -> Column:
+    ordered = F.sort_array(F.collect_list(F.struct(position, "text")))
+    return F.array_join(F.transform(ordered, lambda item: item["text"]), "")

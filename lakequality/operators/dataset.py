@@ -161,11 +161,15 @@ def bronze_validation(bronze: DataFrame, flag: str = "is_valid") -> DataFrame:
         F.count_if(F.col("record_id").isNull()).alias("null_ids"),
         F.count_if(is_blank("raw_payload")).alias("empty"),
     )
+
+    def part(check, item, n):
+        return F.struct(F.lit(check).alias("check"), item.alias("item"), F.col(n).alias("n"))
+
     parts = F.array(
-        F.struct(F.lit("null_record_ids").alias("check"), F.lit("").alias("item"), F.col("null_ids").alias("n")),
-        F.struct(F.lit("empty_payloads"), F.lit(""), F.col("empty")),
-        F.struct(F.lit("validity"), F.coalesce(F.col(flag).cast("string"), F.lit("")), F.col("n")),
-        F.struct(F.lit("date"), F.col("ingestion_date").cast("string"), F.col("n")),
+        part("null_record_ids", F.lit(""), "null_ids"),
+        part("empty_payloads", F.lit(""), "empty"),
+        part("validity", F.coalesce(F.col(flag).cast("string"), F.lit("")), "n"),
+        part("date", F.coalesce(F.col("ingestion_date").cast("string"), F.lit("")), "n"),
     )
     return cells.select(F.inline(parts)).groupBy("check", "item").agg(F.sum("n").alias("n"))
 

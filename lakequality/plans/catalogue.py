@@ -2,6 +2,8 @@
 
 from lakequality.plans import (  # noqa: F401
     bronze,
+    quality,
+    rules,
     silver,
 )
 from lakequality.plans.registry import ORACLES, QUERIES

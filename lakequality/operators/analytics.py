@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakequality.operators.dataset import duplicate_keys
 from lakequality.operators.quality import FAIL, PASS, WARNING
 
 
@@ -109,6 +110,24 @@ def top_failure_reasons(df: DataFrame, k: int = 5) -> DataFrame:
     return top_groups(df.filter(F.col("quality_flag") == FAIL), ["failure_reason"], k)
 
 
+def failures_by(df: DataFrame, dimensions: Sequence[str], k: int = 5) -> DataFrame:
+    """The k values of each dimension with the most failed rows, from one scan.
+
+    The ranking runs on counted values; Spark cuts it to k per dimension before the shuffle.
+    """
+    pairs = F.array(
+        *(
+            F.struct(F.lit(name).alias("dimension"), F.col(name).cast("string").alias("value"))
+            for name in dimensions
+        )
+    )
+    failed = df.filter(F.col("quality_flag") == FAIL)
+    counted = counts_by(failed.select(F.inline(pairs)), "dimension", "value")
+    most_first = Window.partitionBy("dimension").orderBy(F.desc("n"), "value")
+    ranked = counted.withColumn("place", F.row_number().over(most_first))
+    return ranked.filter(F.col("place") <= k)
+
+
 def financial_failures(df: DataFrame) -> DataFrame:
     """How many failed rows name the total or its calculation as the reason."""
     reason = F.col("failure_reason")
@@ -259,19 +278,27 @@ def silver_metrics(df: DataFrame) -> DataFrame:
     )
 
 
-def quality_report(df: DataFrame, dimensions: Mapping[str, Column]) -> DataFrame:
+def quality_report(
+    df: DataFrame, dimensions: Mapping[str, Column], unique_keys: Sequence[str] = ()
+) -> DataFrame:
     """Rows, failures per quality dimension, and the pass rate the failures leave, in percent.
 
-    A row that fails in two dimensions counts twice, as reports of this kind do.
+    A row that fails in two dimensions counts twice, as reports of this kind do; with
+    `unique_keys`, each repeated key is one failure more.
     """
+    names = list(dimensions)
     failures = [
         F.count_if(~F.coalesce(good, F.lit(False))).alias(f"{name}_failures")
         for name, good in dimensions.items()
     ]
-    total_failures = sum((F.col(f"{name}_failures") for name in dimensions), F.lit(0))
+    report = df.agg(_count().alias("total_records"), *failures)
+    if unique_keys:
+        names.append("uniqueness")
+        repeated = duplicate_keys(df, unique_keys).agg(_count()).scalar()
+        report = report.withColumn("uniqueness_failures", repeated)
+    total_failures = sum((F.col(f"{name}_failures") for name in names), F.lit(0))
     return (
-        df.agg(_count().alias("total_records"), *failures)
-        .withColumn("rules_executed", F.lit(len(dimensions)))
+        report.withColumn("rules_executed", F.lit(len(names)))
         .withColumn(
             "pass_rate",
             (F.col("total_records") - total_failures) * 100.0 / F.col("total_records"),
@@ -309,17 +336,19 @@ def fragment_pieces(
 ) -> DataFrame:
     """Text of JSON lines joined per key and `span` of the order: (key, piece, text).
 
-    Blank and malformed lines are skipped, a missing field counts as empty text. A key with very
+    Blank and malformed lines add nothing, a missing field counts as empty text. A key with very
     many lines is spread over as many tasks as it has pieces.
     """
     schema = f"{field} STRING, broken STRING"
     read = F.from_json(line, schema, {"columnNameOfCorruptRecord": "broken"})
-    text = F.when(F.col("read.broken").isNull(), F.coalesce(f"read.{field}", F.lit("")))
     return (
-        df.filter(F.trim(line) != "")
-        .select(key, order, read.alias("read"))
-        .select(key, order, F.floor(F.col(order) / span).alias("piece"), text.alias("text"))
-        .filter("text IS NOT NULL")
+        df.select(key, order, read.alias("read"))
+        .select(
+            key,
+            order,
+            F.floor(F.col(order) / span).alias("piece"),
+            F.when(F.col("read.broken").isNull(), F.col(f"read.{field}")).alias("text"),
+        )
         .groupBy(key, "piece")
         .agg(_joined_text(order).alias("text"))
     )

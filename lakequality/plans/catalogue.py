@@ -2,9 +2,14 @@
 
 from lakequality.plans import (  # noqa: F401
     bronze,
+    incremental,
+    maintenance,
+    monitoring,
     quality,
+    reports,
     rules,
     silver,
+    streams,
 )
 from lakequality.plans.registry import ORACLES, QUERIES
 

@@ -42,7 +42,7 @@ def presentable(df: DataFrame) -> DataFrame:
         if isinstance(kind, T.TimestampType):
             return column.cast("timestamp_ntz")
         if isinstance(kind, T.DecimalType):
-            return column.cast("double")
+            return F.round(column.cast("double"), 6)
         if isinstance(kind, T.DoubleType):
             return F.round(column, 6)
         if isinstance(kind, T.ArrayType):

@@ -69,8 +69,20 @@ class _Broken:
     def count(self) -> Column:
         return reduce(lambda left, right: left + right, [F.bit_count(name) for name in self.names])
 
-    def joined(self, text, separator: str) -> Column:
-        return F.concat_ws(separator, *(F.when(hit, text(rule)) for rule, hit in self.bits()))
+    def listed(self, text) -> Column:
+        """The texts of the broken rules, in rule order.
+
+        A filter over a constant array keeps the generated code small however many rules there are.
+        """
+
+        def broken_in(name):
+            return lambda _, bit: F.getbit(F.col(name), bit) == 1
+
+        parts = [
+            F.filter(F.array(*(F.lit(text(rule)) for rule in chunk)), broken_in(name))
+            for name, chunk in zip(self.names, self.chunks)
+        ]
+        return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
 def mark_broken(df: DataFrame, rules: RuleSet) -> tuple[DataFrame, _Broken]:
@@ -127,14 +139,16 @@ def validate(
         failed = F.when(flag == PASS, 0).otherwise(total)
         score_mode = "binary"
     none_broken = ~broken.any()
-    results = F.split(broken.joined(lambda rule: rule.name, "|"), r"\|")
     return marked.withColumns(
         {
             "quality_flag": flag,
             "failure_reason": F.when(
-                ~none_broken, broken.joined(lambda rule: rule.text, REASON_SEPARATOR)
+                ~none_broken,
+                F.array_join(broken.listed(lambda rule: rule.text), REASON_SEPARATOR),
+            ),
+            "rule_results": F.when(none_broken, F.array(F.lit(ALL_PASSED))).otherwise(
+                broken.listed(lambda rule: rule.name)
             ),
-            "rule_results": F.when(none_broken, F.array(F.lit(ALL_PASSED))).otherwise(results),
             "quality_score": score(failed, total, score_mode),
             "validated_at": F.current_timestamp() if at is None else at,
             "lineage_id": F.lit(None).cast("string") if lineage_id is None else lineage_id,
@@ -156,7 +170,7 @@ def validate_basic(df: DataFrame, rules: RuleSet, *, at: Column | None = None) -
                 bad,
                 F.concat(
                     F.lit("Validation failed: "),
-                    broken.joined(lambda rule: rule.text, REASON_SEPARATOR),
+                    F.array_join(broken.listed(lambda rule: rule.text), REASON_SEPARATOR),
                 ),
             ),
             "rule_results": F.array(F.when(bad, BASIC_FAILED).otherwise(BASIC_PASSED)),
@@ -183,13 +197,21 @@ def failed_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col("quality_flag") == FAIL)
 
 
-def split(df: DataFrame, rules: RuleSet) -> tuple[DataFrame, DataFrame]:
-    """Rows that break no rule, and the quarantine for the rest."""
+def with_side(df: DataFrame, rules: RuleSet, name: str = "quarantined") -> DataFrame:
+    """Every row with whether it breaks a rule: the partition column of a quarantine split."""
     marked, broken = mark_broken(df, rules)
-    bad = broken.any()
+    return marked.withColumn(name, broken.any()).drop(*broken.names)
+
+
+def split(df: DataFrame, rules: RuleSet) -> tuple[DataFrame, DataFrame]:
+    """Rows that break no rule, and the quarantine for the rest.
+
+    Each side reads and checks the input again; `sinks.write_split` checks it once for both.
+    """
+    sided = with_side(df, rules)
     return (
-        marked.filter(~bad).drop(*broken.names),
-        marked.filter(bad).drop(*broken.names),
+        sided.filter(~F.col("quarantined")).drop("quarantined"),
+        sided.filter("quarantined").drop("quarantined"),
     )
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakequality import schemas
+from lakequality.operators.quality import with_side
+from lakequality.operators.rules import RuleSet
 
 MAX_RECORDS_PER_FILE = 50_000
 
@@ -60,10 +62,13 @@ def save_table(
     writer.saveAsTable(table)
 
 
-def write_quarantine(good: DataFrame, bad: DataFrame, good_path: str, bad_path: str) -> None:
-    """Append the two sides of a split to their own folders."""
-    good.write.mode("append").parquet(good_path)
-    bad.write.mode("append").parquet(bad_path)
+def write_split(
+    df: DataFrame, rules: RuleSet, path: str, *, mode: str = "append"
+) -> tuple[DataFrame, DataFrame]:
+    """Check a batch once and write both sides, partitioned by side; returns good and quarantine."""
+    with_side(df, rules).write.mode(mode).partitionBy("quarantined").parquet(path)
+    written = df.sparkSession.read.parquet(path)
+    return written.filter(~F.col("quarantined")), written.filter(F.col("quarantined"))
 
 
 def export_report(report: DataFrame, path: str) -> None:

@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 from lakequality.functions import scalars
 from lakequality.operators import bronze, dataset, silver, sinks
 from lakequality.plans import sql
-from lakequality.plans.registry import query
-from lakequality.session import work_dir
+from lakequality.plans.registry import query, stored
 from lakequality.sources import files, samples
 
 
@@ -204,21 +203,17 @@ def event_envelope(spark, sf_dir):
     )
 
 
-_WRITTEN: dict[tuple[str, str], str] = {}
+def written_bronze(spark, sf_dir):
+    """Bronze events as a table by date and hour.
 
+    Ranges over date, hour and id give few files per folder, and cut a hot hour into ranges.
+    """
 
-def written_bronze(spark, sf_dir):
-    """Bronze events as a table by date and hour in the shared folder, written once per session."""
-    samples.table(spark, sf_dir, "events")
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _WRITTEN:
-        path = work_dir(spark, "bronze")
+    def build():
         rows = samples.bronze_events(spark, sf_dir)
-        # Ranges over date, hour and id: few files per folder, and a hot hour is cut into ranges.
-        ranged = rows.repartitionByRange("ingestion_date", "ingestion_hour", "record_id")
-        sinks.write_partitioned(ranged, path)
-        _WRITTEN[key] = path
-    return spark.read.parquet(_WRITTEN[key])
+        return rows.repartitionByRange("ingestion_date", "ingestion_hour", "record_id")
+
+    return stored(spark, sf_dir, "bronze", build, ["ingestion_date", "ingestion_hour"])
 
 
 @query(

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from lakequality.operators import analytics, incremental, packs, quality
 from lakequality.plans import sql
-from lakequality.plans.quality import validated_orders
+from lakequality.plans.quality import silver_orders
 from lakequality.plans.registry import query
 from lakequality.plans.rules import ITEM, ITEM_SQL
 from lakequality.sources import samples
@@ -82,7 +82,7 @@ def upsert_merge(spark, sf_dir):
 @query("union_layers", f"WITH {sql.VALIDATED} SELECT {ITEM_SQL}, failed_rules > 0 AS quarantined FROM validated")
 def union_layers(spark, sf_dir):
     rules = packs.order_rules(samples.ORDERS_AS_OF)
-    passed, quarantined = quality.split(samples.order_items(spark, sf_dir).select("*"), rules)
+    passed, quarantined = quality.split(samples.order_items(spark, sf_dir), rules)
     good = passed.select(*ITEM, F.lit(False).alias("quarantined"))
     bad = quarantined.select(F.lit(True).alias("quarantined"), *ITEM)
     return incremental.union_all([good, bad])
@@ -124,7 +124,7 @@ FROM validated ORDER BY ship_date, {ITEM_SQL}, vendor_id, quantity LIMIT 10
 """,
 )
 def lineage_sample(spark, sf_dir):
-    rows = validated_orders(spark, sf_dir).withColumn("lineage_id", quality.lineage("orders", 0))
+    rows = silver_orders(spark, sf_dir).withColumn("lineage_id", quality.lineage("orders", 0))
     return analytics.earliest_rows(rows, "validated_at", 10, *ITEM, "vendor_id", "quantity").select(
         "validated_at", *ITEM, "vendor_id", "quality_flag", "lineage_id"
     )

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lakequality.operators import maintenance
 from lakequality.plans import sql
 from lakequality.plans.bronze import written_bronze
-from lakequality.plans.quality import validated_orders
+from lakequality.plans.quality import silver_orders
 from lakequality.plans.registry import query
 from lakequality.session import work_dir
 from lakequality.sources import samples
@@ -22,7 +22,7 @@ FROM validated GROUP BY 1, 2
 """,
 )
 def table_statistics(spark, sf_dir):
-    rows = validated_orders(spark, sf_dir).withColumns(
+    rows = silver_orders(spark, sf_dir).withColumns(
         {"order_year": F.year("order_date"), "order_month": F.month("order_date")}
     )
     return maintenance.table_statistics(rows, ["order_year", "order_month"])

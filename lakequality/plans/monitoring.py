@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from lakequality.operators import analytics, monitor, quality
 from lakequality.plans import sql
-from lakequality.plans.quality import validated_orders
+from lakequality.plans.quality import silver_orders
 from lakequality.plans.registry import query
 
 
@@ -28,7 +28,7 @@ FROM overview
 """,
 )
 def quality_status(spark, sf_dir):
-    overview = analytics.quality_overview(validated_orders(spark, sf_dir))
+    overview = analytics.quality_overview(silver_orders(spark, sf_dir))
     return monitor.quality_status(overview).select(
         "total_records", "quality_rate", "quality_status", "meets_threshold", "recommendations"
     )
@@ -48,7 +48,7 @@ metrics AS (
 
 def monthly_metrics(spark, sf_dir):
     return monitor.collect_metrics(
-        validated_orders(spark, sf_dir),
+        silver_orders(spark, sf_dir),
         F.trunc("order_date", "month").alias("period"),
         passed=F.col("quality_flag") != quality.FAIL,
         low=F.col("quality_score") < 0.9,
@@ -159,7 +159,7 @@ FROM metrics
 """,
 )
 def sla_compliance(spark, sf_dir):
-    rows = validated_orders(spark, sf_dir)
+    rows = silver_orders(spark, sf_dir)
     total = F.count(F.lit(1))
     metrics = rows.groupBy("warehouse_location").agg(
         (F.count_if(F.col("quality_flag") != quality.FAIL) / total).alias("pass_rate"),

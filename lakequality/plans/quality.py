@@ -3,11 +3,12 @@
 from pyspark.sql import functions as F
 
 from lakequality import schemas
-from lakequality.operators import dataset, packs, quality
+from lakequality.operators import dataset, packs, quality, sinks
 from lakequality.operators.rules import Rule, RuleSet
 from lakequality.plans import sql
-from lakequality.plans.registry import query
+from lakequality.plans.registry import query, stored
 from lakequality.plans.rules import ITEM, ITEM_SQL, filled_readings
+from lakequality.session import work_dir
 from lakequality.sources import samples
 
 VERDICT = [
@@ -34,6 +35,11 @@ def validated_orders(spark, sf_dir):
     )
 
 
+def silver_orders(spark, sf_dir):
+    """The validated orders as the Silver table that reports read, written once per session."""
+    return stored(spark, sf_dir, "silver-orders", lambda: validated_orders(spark, sf_dir))
+
+
 def validated_readings(spark, sf_dir):
     return quality.validate(
         filled_readings(spark, sf_dir),
@@ -172,7 +178,7 @@ FROM graded
 """,
 )
 def quality_scores(spark, sf_dir):
-    rows = validated_orders(spark, sf_dir)
+    rows = silver_orders(spark, sf_dir)
     failed, total = F.col("failed_rules"), len(packs.order_rules(samples.ORDERS_AS_OF))
     components = quality.graded_components(
         "quantity", "unit_price", "total_amount", "order_id", "customer_id", "product_id"
@@ -218,7 +224,9 @@ FROM validated GROUP BY 1
 )
 def quarantine_split(spark, sf_dir):
     rules = packs.order_rules(samples.ORDERS_AS_OF)
-    passed, quarantined = quality.split(samples.order_items(spark, sf_dir), rules)
+    passed, quarantined = sinks.write_split(
+        samples.order_items(spark, sf_dir), rules, work_dir(spark, "split")
+    )
 
     def tally(df, side):
         return df.agg(F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("quantity")).select(
@@ -233,7 +241,7 @@ def quarantine_split(spark, sf_dir):
     f"WITH {sql.VALIDATED} SELECT {ITEM_SQL}, quality_flag FROM validated WHERE quality_flag = 'PASS'",
 )
 def valid_rows(spark, sf_dir):
-    return quality.valid_rows(validated_orders(spark, sf_dir)).select(*ITEM, "quality_flag")
+    return quality.valid_rows(silver_orders(spark, sf_dir)).select(*ITEM, "quality_flag")
 
 
 def _failures_sql(rules):

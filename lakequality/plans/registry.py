@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakequality.session import prepare, work_dir
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -34,6 +36,26 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(
+    spark: SparkSession,
+    sf_dir: str,
+    label: str,
+    build: Callable[[], DataFrame],
+    partitions: Sequence[str] = (),
+) -> DataFrame:
+    """A table in the shared folder that several queries read; written once per session."""
+    prepare(spark)
+    key = (spark.sparkContext.applicationId, sf_dir, label)
+    if key not in _STORED:
+        path = work_dir(spark, label)
+        build().write.partitionBy(*partitions).parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
 def presentable(df: DataFrame) -> DataFrame:
     """Types that compare across engines: plain timestamps, doubles, and joined arrays."""
 

@@ -6,7 +6,7 @@ from lakequality.functions import checks
 from lakequality.operators import analytics, packs, quality
 from lakequality.operators.rules import Rule
 from lakequality.plans import sql
-from lakequality.plans.quality import validated_orders, validated_readings
+from lakequality.plans.quality import silver_orders, validated_readings
 from lakequality.plans.registry import query
 from lakequality.plans.silver import parsed_readings
 from lakequality.sources import samples
@@ -35,7 +35,7 @@ FROM validated
 """,
 )
 def quality_overview(spark, sf_dir):
-    return analytics.quality_overview(validated_orders(spark, sf_dir))
+    return analytics.quality_overview(silver_orders(spark, sf_dir))
 
 
 @query(
@@ -46,7 +46,7 @@ SELECT quality_flag, criticality, count(*) AS n FROM validated GROUP BY 1, 2
 """,
 )
 def flag_by_criticality(spark, sf_dir):
-    return analytics.counts_by(validated_orders(spark, sf_dir), "quality_flag", "criticality")
+    return analytics.counts_by(silver_orders(spark, sf_dir), "quality_flag", "criticality")
 
 
 @query(
@@ -59,7 +59,7 @@ FROM validated GROUP BY 1
 """,
 )
 def flag_metrics(spark, sf_dir):
-    return analytics.flag_metrics(validated_orders(spark, sf_dir))
+    return analytics.flag_metrics(silver_orders(spark, sf_dir))
 
 
 _TREND = """
@@ -83,7 +83,7 @@ _TREND_COLUMNS = (
 
 def monthly_trend(spark, sf_dir):
     month = F.trunc("order_date", "month")
-    return analytics.quality_trend(validated_orders(spark, sf_dir), month)
+    return analytics.quality_trend(silver_orders(spark, sf_dir), month)
 
 
 @query("quality_trend", f"WITH {sql.VALIDATED}, {_MONTHS} SELECT {_TREND_COLUMNS} FROM trend")
@@ -95,7 +95,7 @@ def quality_trend(spark, sf_dir):
 def recent_trend(spark, sf_dir):
     as_of = samples.at(samples.ORDERS_AS_OF)
     return analytics.quality_trend(
-        validated_orders(spark, sf_dir),
+        silver_orders(spark, sf_dir),
         F.to_date("order_date"),
         since=analytics.last_days(F.to_date(as_of), 7),
     )
@@ -124,7 +124,7 @@ GROUP BY 1 ORDER BY n DESC, failure_reason LIMIT 5
 """,
 )
 def top_failure_reasons(spark, sf_dir):
-    return analytics.top_failure_reasons(validated_orders(spark, sf_dir))
+    return analytics.top_failure_reasons(silver_orders(spark, sf_dir))
 
 
 @query(
@@ -146,7 +146,7 @@ SELECT dimension, value, n, CAST(place AS INTEGER) AS place FROM ranked WHERE pl
 )
 def failures_by_dimension(spark, sf_dir):
     return analytics.failures_by(
-        validated_orders(spark, sf_dir), ["product_category", "order_status"]
+        silver_orders(spark, sf_dir), ["product_category", "order_status"]
     )
 
 
@@ -160,7 +160,7 @@ FROM validated
 """,
 )
 def financial_failures(spark, sf_dir):
-    return analytics.financial_failures(validated_orders(spark, sf_dir))
+    return analytics.financial_failures(silver_orders(spark, sf_dir))
 
 
 @query(
@@ -251,7 +251,7 @@ FROM grouped
 """,
 )
 def quality_by_validity(spark, sf_dir):
-    rows = validated_orders(spark, sf_dir).withColumn(
+    rows = silver_orders(spark, sf_dir).withColumn(
         "is_valid", F.when(F.col("quality_flag") == quality.FAIL, "false").otherwise("true")
     )
     return analytics.share_by(rows, "is_valid", "quality_score")
@@ -306,7 +306,7 @@ FROM validated GROUP BY 1, 2
 """,
 )
 def vendor_warehouse(spark, sf_dir):
-    return analytics.vendor_warehouse(validated_orders(spark, sf_dir))
+    return analytics.vendor_warehouse(silver_orders(spark, sf_dir))
 
 
 @query(
@@ -320,7 +320,7 @@ FROM validated
 )
 def batch_metrics(spark, sf_dir):
     valid = F.col("quality_flag") != quality.FAIL
-    return analytics.batch_metrics(validated_orders(spark, sf_dir), valid)
+    return analytics.batch_metrics(silver_orders(spark, sf_dir), valid)
 
 
 @query(
@@ -342,7 +342,7 @@ FROM validated
 )
 def batch_statistics(spark, sf_dir):
     valid = F.col("quality_flag") != quality.FAIL
-    return analytics.batch_statistics(validated_orders(spark, sf_dir), valid)
+    return analytics.batch_statistics(silver_orders(spark, sf_dir), valid)
 
 
 @query(

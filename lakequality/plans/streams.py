@@ -144,30 +144,19 @@ def stream_validated_batches(spark, sf_dir):
     from lakequality.plans.rules import filled_readings
 
     rows = landed(filled_readings(spark, sf_dir), "readings")
-    good, bad = work_dir(spark, "silver"), work_dir(spark, "quarantine")
+    out = work_dir(spark, "silver")
+    rules = packs.weather_rules(samples.EVENTS_AS_OF)
     finish(
-        streams.validated_batches(
-            rows,
-            packs.weather_rules(samples.EVENTS_AS_OF),
-            good,
-            bad,
-            work_dir(spark, "checkpoint"),
-            interval=NOW,
-        )
+        streams.validated_batches(rows, rules, out, work_dir(spark, "checkpoint"), interval=NOW)
     )
-
-    def tally(path, side):
-        return (
-            spark.read.parquet(path)
-            .groupBy("quality_flag")
-            .agg(
-                F.count(F.lit(1)).alias("n"),
-                F.count_distinct("source_record_id").alias("records"),
-            )
-            .select(F.lit(side).alias("side"), "quality_flag", "n", "records")
+    return (
+        spark.read.parquet(out)
+        .groupBy("quality_flag")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("source_record_id").alias("records"))
+        .withColumn(
+            "side", F.when(F.col("quality_flag") == "FAIL", "quarantine").otherwise("silver")
         )
-
-    return tally(good, "silver").unionByName(tally(bad, "quarantine"))
+    )
 
 
 @query(

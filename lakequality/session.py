@@ -8,13 +8,31 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# HotSpot compiles no method beyond 8000 bytes of bytecode. Wide rows with many rules reach that in
+# one generated method, which then runs interpreted; below the limit Spark uses smaller methods.
+HOTSPOT_METHOD_LIMIT = "8000"
+
+SQL_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": HOTSPOT_METHOD_LIMIT,
+}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the SQL settings to a session made elsewhere."""
+    for key, value in SQL_SETTINGS.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def get_session(app: str = "lakequality", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators rely on; `conf` keys use `__` for dots."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = {
-        "spark.sql.session.timeZone": "UTC",
+        **SQL_SETTINGS,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",

@@ -13,6 +13,16 @@ def read_path(spark: SparkSession, path: str, format: str = "parquet", **options
     return spark.read.format(format).options(**options).load(path)
 
 
+def spread(df: DataFrame, most: int = 32) -> DataFrame:
+    """Deal the rows of a small table to several cores.
+
+    A file of one row group keeps all map-side work on one core, however many splits it has. Only
+    inputs of fewer than `most` splits, so of a few GB, are ever moved; larger ones stay as scanned.
+    """
+    cores = min(df.sparkSession.sparkContext.defaultParallelism, most)
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def stream_files(
     spark: SparkSession,
     path: str,

@@ -11,15 +11,18 @@ from pyspark.sql import functions as F
 
 from lakequality.functions.scalars import left_pad, net_amount
 from lakequality.operators import bronze as bronze_ops
+from lakequality.session import prepare
+from lakequality.sources.files import spread
 
 EVENTS_AS_OF = "2024-01-31 00:00:00"
 ORDERS_AS_OF = "2001-08-01 00:00:00"
 MONEY = "decimal(10,2)"
+FACTS = ("lineitem", "events", "documents", "pages", "conversations")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name in FACTS else rows
 
 
 def at(moment: str) -> Column:

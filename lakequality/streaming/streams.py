@@ -156,27 +156,21 @@ def bronze_batches(
 def validated_batches(
     df: DataFrame,
     rules: RuleSet,
-    good_path: str,
-    bad_path: str,
+    path: str,
     checkpoint: str,
     *,
     pipeline: str = "silver",
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Validate each micro-batch; rows that fail go to their own folder.
+    """Validate each micro-batch once and write it partitioned by flag.
 
-    The lineage id comes from the batch id, so a replay stamps the same one. The batch is kept for
-    the two writes, instead of being read and checked once per side.
+    Failed rows are the `quality_flag=FAIL` folders. The lineage id comes from the batch id, so a
+    replayed batch is stamped alike and replaces its own folder.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        checked = validate(batch, rules, lineage_id=lineage(pipeline, batch_id)).persist()
-        try:
-            failed = F.col("quality_flag") == FAIL
-            checked.filter(~failed).write.mode("overwrite").parquet(batch_folder(good_path, batch_id))
-            checked.filter(failed).write.mode("overwrite").parquet(batch_folder(bad_path, batch_id))
-        finally:
-            checked.unpersist()
+        checked = validate(batch, rules, lineage_id=lineage(pipeline, batch_id))
+        write_batch(checked, batch_id, path, partitions=["quality_flag"])
 
     return _for_each(df, process, checkpoint, interval)
 

@@ -20,7 +20,7 @@ def mask_email(email: Column) -> Column:
 
 
 def _last_four(text: Column, prefix: str, short: str) -> Column:
-    digits = F.regexp_replace(text, "[^0-9]", "")
+    digits = F.regexp_replace(text, "[^0-9]+", "")
     shown = F.concat(F.lit(prefix), F.right(digits, F.lit(4)))
     return F.when(F.length(digits) >= 4, shown).when(text.isNotNull(), short)
 

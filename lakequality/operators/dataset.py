@@ -13,7 +13,8 @@ from lakequality.functions.checks import moment
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once; counted before the shuffle, so a hot key stays small."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies"))
+    return counted.filter("__copies > 1").withColumnRenamed("__copies", "n")
 
 
 def flag_duplicates(df: DataFrame, keys: Sequence[str], name: str = "is_unique") -> DataFrame:
@@ -22,19 +23,18 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str], name: str = "is_unique")
     A window over the key would gather a hot key in one task. Joining the few repeated keys back
     broadcasts while they are small, and lets the adaptive skew join split hot keys otherwise.
     """
-    repeated = duplicate_keys(df, keys).select(*(F.col(k).alias(f"repeated_{k}") for k in keys), "n")
-    same = [F.col(k).eqNullSafe(F.col(f"repeated_{k}")) for k in keys]
+    repeated = duplicate_keys(df, keys).select(
+        *(F.col(key).alias(f"__repeated_{key}") for key in keys), F.lit(True).alias("__repeated")
+    )
+    same = [F.col(key).eqNullSafe(F.col(f"__repeated_{key}")) for key in keys]
     joined = df.join(repeated, same, "left")
-    return joined.withColumn(name, F.col("n").isNull()).drop("n", *repeated.columns[:-1])
-
-
-def check_row(name: str, value: Column, passed: Column) -> list[Column]:
-    return [F.lit(name).alias("check"), value.alias("value"), passed.alias("passed")]
+    return joined.withColumn(name, F.col("__repeated").isNull()).drop(*repeated.columns)
 
 
 def no_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    groups = F.count(F.lit(1))
-    return duplicate_keys(df, keys).agg(groups.alias("value")).select(
+    """One row: the number of repeated keys, and whether there are none."""
+    groups = duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("value"))
+    return groups.select(
         F.lit("no_duplicates").alias("check"), "value", (F.col("value") == 0).alias("passed")
     )
 

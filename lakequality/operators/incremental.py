@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakequality.session import checkpointed
+from lakequality.session import materialize
 
 
 def unprocessed(bronze: DataFrame, silver: DataFrame, key: str) -> DataFrame:
@@ -23,8 +23,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     so a hot key sends only as many rows as there are tasks.
     """
     newest_first = Window.partitionBy(*keys).orderBy(*order)
-    ranked = df.withColumn("row_rank", F.row_number().over(newest_first))
-    return ranked.filter("row_rank = 1").drop("row_rank")
+    ranked = df.withColumn("__rank", F.row_number().over(newest_first))
+    return ranked.filter("__rank = 1").drop("__rank")
 
 
 def newest(df: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
@@ -40,6 +40,7 @@ def upsert(
 
     Repeated source keys are settled first, by `time`. The target is only anti-joined with the
     source keys: while the changes are small they are broadcast and the target is not shuffled.
+    The changes are read twice, for their keys and for their rows; store them first if that is dear.
     """
     if time is not None:
         source = newest(source, keys, time)
@@ -58,23 +59,22 @@ def paged(df: DataFrame, order: Sequence[str], page_size: int) -> DataFrame:
 
     LIMIT and OFFSET per page would sort the table once per page. Here it is range-partitioned
     once; each part is numbered on its own and shifted by the number of rows before it. The ranges
-    are drawn from a sample, so the parts are checkpointed before they are counted.
+    are drawn from a sample, so the parts are written down before they are counted.
     """
-    ranged = checkpointed(
-        df.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
-    )
-    sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("rows_in_part"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
+    ranged = materialize(parts, "pages")
+    sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows_in_part"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        F.col("part").alias("part_id"),
-        F.coalesce(F.sum("rows_in_part").over(before), F.lit(0)).alias("rows_before"),
+        F.col("__part").alias("__part_id"),
+        F.coalesce(F.sum("__rows_in_part").over(before), F.lit(0)).alias("__rows_before"),
     )
-    within = Window.partitionBy("part").orderBy(*order)
+    within = Window.partitionBy("__part").orderBy(*order)
     # One row per range partition, so the offsets never outgrow the number of partitions.
     return (
-        ranged.withColumn("row_in_part", F.row_number().over(within))
-        .join(F.broadcast(offsets), F.col("part") == F.col("part_id"))
-        .withColumn("position", F.col("rows_before") + F.col("row_in_part"))
+        ranged.withColumn("__row_in_part", F.row_number().over(within))
+        .join(F.broadcast(offsets), F.col("__part") == F.col("__part_id"))
+        .withColumn("position", F.col("__rows_before") + F.col("__row_in_part"))
         .withColumn("page", F.floor((F.col("position") - 1) / page_size))
-        .drop("part", "part_id", "row_in_part", "rows_before")
+        .drop("__part", "__part_id", "__row_in_part", "__rows_before")
     )

@@ -11,7 +11,7 @@ from lakequality import schemas
 from lakequality.operators.quality import with_side
 from lakequality.operators.rules import RuleSet
 
-MAX_RECORDS_PER_FILE = 50_000
+MAX_RECORDS_PER_FILE = 1_000_000
 
 
 def write_partitioned(
@@ -68,7 +68,11 @@ def write_split(
     """Check a batch once and write both sides, partitioned by side; returns good and quarantine."""
     with_side(df, rules).write.mode(mode).partitionBy("quarantined").parquet(path)
     written = df.sparkSession.read.parquet(path)
-    return written.filter(~F.col("quarantined")), written.filter(F.col("quarantined"))
+    # Folder names are text; comparing them as such lets Spark skip the other side's folder.
+    return (
+        written.filter("quarantined = 'false'").drop("quarantined"),
+        written.filter("quarantined = 'true'").drop("quarantined"),
+    )
 
 
 def export_report(report: DataFrame, path: str) -> None:

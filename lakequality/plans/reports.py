@@ -9,7 +9,7 @@ from lakequality.plans import sql
 from lakequality.plans.quality import silver_orders, validated_readings
 from lakequality.plans.registry import query
 from lakequality.plans.silver import parsed_readings
-from lakequality.sources import samples
+from lakequality.sources import files, samples
 
 
 @query(
@@ -257,6 +257,23 @@ def quality_by_validity(spark, sf_dir):
     return analytics.share_by(rows, "is_valid", "quality_score")
 
 
+@query(
+    "sql_source",
+    f"""
+WITH {sql.VALIDATED}
+SELECT quality_flag, payment_status, count(*) AS n, CAST(sum(total_amount) AS DOUBLE) AS revenue
+FROM validated GROUP BY quality_flag, payment_status
+""",
+)
+def sql_source(spark, sf_dir):
+    return files.read_sql(
+        spark,
+        "SELECT quality_flag, payment_status, count(*) AS n, sum(total_amount) AS revenue "
+        "FROM {silver} GROUP BY quality_flag, payment_status",
+        silver=silver_orders(spark, sf_dir),
+    )
+
+
 @query(
     "status_distribution",
     f"""

@@ -17,6 +17,9 @@ SQL_SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": HOTSPOT_METHOD_LIMIT,
 }
 
+# Streaming state that may outgrow executor memory is kept in RocksDB, which spills to disk.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the SQL settings to a session made elsewhere."""
@@ -33,6 +36,7 @@ def get_session(app: str = "lakequality", master: str | None = None, **conf: str
         builder = builder.master(master)
     settings = {
         **SQL_SETTINGS,
+        "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
@@ -63,7 +67,11 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/lakequality/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the reliable checkpoint folder, so lost executors cost no re-run."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    Cuts the lineage, so lost executors cost no re-run and every reader sees the same rows.
+    """
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -13,6 +13,11 @@ def read_path(spark: SparkSession, path: str, format: str = "parquet", **options
     return spark.read.format(format).options(**options).load(path)
 
 
+def read_sql(spark: SparkSession, text: str, **tables: DataFrame) -> DataFrame:
+    """SQL text as a source; `{name}` stands for the DataFrame given under that name."""
+    return spark.sql(text, **tables)
+
+
 def spread(df: DataFrame, most: int = 32) -> DataFrame:
     """Deal the rows of a small table to several cores.
 

@@ -33,6 +33,12 @@ def _every(column: str, n: int) -> Column:
     return F.col(column) % n == 0
 
 
+def _sent_text(broken: Column) -> Column:
+    """The bytes of the JSON in `sent`, cut in half where `broken`."""
+    half = F.substr(F.col("sent"), F.lit(1), F.floor(F.length("sent") / 2).cast("int"))
+    return F.encode(F.when(broken, half).otherwise(F.col("sent")), "UTF-8")
+
+
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` as log messages that carry weather readings.
 
@@ -65,11 +71,9 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("/jobs/weather").alias("notebook_path"),
         )
     )
-    half = F.substr(reading, F.lit(1), F.floor(F.length(reading) / 2).cast("int"))
-    text = F.when(_every("event_id", 17), half).otherwise(reading)
-    return rows.select(
+    return rows.withColumn("sent", reading).select(
         F.encode("event_type", "UTF-8").alias("key"),
-        F.encode(text, "UTF-8").alias("value"),
+        _sent_text(_every("event_id", 17)).alias("value"),
         (F.col("user_id") % 4).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),
@@ -192,11 +196,9 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(F.col("defect") == 0, 1.0).otherwise(0.8).alias("data_quality_score"),
         )
     )
-    half = F.substr(sent, F.lit(1), F.floor(F.length(sent) / 2).cast("int"))
-    text = F.when(_every("l_orderkey", 37), half).otherwise(sent)
-    return rows.select(
+    return rows.withColumn("sent", sent).select(
         F.encode("order_id", "UTF-8").alias("key"),
-        F.encode(text, "UTF-8").alias("value"),
+        _sent_text(_every("l_orderkey", 37)).alias("value"),
         (F.col("l_suppkey") % 4).cast("int").alias("partition"),
         (F.col("l_orderkey") * 10 + F.col("line_number")).alias("offset"),
         F.col("ship_date").alias("timestamp"),

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 _SCHEMA = (
@@ -36,3 +39,31 @@ def _row(progress) -> tuple:
 
 def _rate(value) -> float:
     return float(value or 0.0)
+
+
+class ProgressListener(StreamingQueryListener):
+    """Hands a dictionary per finished micro-batch to a callback; add it with `spark.streams`."""
+
+    def __init__(self, report: Callable[[dict], None]):
+        self._report = report
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        done = event.progress
+        self._report(
+            {
+                "query_id": str(done.id),
+                "batch_id": done.batchId,
+                "input_rows": done.numInputRows,
+                "processed_rows_per_second": done.processedRowsPerSecond,
+                "batch_duration_ms": done.batchDuration,
+            }
+        )
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass

@@ -7,7 +7,7 @@ from lakequality.functions import privacy, scalars
 from lakequality.functions.casts import safe_cast
 from lakequality.operators import bronze, silver
 from lakequality.plans import sql
-from lakequality.plans.registry import query
+from lakequality.plans.registry import query, stored
 from lakequality.sources import samples
 
 
@@ -15,6 +15,11 @@ def parsed_readings(spark, sf_dir):
     return silver.parse_payload(samples.bronze_events(spark, sf_dir), schemas.WEATHER_PAYLOAD)
 
 
+def stored_bronze_orders(spark, sf_dir):
+    """The Bronze table of order messages that Silver parsing reads, written once per session."""
+    return stored(spark, sf_dir, "bronze-orders", lambda: samples.bronze_orders(spark, sf_dir))
+
+
 @query(
     "parse_event_payload",
     f"""
@@ -65,7 +70,7 @@ FROM fields
 """,
 )
 def parse_order_payload(spark, sf_dir):
-    parsed = silver.parse_payload(samples.bronze_orders(spark, sf_dir), schemas.ORDER_PAYLOAD)
+    parsed = silver.parse_payload(stored_bronze_orders(spark, sf_dir), schemas.ORDER_PAYLOAD)
     absent = {
         "delivery_date",
         "billing_address",
@@ -157,7 +162,7 @@ FROM sent
 """,
 )
 def default_fill(spark, sf_dir):
-    parsed = silver.parse_payload(samples.bronze_orders(spark, sf_dir), schemas.ORDER_PAYLOAD)
+    parsed = silver.parse_payload(stored_bronze_orders(spark, sf_dir), schemas.ORDER_PAYLOAD)
     return silver.fill_orders(parsed).select(
         F.col("log_offset").cast("bigint").alias("log_offset"),
         "order_status",

@@ -20,9 +20,13 @@ def mask_email(email: Column) -> Column:
 
 
 def _last_four(text: Column, prefix: str, short: str) -> Column:
+    """The last four digits behind a prefix, or `short` when there are fewer.
+
+    A chain of replacements reads the text once; a CASE would evaluate it per branch.
+    """
     digits = F.regexp_replace(text, "[^0-9]+", "")
-    shown = F.concat(F.lit(prefix), F.right(digits, F.lit(4)))
-    return F.when(F.length(digits) >= 4, shown).when(text.isNotNull(), short)
+    shown = F.regexp_replace(digits, "^[0-9]*([0-9]{4})$", f"{prefix}$1")
+    return F.regexp_replace(shown, "^[0-9]{0,3}$", short)
 
 
 def mask_phone(phone: Column) -> Column:

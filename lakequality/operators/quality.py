@@ -20,6 +20,7 @@ ALL_PASSED = "All rules passed"
 BASIC_PASSED = "Basic validation passed"
 BASIC_FAILED = "Basic validation failed"
 BASIC_SCORE = 0.8
+PASSING_SCORE = 0.8
 REASON_SEPARATOR = "; "
 
 # Broken rules of a row are kept as bits of BIGINT columns, this many per column.
@@ -109,6 +110,11 @@ def score(failed: Column, total: int, mode: str = "ratio", step: float = 0.2) ->
     raise ValueError(f"unknown score mode: {mode}")
 
 
+def score_flag(value: Column, least: float = PASSING_SCORE) -> Column:
+    """PASS or FAIL by a score alone, however many rules are broken."""
+    return F.when(value >= least, PASS).otherwise(FAIL)
+
+
 def lineage(pipeline: str, batch_id: int | str) -> Column:
     """A lineage id that is the same whenever a batch is replayed."""
     return F.sha2(F.concat_ws(":", F.lit(pipeline), F.lit(str(batch_id))), 256)

@@ -166,6 +166,8 @@ SELECT {ITEM_SQL},
        CASE WHEN failed_rules = 0 THEN 0.8::DOUBLE ELSE 0.0::DOUBLE END AS basic_score,
        round(greatest(0.0::DOUBLE, 1.0::DOUBLE - failed_rules * 0.2::DOUBLE), 6) AS strict_score,
        round(greatest(0.0::DOUBLE, 1.0::DOUBLE - failed_rules * 0.1::DOUBLE), 6) AS mild_score,
+       CASE WHEN 1.0::DOUBLE - failed_rules * 0.1::DOUBLE >= 0.8 THEN 'PASS' ELSE 'FAIL' END
+         AS mild_flag,
        round((financial_score + completeness_score + business_score) / 3, 6) AS graded_score,
        CASE WHEN (financial_score + completeness_score + business_score) / 3 >= 0.8 THEN 'HIGH'
             WHEN (financial_score + completeness_score + business_score) / 3 >= 0.5 THEN 'MEDIUM'
@@ -206,6 +208,7 @@ def quality_scores(spark, sf_dir):
         quality.score(failed, total, "basic").alias("basic_score"),
         quality.score(failed, total, "penalty").alias("strict_score"),
         quality.score(failed, total, "penalty", 0.1).alias("mild_score"),
+        quality.score_flag(quality.score(failed, total, "penalty", 0.1)).alias("mild_flag"),
         "graded_score",
         quality.category(F.col("graded_score")).alias("quality_category"),
         F.when(good, 0.9).otherwise(0.3).alias("two_step_score"),

@@ -12,19 +12,7 @@ def struct(ddl: str) -> T.StructType:
 
 
 def names(ddl: str) -> list[str]:
-    return [part.split()[0] for part in _top_level(ddl)]
-
-
-def _top_level(ddl: str) -> list[str]:
-    parts, depth, current = [], 0, ""
-    for char in ddl:
-        depth += (char in "(<") - (char in ")>")
-        if char == "," and depth == 0:
-            parts.append(current.strip())
-            current = ""
-        else:
-            current += char
-    return [*parts, current.strip()]
+    return struct(ddl).names
 
 
 # Columns a message log hands over (the shape of Spark's Kafka source).

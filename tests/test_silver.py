@@ -103,7 +103,7 @@ def test_weather_silver_schema(spark):
     assert rows.first()["silver_processing_hour"] == 11
 
 
-def test_schema_sizes():
+def test_schema_sizes(spark):
     assert len(schemas.names(schemas.SILVER_WEATHER_QUALITY)) == 42
     assert len(schemas.names(schemas.SILVER_ORDERS_QUALITY)) == 51
     assert len(schemas.names(schemas.ORDER_MESSAGE)) == 28

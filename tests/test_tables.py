@@ -390,5 +390,44 @@ def test_external_table_append(spark, table):
     assert spark.table(table).count() == 400
 
 
-def test_rule_packs_have_distinct_names():
-    assert packs.ORDER_STATUSES != packs.CATALOG_ORDER_STATUSES
+class _Cluster:
+    """Just enough of a session that runs on a cluster."""
+
+    def __init__(self, folder):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = type("Context", (), {"master": "yarn"})
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    from lakequality.session import shared_root
+
+    assert shared_root(_Cluster("hdfs:///shared/")) == "hdfs:///shared"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(_Cluster(None))
+
+
+def test_small_inputs_are_spread_and_large_ones_left(spark):
+    from lakequality.sources.files import spread
+
+    small, large = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, 40)
+    assert spread(small, ["id"]).rdd.getNumPartitions() == 8
+    assert spread(large, ["id"]) is large
+
+
+def test_sql_text_as_a_source(spark):
+    from lakequality.sources.files import read_path, read_sql
+
+    path = work_dir(spark, "t-sql")
+    days(spark).write.json(path)
+    rows = read_path(spark, path, "json", dateFormat="yyyy-MM-dd")
+    assert read_sql(spark, "SELECT count(*) AS c FROM {t}", t=rows).first()["c"] == 200
+
+
+def test_status_domains_are_parameters(spark):
+    data = spark.createDataFrame([("CONFIRMED",)], "order_status STRING")
+    usual = RuleSet((list(packs.order_high())[0],))
+    wider = RuleSet((list(packs.order_high(packs.CATALOG_ORDER_STATUSES))[0],))
+    from lakequality.operators import quality
+
+    assert quality.validate(data, usual).first()["quality_flag"] == "WARNING"
+    assert quality.validate(data, wider).first()["quality_flag"] == "PASS"

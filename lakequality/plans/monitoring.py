@@ -1,5 +1,7 @@
 """Decisions over quality metrics of order months."""
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from lakequality.operators import analytics, monitor, quality
@@ -76,8 +78,6 @@ WHERE period BETWEEN DATE '1997-01-01' AND DATE '1999-12-01'
 """,
 )
 def metrics_history(spark, sf_dir):
-    import datetime
-
     metrics = monthly_metrics(spark, sf_dir)
     start, end = datetime.date(1997, 1, 1), datetime.date(1999, 12, 1)
     return monitor.history(metrics, start, end).select(

@@ -3,11 +3,13 @@
 from pyspark.sql import functions as F
 
 from lakequality import schemas
+from lakequality.functions.scalars import left_pad
 from lakequality.operators import dataset, packs, quality, sinks
 from lakequality.operators.rules import Rule, RuleSet
 from lakequality.plans import sql
 from lakequality.plans.registry import query, stored
 from lakequality.plans.rules import ITEM, ITEM_SQL, filled_readings
+from lakequality.plans.silver import parsed_readings
 from lakequality.session import work_dir
 from lakequality.sources import samples
 
@@ -409,8 +411,6 @@ _COMPLETENESS = ("event_id", "city", "temperature", "weather_timestamp", "data_s
     ),
 )
 def completeness_counts(spark, sf_dir):
-    from lakequality.plans.silver import parsed_readings
-
     return dataset.completeness(parsed_readings(spark, sf_dir), _COMPLETENESS)
 
 
@@ -475,7 +475,7 @@ def _event_items(spark, sf_dir):
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
         F.col("event_type").alias("status"),
         F.concat(F.col("event_type"), F.lit("@example.com")).alias("email"),
-        F.concat_ws("-", F.lit("555"), F.lit("010"), F.lpad(F.col("user_id").cast("string"), 4, "0"))
+        F.concat_ws("-", F.lit("555"), F.lit("010"), left_pad(F.col("user_id"), 4))
         .alias("phone"),
         F.when(F.col("event_id") % 3 == 0, "CASH").otherwise("WIRE").alias("payment_method"),
     )
@@ -499,7 +499,7 @@ def dq_throughput_rules(spark, sf_dir):
     "dq_contact_rules",
     """
 SELECT event_id, 1 AS email,
-       CAST(length(lpad(CAST(user_id AS VARCHAR), 4, '0')) = 4 AS INTEGER) AS phone,
+       CAST(length(CAST(user_id AS VARCHAR)) <= 4 AS INTEGER) AS phone,
        CAST(event_id % 3 = 0 AS INTEGER) AS payment,
        CAST(value BETWEEN 10 AND 1000 AS INTEGER) AS amount_range,
        CAST(round(value) > 0 AS INTEGER) AS quantity_positive

@@ -2,12 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from lakequality.operators import packs, quality
-from lakequality.operators.rules import WARN, Rule
+from lakequality.functions import checks
+from lakequality.functions.scalars import left_pad
+from lakequality.operators import packs, quality, silver
+from lakequality.operators.rules import WARN, Rule, RuleSet
 from lakequality.plans import sql
 from lakequality.plans.registry import query
 from lakequality.plans.silver import parsed_readings
-from lakequality.operators import silver
 from lakequality.sources import samples
 
 ITEM = ["order_id", "line_number", "product_id"]
@@ -73,8 +74,6 @@ _FORMATS = [
 
 @query("dq_format_rules", _rules_sql(sql.ORDER_ITEMS, "order_items", ITEM_SQL, _FORMATS))
 def dq_format_rules(spark, sf_dir):
-    from lakequality.functions import checks
-
     rules = packs.order_medium() + [
         Rule("city_like_length", checks.length_between("product_name", 2, 50), WARN, "medium"),
         Rule("phone_format", checks.matches("customer_id", checks.PHONE), WARN, "medium"),
@@ -129,9 +128,6 @@ FROM order_items
 """,
 )
 def dq_time_rules(spark, sf_dir):
-    from lakequality.functions import checks
-    from lakequality.operators.rules import RuleSet
-
     rules = RuleSet(
         (
             Rule("order_date_not_future", checks.not_after("order_date", "2000-01-01 00:00:00")),
@@ -188,25 +184,22 @@ def dq_net_total(spark, sf_dir):
 
 
 def _items_for_schema(spark, sf_dir):
-    """Order items under the names of the line-item schema, with figures as text."""
-    rows = samples.order_items(spark, sf_dir)
-    return rows.select(
-        *ITEM,
-        F.col("l_orderkey"),
-        F.struct(
-            F.concat(F.lit("ORD"), F.lpad(F.col("l_orderkey").cast("string"), 8, "0")).alias("order_id"),
-        ).alias("ids"),
-        F.concat(F.lit("LINE"), F.lpad(F.col("line_number").cast("string"), 6, "0")).alias(
-            "line_item_id"
-        ),
+    """Order items under the names of the line-item schema; some quantities are no numbers."""
+    status = F.col("order_status")
+    return samples.order_items(spark, sf_dir).select(
+        F.col("order_id").alias("item_order"),
+        F.col("line_number").alias("item_line"),
+        F.col("product_id").alias("item_product"),
+        F.concat(F.lit("ORD"), left_pad(F.col("l_orderkey"), 8)).alias("order_id"),
+        F.concat(F.lit("LINE"), left_pad(F.col("line_number"), 6)).alias("line_item_id"),
         F.concat(F.lit("ITEM"), F.substring("product_id", 4, 12)).alias("item_id"),
         F.when(F.col("l_orderkey") % 9 == 0, "few")
         .otherwise(F.col("quantity").cast("string"))
         .alias("quantity"),
-        F.col("unit_price"),
-        F.col("total_amount"),
-        F.concat(F.lit("STORE"), F.lpad(F.col("l_suppkey").cast("string"), 3, "0")).alias("store_id"),
-        F.when(F.col("order_status") == "NEW", "OPEN").otherwise(F.col("order_status")).alias("status"),
+        "unit_price",
+        "total_amount",
+        F.concat(F.lit("STORE"), left_pad(F.col("l_suppkey"), 3)).alias("store_id"),
+        F.when(status == "NEW", "OPEN").otherwise(status).alias("status"),
     )
 
 
@@ -216,12 +209,12 @@ def _items_for_schema(spark, sf_dir):
 WITH {sql.ORDER_ITEMS},
 items AS (
   SELECT order_id AS item_order, line_number AS item_line, product_id AS item_product,
-         'ORD' || lpad(CAST(l_orderkey AS VARCHAR), 8, '0') AS order_id,
-         'LINE' || lpad(CAST(line_number AS VARCHAR), 6, '0') AS line_item_id,
+         'ORD' || {sql.padded('l_orderkey', 8)} AS order_id,
+         'LINE' || {sql.padded('line_number', 6)} AS line_item_id,
          'ITEM' || substring(product_id, 4, 12) AS item_id,
          CASE WHEN l_orderkey % 9 = 0 THEN 'few' ELSE CAST(quantity AS VARCHAR) END AS quantity,
          unit_price, total_amount,
-         'STORE' || lpad(CAST(l_suppkey AS VARCHAR), 3, '0') AS store_id,
+         'STORE' || {sql.padded('l_suppkey', 3)} AS store_id,
          CASE WHEN order_status = 'NEW' THEN 'OPEN' ELSE order_status END AS status
   FROM order_items
 )
@@ -241,16 +234,8 @@ FROM items
 """,
 )
 def dq_schema_dict(spark, sf_dir):
-    rows = _items_for_schema(spark, sf_dir)
-    renamed = rows.select(
-        F.col("order_id").alias("item_order"),
-        F.col("line_number").alias("item_line"),
-        F.col("product_id").alias("item_product"),
-        F.col("ids.order_id").alias("order_id"),
-        *rows.columns[5:],
-    )
     return quality.rule_flags(
-        renamed,
+        _items_for_schema(spark, sf_dir),
         packs.schema_rules(packs.LINE_ITEM_SCHEMA),
         ["item_order", "item_line", "item_product"],
     )
@@ -289,8 +274,6 @@ FROM sent
 """,
 )
 def dq_error_map(spark, sf_dir):
-    from lakequality.functions.scalars import left_pad
-
     key = F.col("l_orderkey")
     sent = samples.table(spark, sf_dir, "lineitem").select(
         "l_orderkey",

@@ -1,5 +1,12 @@
 """SQL text shared by the comparison queries: the sample tables, written out once more."""
 
+
+def padded(column: str, width: int) -> str:
+    """Zero padding that never cuts longer text."""
+    text = f"CAST({column} AS VARCHAR)"
+    return f"lpad({text}, greatest({width}, length({text}))::INTEGER, '0')"
+
+
 EVENT_ROWS = """
 event_rows AS (
   SELECT event_id AS n, user_id, event_type, value, ts,
@@ -99,7 +106,7 @@ filled AS (
 )"""
 )
 
-ORDER_ITEMS = """
+ORDER_ITEMS = f"""
 joined AS (
   SELECT l.*, o.*, p.p_name, p.p_type,
          CAST(l.l_quantity AS INTEGER) AS quantity,
@@ -115,11 +122,9 @@ totals AS (
 ),
 order_items AS (
   SELECT l_orderkey, l_suppkey, defect, quantity, unit_price, total_amount,
-         'ORD-' || lpad(CAST(l_orderkey AS VARCHAR),
-                        greatest(6, length(CAST(l_orderkey AS VARCHAR)))::INTEGER, '0') AS order_id,
+         'ORD-' || {padded("l_orderkey", 6)} AS order_id,
          l_linenumber AS line_number,
-         'PRD' || lpad(CAST(l_partkey AS VARCHAR),
-                       greatest(3, length(CAST(l_partkey AS VARCHAR)))::INTEGER, '0') AS product_id,
+         'PRD' || {padded("l_partkey", 3)} AS product_id,
          p_name AS product_name,
          p_type AS product_category,
          CASE WHEN l_orderkey % 31 = 0 THEN '' ELSE 'CUST-' || o_custkey END AS customer_id,

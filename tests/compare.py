@@ -80,7 +80,7 @@ def compare(spark, connection, sf_dir: str, build, sql: str | None) -> tuple[str
 
 def main() -> int:
     from lakequality import get_session
-    from lakequality.plans import catalogue
+    import __spark_entry__
 
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="/root/testdata/sf0.001")
@@ -92,18 +92,19 @@ def main() -> int:
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(options.sf)
+    queries, oracles = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     bad = 0
-    for name in options.names or catalogue.QUERIES:
+    for name in options.names or queries:
         started = time.time()
         try:
             verdict, rows = compare(
-                spark, connection, options.sf, catalogue.QUERIES[name], catalogue.ORACLES.get(name)
+                spark, connection, options.sf, queries[name], oracles.get(name)
             )
         except Exception as error:
             verdict, rows = f"{type(error).__name__}: {str(error)[:1500]}", -1
         bad += bool(verdict)
         kind = "ok" if not verdict else "DIFF"
-        kind += "" if name in catalogue.ORACLES else " (rows only)"
+        kind += "" if name in oracles else " (rows only)"
         print(f"{name:28s} {rows:7d} {time.time() - started:6.2f}s {kind} {verdict}", flush=True)
     print(f"{bad} differ")
     return bool(bad)

@@ -28,15 +28,17 @@ def uniform(*parts: Column) -> Column:
     return (top.cast("double") + 0.5) / float(1 << 53)
 
 
-def splitters(rows: DataFrame, n_ranges: int, samples: int) -> list[int]:
+def splitters(rows: DataFrame, total: int, n_ranges: int, samples: int) -> list[int]:
     """Boundaries of ranges with near equal sums of `size`, from a weighted sample of `key`.
 
     Each row draws an exponential time divided by its size; the earliest `samples` rows are a sample
     without replacement in which a row's chance follows its size. `samples` bounds what the driver
-    holds, whatever the input.
+    holds, whatever the input. Before a time that follows from `total`, the sum of sizes, about twice
+    as many rows come, so tasks send no more than those.
     """
     time = -F.ln(uniform(F.col("key"), F.col("tie"))) / F.col("size")
-    drawn = [r.key for r in rows.select("key", time.alias("t")).orderBy("t", "key").limit(samples).collect()]
+    early = rows.select("key", time.alias("t")).filter(F.col("t") < 2.0 * samples / max(1, total))
+    drawn = [r.key for r in early.orderBy("t", "key").limit(samples).collect()]
     drawn.sort()
     cuts = {drawn[len(drawn) * k // n_ranges] for k in range(1, n_ranges)} if drawn else set()
     return sorted(cuts)
@@ -94,8 +96,8 @@ def assign(
         "records",
     )
     n_ranges = n_shards * ranges_per_shard
-    cuts = splitters(rows, n_ranges, n_ranges * samples_per_range)
     total = rows.agg(F.sum("size").alias("s")).first().s or 0
+    cuts = splitters(rows, total, n_ranges, n_ranges * samples_per_range)
     fair = max(1, total // n_ranges)
     full = max(1, total // n_shards)
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakequality.llm import words
-from lakequality.llm.tables import add_columns, col, store
+from lakequality.llm.tables import Scratch, add_columns, col, release, store
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -140,6 +140,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     chain. Neighbours are only aggregated to their least, never gathered.
     """
     edges = store(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
+    seen = None
     for _ in range(rounds):
         # Large star: every larger neighbour of a node links to the least of its neighbourhood.
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -151,20 +152,21 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("root").alias("b"))
         small = small.unionByName(least.select("a", F.col("root").alias("b"))).filter("a <> b").distinct()
         small = store(small, "edges")
-        same = small.exceptAll(edges).isEmpty() and edges.exceptAll(small).isEmpty()
+        mark = small.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         edges = small
-        if same:
+        if mark == seen:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        seen = mark
     raise RuntimeError(f"no stable components after {rounds} rounds")
 
 
-def near_links(texts: DataFrame, threshold: float = SIMILARITY, n_bands: int = BANDS, n_rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
+def near_links(texts: DataFrame, threshold: float = SIMILARITY, n_bands: int = BANDS, n_rows: int = ROWS) -> tuple[DataFrame | None, DataFrame | None]:
     """Links (a, b) between distinct texts (`h`, `text`) that connect every class, and the classes.
 
-    Each round compares the members of a bucket with its pivot, unless they are in the pivot's class
-    already, then retires the pivot. Buckets whose members are all in one class, and pairs compared
-    before, are not looked at again. Rounds end when nothing is left, so no link between classes is
-    missed among texts that share a band.
+    Each round compares the members of a bucket with some pivots, unless they are in the pivot's
+    class already, then retires the pivots; their number doubles from one round to the next. Buckets
+    whose members are all in one class, and pairs compared before, are not looked at again. Rounds
+    end when nothing is left, so no link between classes is missed among texts that share a band.
     """
     spark = texts.sparkSession
 
@@ -172,31 +174,39 @@ def near_links(texts: DataFrame, threshold: float = SIMILARITY, n_bands: int = B
         return ([bands(signature(*shingles(t), n_bands * n_rows), n_bands, n_rows) for t in words.texts(column)],)
 
     keyed = add_columns(texts, "keys array<bigint>", ["text"], compute, ["h"]).select("h", F.explode("keys").alias("key"))
-    keyed = store(keyed, "bands")
-    full = keyed.groupBy("key").count().filter("count > 1").select("key")
-    members = store(keyed.join(full, "key", "left_semi"), "buckets")
-    empty = "a bigint, b bigint"
-    links = spark.createDataFrame([], empty)
-    tried = spark.createDataFrame([], "pivot bigint, other bigint")
-    classes = spark.createDataFrame([], "node bigint, root bigint")
+    keyed = Scratch(keyed, "bands")
+    full = keyed.rows.groupBy("key").count().filter("count > 1").select("key")
+    members = store(keyed.rows.join(full, "key", "left_semi"), "buckets")
+    keyed.remove()
+    release(spark)
+    links = tried = classes = None
+    n_pivots = 1
     while True:
-        known = members.join(classes, members["h"] == classes["node"], "left").select(
-            "key", "h", F.coalesce("root", "h").alias("root")
-        )
-        first = known.groupBy("key").agg(
-            F.min(F.struct("h", "root")).alias("pivot"), F.min("root").alias("low"), F.max("root").alias("high")
-        ).filter("low <> high").select("key", F.col("pivot.h").alias("pivot"), F.col("pivot.root").alias("pivot_root"))
-        open_ = store(known.join(first, "key").filter("h <> pivot"), "open")
-        pairs = open_.filter("root <> pivot_root").select("pivot", F.col("h").alias("other")).distinct()
-        pairs = store(pairs.join(tried, ["pivot", "other"], "left_anti"), "pairs")
+        known = members.withColumn("root", F.col("h"))
+        if classes is not None:
+            known = members.join(classes, members["h"] == classes["node"], "left").select(
+                "key", "h", F.coalesce("root", "h").alias("root")
+            )
+        mixed = known.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        open_ = store(known.join(mixed.filter("low <> high").select("key"), "key", "left_semi"), "open")
         if open_.isEmpty():
             return links, classes
+        salt = F.pmod(F.xxhash64("h", F.lit(n_pivots)), F.lit(n_pivots))
+        pivots = open_.groupBy("key", salt.alias("salt")).agg(F.min(F.struct("h", "root")).alias("pivot"))
+        pivots = store(pivots.select("key", F.col("pivot.h").alias("pivot"), F.col("pivot.root").alias("pivot_root")), "pivots")
+        pairs = open_.join(pivots, "key").filter("root <> pivot_root").select("pivot", F.col("h").alias("other")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["pivot", "other"], "left_anti")
+        pairs = store(pairs, "pairs")
         if not pairs.isEmpty():
-            tried = store(tried.unionByName(pairs), "tried")
-            new = _verify(pairs, texts, threshold)
-            links = store(links.unionByName(new.select(F.col("pivot").alias("a"), F.col("other").alias("b"))), "links")
-            classes = components(links)
-        members = open_.select("key", "h")
+            tried = pairs if tried is None else store(tried.unionByName(pairs), "tried")
+            new = _verify(pairs, texts, threshold).select(F.col("pivot").alias("a"), F.col("other").alias("b"))
+            new = store(new, "new-links")
+            if not new.isEmpty():
+                links = new if links is None else store(links.unionByName(new), "links")
+                classes = components(links)
+        members = open_.join(pivots, (open_["key"] == pivots["key"]) & (open_["h"] == pivots["pivot"]), "left_anti").select("key", "h")
+        n_pivots *= 2
 
 
 def near_classes(
@@ -224,9 +234,11 @@ def near_classes(
     )
     texts = store(rows.filter("text IS NOT NULL").groupBy("h").agg(F.first("text").alias("text")), "texts")
     _, classes = near_links(texts, threshold, n_bands, n_rows)
-    named = rows.select("id", "h").join(classes, F.col("h") == F.col("node"), "left").select(
-        "id", F.col("h").alias("text_hash"), F.coalesce("root", "h").alias("root")
-    )
+    named = rows.select("id", F.col("h").alias("text_hash"), F.col("h").alias("root"))
+    if classes is not None:
+        named = rows.select("id", "h").join(classes, F.col("h") == F.col("node"), "left").select(
+            "id", F.col("h").alias("text_hash"), F.coalesce("root", "h").alias("root")
+        )
     named = store(named, "classed")
     least = named.groupBy("root").agg(
         F.min(F.struct("id", "text_hash")).alias("least"), F.count("*").alias("class_size")

@@ -246,7 +246,7 @@ class Inducer:
 
 
 def sorted_suffixes(
-    text: np.ndarray, cap: int, hold: int = 1 << 23
+    text: np.ndarray, cap: int, hold: int = 1 << 21
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Suffixes of zero-separated bytes in order, in chunks of places and common prefixes.
 

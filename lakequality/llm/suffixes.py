@@ -23,12 +23,12 @@ from pyspark.sql import functions as F
 
 from lakequality.llm import words
 from lakequality.llm.induced import sorted_suffixes
-from lakequality.llm.tables import Scratch, add_columns, col, store
+from lakequality.llm.tables import Scratch, add_columns, col, release, store
 
 LENGTH = 50
 GRAM = 16
-PACKET = 1 << 20  # anchors in one packet
-SHARD_BYTES = 32 << 20  # text of one suffix sort; a shard of more is sorted in several, cut between anchors
+PACKET = 1 << 18  # anchors in one packet
+SHARD_BYTES = 6 << 20  # text of one suffix sort; a shard of more is sorted in several, cut between anchors
 PART_BYTES = 64 << 20  # text whose anchors meet in one part
 LONGEST = 64  # places in one stretch
 _HASH_BITS = 48
@@ -63,7 +63,7 @@ def _planes(values: np.ndarray, width: int) -> bytes:
     return np.ascontiguousarray(raw[:, :width].T).tobytes()
 
 
-def _unplaned(raw: bytes, width: int) -> np.ndarray:
+def _unplaned(raw, width: int) -> np.ndarray:
     planes = np.frombuffer(raw, dtype=np.uint8).reshape(width, -1)
     out = np.zeros((planes.shape[1], 8), dtype=np.uint8)
     out[:, :width] = planes.T
@@ -150,7 +150,8 @@ def _answers(parts):
 
     now, entries = None, []
     for part in parts:
-        for number, known, rows, places, hashes in zip(*(c.to_pylist() for c in part.columns), strict=True):
+        for number, known, *packed in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), *part.columns[2:], strict=True):
+            rows, places, hashes = (value.as_buffer() for value in packed)
             if number != now:
                 if entries:
                     yield from met(entries)
@@ -228,13 +229,13 @@ def _sort_shard(said: list[bytes], least: list[int], most: list[int], length: in
     # UTF-8 has no byte 255, so bytes move up by one and zero ends a stretch.
     text = np.frombuffer(b"\xff".join([*said, b""]), dtype=np.uint8) + np.uint8(1)
     owner = np.array(least, dtype=np.int64)
-    of = np.repeat(np.arange(len(said)), sizes + 1)
-    lasts = np.repeat(first + sizes - length, sizes + 1)
+    of = np.repeat(np.arange(len(said), dtype=np.int32), sizes + 1)
+    lasts = first + sizes - length
     places, groups, group = [], [], 0
     for place, common in sorted_suffixes(text, length):
         number = group + np.cumsum(common < length)
         group = int(number[-1])
-        whole = place <= lasts[place]
+        whole = place <= lasts[of[place]]
         places.append(place[whole])
         groups.append(number[whole])
     places, groups = np.concatenate(places), np.concatenate(groups)
@@ -299,6 +300,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         packets.repartition(n_parts, "part").sortWithinPartitions("part").mapInArrow(_answers, "row bigint, hashes array<bigint>")
     )
     answers = Scratch(answers, "answers")
+    release(docs.sparkSession)
     shared = answers.rows.groupBy("row").agg(F.flatten(F.collect_list("hashes")).alias("hashes"))
     stretches = Scratch(
         rows.join(shared, "row").select("row", "id", "text", "hashes").mapInArrow(
@@ -308,6 +310,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "stretches",
     )
     answers.remove()
+    release(docs.sparkSession)
     # Partitioned by anchor alone, so the sums below need no other exchange and come in its order.
     said = (
         stretches.rows.filter("said IS NOT NULL").repartition("anchor")
@@ -328,6 +331,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     spans = store(spans, "repeat-spans")
     stretches.remove()
+    release(docs.sparkSession)
     return spans
 
 

@@ -87,6 +87,14 @@ def add_columns(
     return source.mapInArrow(batches, out)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished steps now; it does so when the driver collects."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Scratch:
     """A stored table that is removed as soon as nothing needs it, to keep the shared folder small."""
 

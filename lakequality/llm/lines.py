@@ -164,21 +164,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     repeats = find_repeats(docs, id_col, text_col, **options)
     gone = repeats.groupBy("id", "text_hash").agg(
-        F.collect_set("line").alias("__gone"),
-        F.count_if(F.col("kind") == "equal").alias("__equal"),
-        F.count_if(F.col("kind") == "edit").alias("__edit"),
-    ).select(F.col("id").alias("__id"), F.col("text_hash").alias("__text_hash"), "__gone", "__equal", "__edit")
+        F.collect_set("line").alias("__line_gone"),
+        F.count_if(F.col("kind") == "equal").alias("__line_equal"),
+        F.count_if(F.col("kind") == "edit").alias("__line_edit"),
+    ).select(F.col("id").alias("__line_id"), F.col("text_hash").alias("__line_hash"), "__line_gone", "__line_equal", "__line_edit")
     text = col(text_col)
-    rows = docs.withColumn("__hash", F.xxhash64(text))
-    joined = rows.join(gone, col(id_col).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__text_hash")), "left")
+    rows = docs.withColumn("__line_own_hash", F.xxhash64(text))
+    joined = rows.join(gone, col(id_col).eqNullSafe(F.col("__line_id")) & (F.col("__line_own_hash") == F.col("__line_hash")), "left")
     parts = F.split(text, "\n", -1)
-    spots = F.coalesce("__gone", F.array().cast("array<int>"))
+    spots = F.coalesce("__line_gone", F.array().cast("array<int>"))
     marked = F.map_from_arrays(spots, F.transform(spots, lambda i: F.lit(True)))
     kept = F.array_join(F.filter(parts, lambda s, i: ~F.map_contains_key(marked, i)), "\n")
     new = ["n_lines", "n_equal", "n_edit"]
     return joined.select(
         *(F.when(F.size(spots) > 0, kept).otherwise(text).alias(c) if c == text_col else col(c) for c in without(docs, new)),
         F.when(text.isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
-        F.coalesce("__equal", F.lit(0)).cast("long").alias("n_equal"),
-        F.coalesce("__edit", F.lit(0)).cast("long").alias("n_edit"),
+        F.coalesce("__line_equal", F.lit(0)).cast("long").alias("n_equal"),
+        F.coalesce("__line_edit", F.lit(0)).cast("long").alias("n_edit"),
     )

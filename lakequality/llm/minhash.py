@@ -277,13 +277,13 @@ def near_classes(
 def remove_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One document of each class, with the columns of `docs`: the least id."""
     kept = near_classes(docs, id_col, text_col, **options).filter("keep").select(
-        F.col("id").alias("__id"), F.col("text_hash").alias("__hash")
+        F.col("id").alias("__near_id"), F.col("text_hash").alias("__near_hash")
     ).distinct()
     text = col(text_col)
     hashed = docs.withColumn(
-        "__text_hash", F.when(text.isNull(), F.xxhash64(F.lit("null"), F.lit(0))).otherwise(F.xxhash64(text))
+        "__near_text_hash", F.when(text.isNull(), F.xxhash64(F.lit("null"), F.lit(0))).otherwise(F.xxhash64(text))
     )
-    joined = hashed.join(kept, col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")))
+    joined = hashed.join(kept, col(id_col).eqNullSafe(F.col("__near_id")) & (F.col("__near_text_hash") == F.col("__near_hash")))
     # Rows equal in id and text: one of them stays.
-    unique = joined.dropDuplicates(["__text_hash", id_col])
+    unique = joined.dropDuplicates(["__near_text_hash", id_col])
     return unique.select(*(col(c) for c in docs.columns))

@@ -20,7 +20,7 @@ ORDER_FIELDS = {
     "data_quality_score": "double",
 }
 # Context defaults.
-CONSUMER_GROUP = "$Default"
+CONSUMER_GROUP = "default"
 UNKNOWN = "unknown"
 
 

@@ -174,7 +174,12 @@ def bronze_validation(bronze: DataFrame, flag: str = "is_valid") -> DataFrame:
     return cells.select(F.inline(parts)).groupBy("check", "item").agg(F.sum("n").alias("n"))
 
 
-def sample_rows(df: DataFrame, size: int, seed: int = 42) -> DataFrame:
-    """A Bernoulli sample of about `size` rows, and all rows when there are fewer."""
-    total = df.count()
-    return df if total <= size else df.sample(False, size / total, seed)
+def sample_rows(df: DataFrame, size: int, key: str) -> DataFrame:
+    """A Bernoulli sample of about `size` rows, and all rows when there are fewer.
+
+    A row is drawn by the first 52 bits of the MD5 of its key, so the sample is the same for any
+    partitioning. The share is a scalar subquery; nothing runs while the plan is built.
+    """
+    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    draw = F.conv(F.substr(F.md5(F.col(key).cast("string")), F.lit(1), F.lit(13)), 16, 10).cast("double")
+    return df.filter(draw < F.lit(float(size)) / total * F.lit(float(1 << 52)))

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from lakequality.operators.quality import PASS
 
 
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def create_table(
     spark: SparkSession,
     table: str,
@@ -36,11 +39,19 @@ def create_table(
 
 
 def partitions(spark: SparkSession, table: str) -> DataFrame:
-    """The partitions of a table, one column per partition key."""
+    """The partitions of a table, one column per partition key.
+
+    Values are decoded from their folder names; the default partition is null.
+    """
     listed = spark.sql(f"SHOW PARTITIONS {table}")
     keys = _partition_keys(spark, table)
     pairs = F.str_to_map("partition", F.lit("/"), F.lit("="))
-    return listed.select("partition", *(pairs[key].alias(key) for key in keys))
+    # Folder names escape as %XX alone, so a plus is a plus.
+    value = {key: F.url_decode(F.replace(pairs[key], F.lit("+"), F.lit("%2B"))) for key in keys}
+    return listed.select(
+        "partition",
+        *(F.when(pairs[key] != DEFAULT_PARTITION, value[key]).alias(key) for key in keys),
+    )
 
 
 def _partition_keys(spark: SparkSession, table: str) -> list[str]:
@@ -54,8 +65,15 @@ def repair(spark: SparkSession, table: str) -> int:
     return spark.sql(f"SHOW PARTITIONS {table}").count() - before
 
 
+def _quoted(value: object) -> str:
+    if value is None:
+        return "NULL"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
 def _spec(values: Mapping[str, object]) -> str:
-    return ", ".join(f"{key} = '{value}'" for key, value in values.items())
+    return ", ".join(f"`{key}` = {_quoted(value)}" for key, value in values.items())
 
 
 def add_partition(
@@ -68,10 +86,13 @@ def add_partition(
 def drop_partitions(
     spark: SparkSession, table: str, specs: Sequence[Mapping[str, object]]
 ) -> None:
-    """Drop partitions in one statement; a managed table loses their files too."""
+    """Drop partitions in one statement; a managed table loses their files too.
+
+    A partition that is not there is an error, so a wrong name can't pass for a drop.
+    """
     if specs:
         listed = ", ".join(f"PARTITION ({_spec(values)})" for values in specs)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {listed}")
+        spark.sql(f"ALTER TABLE {table} DROP {listed}")
 
 
 def analyze(spark: SparkSession, table: str, columns: Sequence[str] = ()) -> None:
@@ -133,7 +154,8 @@ def retention_candidates(df: DataFrame, column: str, as_of: Column, days: int) -
 def expire(spark: SparkSession, table: str, column: str, as_of: str, days: int) -> DataFrame:
     """Drop the partitions older than `days` days; returns them with files, bytes and rows.
 
-    The report is taken before the drop. Only partition names reach the driver.
+    Files are counted before the drop, and the report holds those partitions that are gone after it.
+    Only partition names reach the driver.
     """
     limit = cutoff(F.lit(as_of).cast("date"), days)
     keys = _partition_keys(spark, table)
@@ -142,7 +164,10 @@ def expire(spark: SparkSession, table: str, column: str, as_of: str, days: int)
     doomed = spark.table(table).filter(F.col(column) < limit)
     report = storage_stats(doomed, column).collect()
     drop_partitions(spark, table, specs)
-    return spark.createDataFrame(report, f"{column} DATE, files BIGINT, bytes BIGINT, n BIGINT")
+    spark.catalog.refreshTable(table)
+    left = {str(row[column]) for row in partitions(spark, table).select(column).distinct().collect()}
+    gone = [row for row in report if str(row[column]) not in left]
+    return spark.createDataFrame(gone, f"{column} DATE, files BIGINT, bytes BIGINT, n BIGINT")
 
 
 def compact(
@@ -173,14 +198,42 @@ def compact(
     writer.parquet(path)
 
 
-def repoint(spark: SparkSession, table: str, path: str) -> None:
-    """Make a table, or every partition of it, read from a new version folder."""
+def repoint(
+    spark: SparkSession,
+    table: str,
+    path: str,
+    only: Sequence[Mapping[str, object]] | None = None,
+    checked: bool = True,
+) -> None:
+    """Make a table, or partitions of it, read from a new version folder.
+
+    Of a partitioned table only partitions that the new version holds are switched, or those of `only`, which it must hold.
+    Their rows are counted in both versions first; where the counts differ, nothing is switched and
+    ValueError is raised. `checked=False` leaves the count out, for versions that differ on purpose.
+    """
     keys = _partition_keys(spark, table)
-    if not keys:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-    else:
-        for row in partitions(spark, table).collect():
-            values = {key: row[key] for key in keys}
-            where = f"PARTITION ({_spec(values)})"
-            spark.sql(f"ALTER TABLE {table} {where} SET LOCATION '{path}/{row['partition']}'")
+    if not keys:  # a table without partitions has one version, named by the caller
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(path)}")
+        spark.catalog.refreshTable(table)
+        return
+    new = spark.read.schema(spark.table(table).schema).parquet(path)
+    old_counts = _counts(spark.table(table), keys)
+    new_counts = _counts(new, keys)
+    wanted = set(new_counts)
+    if only is not None:
+        wanted = {tuple(None if v[key] is None else str(v[key]) for key in keys) for v in only}
+    names = {tuple(row[key] for key in keys): row["partition"] for row in partitions(spark, table).collect()}
+    wrong = [w for w in wanted if w not in new_counts or checked and old_counts.get(w) != new_counts[w]]
+    wrong += [w for w in wanted if w not in names]
+    if wrong:
+        raise ValueError(f"the new version does not hold the same rows: {sorted(map(str, wrong))[:5]}")
+    for values in sorted(wanted, key=str):
+        where = f"PARTITION ({_spec(dict(zip(keys, values, strict=True)))})"
+        spark.sql(f"ALTER TABLE {table} {where} SET LOCATION {_quoted(path + '/' + names[values])}")
     spark.catalog.refreshTable(table)
+
+
+def _counts(df: DataFrame, keys: Sequence[str]) -> dict[tuple, int]:
+    """Rows by partition; one number for each partition reaches the driver."""
+    grouped = df.groupBy(*(F.col(key).cast("string").alias(key) for key in keys)).agg(F.count(F.lit(1)).alias("__n"))
+    return {tuple(row[key] for key in keys): row["__n"] for row in grouped.collect()}

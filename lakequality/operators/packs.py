@@ -9,7 +9,7 @@ from lakequality.operators.rules import ERROR, WARN, Rule, RuleSet
 
 # ---- Fixed values: domains, formats and bounds ------------------------------------------------
 
-WEATHER_SOURCES = ("databricks_weather_simulator", "external_api", "sensor_data")
+WEATHER_SOURCES = ("sensor_simulator", "external_api", "sensor_data")
 ORDER_STATUSES = ("NEW", "PROCESSING", "SHIPPED", "DELIVERED", "CANCELLED", "RETURNED")
 PAYMENT_STATUSES = ("PENDING", "PAID", "REFUNDED", "FAILED", "PARTIAL")
 CATALOG_ORDER_STATUSES = ("NEW", "CONFIRMED", "PROCESSING", "SHIPPED", "DELIVERED", "CANCELLED")

@@ -12,7 +12,7 @@ from lakequality.functions import scalars
 from lakequality.functions.casts import safe_cast
 
 # Defaults for fields a message may lack.
-WEATHER_SOURCE = "databricks_weather_simulator"
+WEATHER_SOURCE = "sensor_simulator"
 ORDER_DEFAULTS = {"order_status": "NEW", "payment_status": "PENDING"}
 ORDER_NUMBERS = {
     "quantity": 0,

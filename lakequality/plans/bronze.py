@@ -15,7 +15,7 @@ from lakequality.sources import files, samples
 WITH {sql.BRONZE}
 SELECT record_id, ingestion_timestamp, ingestion_date, ingestion_hour, log_partition, log_offset,
        log_sequence, log_enqueued_at, log_partition_key, 'unknown' AS processing_cluster_id,
-       '$Default' AS consumer_group, 'weather-events' AS log_name, raw_payload, payload_size_bytes
+       'default' AS consumer_group, 'weather-events' AS log_name, raw_payload, payload_size_bytes
 FROM bronze
 """,
 )
@@ -247,7 +247,7 @@ def bronze_write_report(spark, sf_dir):
 
 @query("bronze_sample")
 def bronze_sample(spark, sf_dir):
-    return dataset.sample_rows(samples.bronze_events(spark, sf_dir), 1000).select(
+    return dataset.sample_rows(samples.bronze_events(spark, sf_dir), 1000, "record_id").select(
         "record_id", "payload_size_bytes"
     )
 

@@ -466,9 +466,9 @@ def enrich_master(spark, sf_dir):
     "existing_names",
     f"""
 WITH {sql.BRONZE}
-SELECT record_id, log_partition AS eventhub_partition, log_offset AS eventhub_offset,
-       log_sequence AS eventhub_sequence_number, log_enqueued_at AS eventhub_enqueued_time,
-       log_partition_key AS eventhub_partition_key, 'weather-events' AS eventhub_name
+SELECT record_id, log_partition AS stream_partition, log_offset AS stream_offset,
+       log_sequence AS stream_sequence_number, log_enqueued_at AS stream_enqueued_time,
+       log_partition_key AS stream_partition_key, 'weather-events' AS stream_name
 FROM bronze
 """,
 )
@@ -476,10 +476,10 @@ def existing_names(spark, sf_dir):
     rows = bronze.rename(samples.bronze_events(spark, sf_dir), schemas.EXISTING_NAMES)
     return rows.select(
         "record_id",
-        "eventhub_partition",
-        "eventhub_offset",
-        "eventhub_sequence_number",
-        "eventhub_enqueued_time",
-        "eventhub_partition_key",
-        "eventhub_name",
+        "stream_partition",
+        "stream_offset",
+        "stream_sequence_number",
+        "stream_enqueued_time",
+        "stream_partition_key",
+        "stream_name",
     )

@@ -101,7 +101,7 @@ filled AS (
            coalesce(event_id, coalesce(city, 'unknown') || '-' ||
              CAST(floor(epoch(ts)) AS BIGINT)) AS event_id,
            coalesce(weather_timestamp, ts) AS weather_timestamp,
-           coalesce(data_source, 'databricks_weather_simulator') AS data_source)
+           coalesce(data_source, 'sensor_simulator') AS data_source)
   FROM readings
 )"""
 )
@@ -299,7 +299,7 @@ WEATHER_RULES = [
         "data_source_valid",
         "warn",
         "medium",
-        "data_source IN ('databricks_weather_simulator','external_api','sensor_data')",
+        "data_source IN ('sensor_simulator','external_api','sensor_data')",
         None,
     ),
     (

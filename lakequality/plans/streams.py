@@ -184,10 +184,7 @@ def stream_quality_metrics(spark, sf_dir):
     "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey",
 )
 def stream_customer_counts(spark, sf_dir):
-    schema = samples.table(spark, sf_dir, "orders").schema
-    orders = files.stream_files(
-        spark, sf_dir, schema, max_files=MAX_FILES, pathGlobFilter="orders.parquet"
-    )
+    orders = landed(samples.table(spark, sf_dir, "orders"), "orders")
     out = work_dir(spark, "customer-counts")
     counts = streams.running_counts(orders, "o_custkey")
     finish(streams.changelog(counts, out, work_dir(spark, "checkpoint"), interval=NOW))

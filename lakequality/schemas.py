@@ -183,19 +183,19 @@ ORDER_MESSAGE = (
 
 # The column names that tables written by earlier jobs carry.
 EXISTING_NAMES = {
-    "log_partition": "eventhub_partition",
-    "log_offset": "eventhub_offset",
-    "log_sequence": "eventhub_sequence_number",
-    "log_enqueued_at": "eventhub_enqueued_time",
-    "log_partition_key": "eventhub_partition_key",
-    "log_name": "eventhub_name",
+    "log_partition": "stream_partition",
+    "log_offset": "stream_offset",
+    "log_sequence": "stream_sequence_number",
+    "log_enqueued_at": "stream_enqueued_time",
+    "log_partition_key": "stream_partition_key",
+    "log_name": "stream_name",
     "quality_flag": "flag_check",
     "failure_reason": "description_failure",
-    "rule_results": "dqx_rule_results",
-    "quality_score": "dqx_quality_score",
-    "validated_at": "dqx_validation_timestamp",
-    "lineage_id": "dqx_lineage_id",
-    "criticality": "dqx_criticality_level",
+    "rule_results": "check_rule_results",
+    "quality_score": "check_quality_score",
+    "validated_at": "check_validation_timestamp",
+    "lineage_id": "check_lineage_id",
+    "criticality": "check_criticality_level",
     "failed_rules": "failed_rules_count",
     "passed_rules": "passed_rules_count",
 }

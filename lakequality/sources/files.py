@@ -18,17 +18,6 @@ def read_sql(spark: SparkSession, text: str, **tables: DataFrame) -> DataFrame:
     return spark.sql(text, **tables)
 
 
-def spread(df: DataFrame, keys: Sequence[str], most: int = 32) -> DataFrame:
-    """Deal the rows of a small table to several cores.
-
-    A file of one row group keeps all map-side work on one core, however many splits it has. Only
-    inputs of fewer than `most` splits, so of a few GB, are ever moved; larger ones stay as scanned.
-    Rows go by the hash of their keys, which is repeatable without sorting them first.
-    """
-    cores = min(df.sparkSession.sparkContext.defaultParallelism, most)
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def stream_files(
     spark: SparkSession,
     path: str,

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+logger = logging.getLogger(__name__)
+
 
 def kafka_options(
     servers: str,
@@ -42,7 +46,8 @@ def read_log(
     for position, candidate in enumerate(candidates):
         try:
             return spark.readStream.format(format).options(**candidate).load()
-        except Exception:
+        except AnalysisException as refused:
+            logger.warning("option set %d was refused: %s", position, refused)
             if position == len(candidates) - 1:
                 raise
     raise ValueError("no options given")

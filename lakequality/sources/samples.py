@@ -12,24 +12,14 @@ from pyspark.sql import functions as F
 from lakequality.functions.scalars import left_pad, net_amount
 from lakequality.operators import bronze as bronze_ops
 from lakequality.session import prepare
-from lakequality.sources.files import spread
 
 EVENTS_AS_OF = "2024-01-31 00:00:00"
 ORDERS_AS_OF = "2001-08-01 00:00:00"
 MONEY = "decimal(10,2)"
-# The tables that grow with the data, with the columns that tell their rows apart.
-FACTS = {
-    "lineitem": ("l_orderkey", "l_linenumber"),
-    "events": ("event_id",),
-    "documents": ("doc_id",),
-    "pages": ("page_id",),
-    "conversations": ("conv_id", "turn"),
-}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    rows = prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(rows, FACTS[name]) if name in FACTS else rows
+    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def at(moment: str) -> Column:

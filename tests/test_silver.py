@@ -225,7 +225,7 @@ def test_order_message_round_trip(spark):
 
 def test_existing_names(spark):
     renamed = bronze.rename(bronze_rows(spark, "{}"), schemas.EXISTING_NAMES)
-    assert {"eventhub_partition", "eventhub_offset", "eventhub_name"} <= set(renamed.columns)
+    assert {"stream_partition", "stream_offset", "stream_name"} <= set(renamed.columns)
 
 
 def test_enrich_keeps_unmatched_rows(spark):

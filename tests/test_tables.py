@@ -101,8 +101,8 @@ def test_bronze_validation(spark):
 
 
 def test_sample(spark):
-    assert dataset.sample_rows(spark.range(100), 1000).count() == 100
-    assert 300 < dataset.sample_rows(spark.range(10000), 500).count() < 700
+    assert dataset.sample_rows(spark.range(100), 1000, "id").count() == 100
+    assert 300 < dataset.sample_rows(spark.range(10000), 500, "id").count() < 700
 
 
 FRAGMENTS = {
@@ -406,14 +406,6 @@ def test_shared_folder_is_required_on_a_cluster():
         shared_root(_Cluster(None))
 
 
-def test_small_inputs_are_spread_and_large_ones_left(spark):
-    from lakequality.sources.files import spread
-
-    small, large = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, 40)
-    assert spread(small, ["id"]).rdd.getNumPartitions() == 8
-    assert spread(large, ["id"]) is large
-
-
 def test_sql_text_as_a_source(spark):
     from lakequality.sources.files import read_path, read_sql
 
@@ -431,3 +423,26 @@ def test_status_domains_are_parameters(spark):
 
     assert quality.validate(data, usual).first()["quality_flag"] == "WARNING"
     assert quality.validate(data, wider).first()["quality_flag"] == "PASS"
+
+
+def test_expire_reports_what_is_gone(spark, table):
+    rows = spark.sql("SELECT id, 'a:b' AS site, DATE'2024-01-01' AS day FROM range(10)")
+    sinks.save_table(rows, table, partitions=["day", "site"], path=work_dir(spark, "t-escaped"))
+    report = maintenance.expire(spark, table, "day", "2024-02-01", 2).collect()
+    assert [row["n"] for row in report] == [10]
+    assert spark.table(table).count() == 0
+
+
+def test_repoint_keeps_partitions_that_the_new_version_lacks(spark, table):
+    sinks.save_table(days(spark), table, partitions=["day"], path=work_dir(spark, "t-old"))
+    before = spark.table(table).count()
+    first = spark.table(table).agg({"day": "min"}).first()[0]
+    new = work_dir(spark, "t-new")
+    maintenance.compact(spark.table(table).filter(f"day = '{first}'"), new, partitions=["day"])
+    maintenance.repoint(spark, table, new)
+    assert spark.table(table).count() == before
+    short = work_dir(spark, "t-short")
+    maintenance.compact(spark.table(table).filter(f"day = '{first}'").limit(1), short, partitions=["day"])
+    if spark.table(table).filter(f"day = '{first}'").count() > 1:
+        with pytest.raises(ValueError):
+            maintenance.repoint(spark, table, short)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakequality.operators.dataset import duplicate_keys
 from lakequality.operators.quality import FAIL, PASS, WARNING
+from lakequality.session import materialize
 
 
 def _count() -> Column:
@@ -26,7 +27,7 @@ def counts_by(df: DataFrame, *columns: str) -> DataFrame:
 def share_by(df: DataFrame, column: str, score: str) -> DataFrame:
     """Per value: rows, mean, least and greatest score, and the share of all rows.
 
-    The window runs over the few aggregated rows only.
+    The total is a scalar subquery over the aggregated rows, whose exchange both parts share.
     """
     grouped = df.groupBy(column).agg(
         _count().alias("n"),
@@ -34,8 +35,7 @@ def share_by(df: DataFrame, column: str, score: str) -> DataFrame:
         F.min(score).alias("min_score"),
         F.max(score).alias("max_score"),
     )
-    everything = Window.partitionBy(F.lit(1))
-    return grouped.withColumn("share", F.col("n") / F.sum("n").over(everything))
+    return grouped.withColumn("share", F.col("n") / grouped.agg(F.sum("n")).scalar())
 
 
 def quality_overview(df: DataFrame) -> DataFrame:
@@ -284,13 +284,17 @@ def quality_report(
     """Rows, failures per quality dimension, and the pass rate the failures leave, in percent.
 
     A row that fails in two dimensions counts twice, as reports of this kind do; with
-    `unique_keys`, each repeated key is one failure more.
+    `unique_keys`, each repeated key is one failure more; the checks and the keys are then written
+    down once for both counts.
     """
     names = list(dimensions)
-    failures = [
-        F.count_if(~F.coalesce(good, F.lit(False))).alias(f"{name}_failures")
-        for name, good in dimensions.items()
-    ]
+    checked = {f"{name}_failures": ~F.coalesce(good, F.lit(False)) for name, good in dimensions.items()}
+    if unique_keys:
+        df = materialize(
+            df.select(*unique_keys, *(bad.alias(name) for name, bad in checked.items())), "report-checks"
+        )
+        checked = {name: F.col(name) for name in checked}
+    failures = [F.count_if(bad).alias(name) for name, bad in checked.items()]
     report = df.agg(_count().alias("total_records"), *failures)
     if unique_keys:
         names.append("uniqueness")
@@ -311,7 +315,7 @@ def validated_summary(df: DataFrame) -> DataFrame:
     return df.agg(
         _count().alias("total_records"),
         F.count_if("is_valid").alias("valid_records"),
-        F.max("dataset_score").alias("quality_score"),
+        F.try_divide(F.count_if("is_valid"), _count()).alias("quality_score"),
         F.max("validated_at").alias("latest_validation"),
     ).withColumns(
         {

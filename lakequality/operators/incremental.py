@@ -58,22 +58,27 @@ def paged(df: DataFrame, order: Sequence[str], page_size: int) -> DataFrame:
     """Every row with its position and page in the order of `order`, which must be unique.
 
     LIMIT and OFFSET per page would sort the table once per page. Here it is range-partitioned
-    once; each part is numbered on its own and shifted by the number of rows before it. The ranges
-    are drawn from a sample, so the parts are written down before they are counted.
+    and sorted once; each row carries its part and its number in it, and is shifted by the rows of
+    the parts before. The ranges are drawn from a sample, so the parts are written down first.
     """
-    parts = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
-    ranged = materialize(parts, "pages")
+    parts = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    row = F.monotonically_increasing_id()  # the part in the upper bits, the row below them
+    in_part = F.lit((1 << 33) - 1)
+    ranged = materialize(
+        parts.withColumn("__row", row)
+        .withColumn("__part", F.shiftright("__row", 33))
+        .withColumn("__row_in_part", F.col("__row").bitwiseAND(in_part) + 1)
+        .drop("__row"),
+        "pages",
+    )
     sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows_in_part"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         F.col("__part").alias("__part_id"),
         F.coalesce(F.sum("__rows_in_part").over(before), F.lit(0)).alias("__rows_before"),
     )
-    within = Window.partitionBy("__part").orderBy(*order)
-    # One row per range partition, so the offsets never outgrow the number of partitions.
     return (
-        ranged.withColumn("__row_in_part", F.row_number().over(within))
-        .join(F.broadcast(offsets), F.col("__part") == F.col("__part_id"))
+        ranged.join(offsets, F.col("__part") == F.col("__part_id"))
         .withColumn("position", F.col("__rows_before") + F.col("__row_in_part"))
         .withColumn("page", F.floor((F.col("position") - 1) / page_size))
         .drop("__part", "__part_id", "__row_in_part", "__rows_before")

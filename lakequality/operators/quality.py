@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakequality.functions import scalars
 from lakequality.operators.rules import ERROR, WARN, RuleSet
+from lakequality.session import materialize
 
 # Flags, thresholds and texts of the quality columns.
 PASS, WARNING, FAIL = "PASS", "WARNING", "FAIL"
@@ -301,26 +302,26 @@ def dataset_score(df: DataFrame, rules: RuleSet) -> DataFrame:
     )
 
 
+def mark_valid(df: DataFrame, rules: RuleSet) -> DataFrame:
+    """Every row with whether it meets all critical rules, as `is_valid`."""
+    marked, broken = mark_broken(df, rules)
+    return marked.withColumn("is_valid", ~broken.any(ERROR)).drop(*broken.names)
+
+
 def stamp_dataset_score(
     df: DataFrame, rules: RuleSet, *, threshold: float = THRESHOLD, at: Column | None = None
 ) -> DataFrame:
     """Per-row validity, with the score of the whole dataset beside it.
 
-    The score is a scalar subquery: one value handed to all tasks, no join.
+    The score needs all rows before the first can have it, so the marked rows are written down once.
+    It is a scalar subquery over one stored column: one value handed to all tasks, no join.
     """
-    marked, broken = mark_broken(df, rules)
-    total = dataset_score(df, rules).select("quality_score").scalar()
-    return (
-        marked.withColumns(
-            {
-                "is_valid": ~broken.any(ERROR),
-                "dataset_score": total,
-                "validated_at": F.current_timestamp() if at is None else at,
-            }
-        )
-        .withColumn("dataset_passed", F.col("dataset_score") >= threshold)
-        .drop(*broken.names)
-    )
+    marked = materialize(mark_valid(df, rules), "marked")
+    score = F.try_divide(F.count_if("is_valid"), F.count(F.lit(1)))
+    total = marked.agg(F.coalesce(score, F.lit(0.0)).alias("score")).scalar()
+    return marked.withColumns(
+        {"dataset_score": total, "validated_at": F.current_timestamp() if at is None else at}
+    ).withColumn("dataset_passed", F.col("dataset_score") >= threshold)
 
 
 def dashboard_record(

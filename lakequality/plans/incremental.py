@@ -7,6 +7,7 @@ from lakequality.plans import sql
 from lakequality.plans.quality import silver_orders
 from lakequality.plans.registry import query
 from lakequality.plans.rules import ITEM, ITEM_SQL
+from lakequality.session import materialize
 from lakequality.sources import samples
 
 
@@ -82,9 +83,10 @@ def upsert_merge(spark, sf_dir):
 @query("union_layers", f"WITH {sql.VALIDATED} SELECT {ITEM_SQL}, failed_rules > 0 AS quarantined FROM validated")
 def union_layers(spark, sf_dir):
     rules = packs.order_rules(samples.ORDERS_AS_OF)
-    passed, quarantined = quality.split(samples.order_items(spark, sf_dir), rules)
-    good = passed.select(*ITEM, F.lit(False).alias("quarantined"))
-    bad = quarantined.select(F.lit(True).alias("quarantined"), *ITEM)
+    sided = quality.with_side(samples.order_items(spark, sf_dir), rules).select(*ITEM, "quarantined")
+    sided = materialize(sided, "sides")
+    good = sided.filter("NOT quarantined").select(*ITEM, F.lit(False).alias("quarantined"))
+    bad = sided.filter("quarantined").select(F.lit(True).alias("quarantined"), *ITEM)
     return incremental.union_all([good, bad])
 
 

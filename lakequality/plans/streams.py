@@ -208,3 +208,36 @@ def stream_table_copy(spark, sf_dir):
         return streamed(spark, files.stream_table(spark, name, max_files=MAX_FILES), "copy")
     finally:
         spark.sql(f"DROP TABLE {name}")
+
+
+@query(
+    "stream_restart",
+    "SELECT event_id, user_id, event_type, ts FROM events",
+)
+def stream_restart(spark, sf_dir):
+    """Two runs over a folder that grows between them, from one checkpoint: no loss, no repeats."""
+    events = samples.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    early = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
+    path, out, checkpoint = (work_dir(spark, f"restart-{name}") for name in ("in", "out", "checkpoint"))
+    for part in (early, ~early):
+        events.filter(part).write.mode("append").parquet(path)
+        rows = files.stream_files(spark, path, events.schema, max_files=MAX_FILES)
+        finish(streams.append_stream(rows, checkpoint, path=out, interval=NOW))
+    return spark.read.parquet(out)
+
+
+@query(
+    "stream_state_restart",
+    "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey",
+)
+def stream_state_restart(spark, sf_dir):
+    """Counters per customer go on where the last run left them."""
+    orders = samples.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    early = F.pmod(F.xxhash64("o_orderkey"), F.lit(2)) == 0
+    path, out, checkpoint = (work_dir(spark, f"state-{name}") for name in ("in", "out", "checkpoint"))
+    for part in (early, ~early):
+        orders.filter(part).write.mode("append").parquet(path)
+        rows = files.stream_files(spark, path, orders.schema, max_files=MAX_FILES)
+        finish(streams.changelog(streams.running_counts(rows, "o_custkey"), out, checkpoint, interval=NOW))
+    changes = spark.read.parquet(out)
+    return incremental.latest_per_key(changes, ["o_custkey"], [F.desc("batch_id")]).select("o_custkey", "n")

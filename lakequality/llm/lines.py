@@ -2,12 +2,13 @@
 
 Two lines are within one edit when they share a deletion variant: both lose the character at the
 same place (a replacement), or one loses a character and becomes the other. A variant for each
-character of each line would be far more data than the text, so two exact steps come first:
+character of each line would be far more data than the text, so exact steps come first:
 
 1. equal lines become one content with its earliest place;
-2. a single edit leaves everything outside a window unchanged, so contents meet first by hashes of
-   what lies before and after a window. Those that meet nobody have no partner. The rest are taken
-   through windows of 64 to 127 characters, and only such a window is varied.
+2. a single edit leaves one half of a line unchanged, so contents meet first by hashes of their
+   halves, which travel without any text. Those that meet nobody have no partner;
+3. the others meet again by hashes of what lies before and after a window, first wide windows, then
+   narrow ones inside those that met. Only a window of 32 to 63 characters is varied.
 
 Variants are joined as hashed keys by grouping: a group keeps its earliest member, so no pairs are
 formed. The edit distance of every line and the earlier line found for it is verified.
@@ -18,25 +19,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakequality.llm.tables import col, store, without
+from lakequality.llm.tables import Scratch, col, release, store, without
 
-WINDOW = 64
+WINDOW = 32
 # Shorter lines have to be equal: one edit turns short words into others.
 MIN_EDIT_CHARS = 16
 
 
-def _coarse(length: Column) -> Column:
-    """A window of a quarter to a half of the line: few keys for each."""
-    half = F.floor(F.log2(F.greatest(length, F.lit(2)).cast("double")) - 1)
-    return F.greatest(F.lit(WINDOW), F.pow(F.lit(2.0), half)).cast("int")
+def _half_keys(line: Column) -> Column:
+    """Hashes of both halves, for a line as the shorter and as the longer of two that may meet."""
+    size = F.length(line)
+    keys = []
+    for shorter in (size, size - 1):
+        head = F.shiftright(shorter, 1)
+        tail = shorter - head
+        keys.append(F.xxhash64(shorter, F.lit(0), F.substr(line, F.lit(1), head)))
+        keys.append(F.xxhash64(shorter, F.lit(1), F.substr(line, size - tail + 1, tail)))
+    return F.array(*keys)
+
+
+def _wide(shorter: Column) -> Column:
+    """A window of some square roots of the line: about as many of them as narrow ones in each."""
+    root = F.floor(F.log2(F.greatest(shorter, F.lit(2)).cast("double")) / 2) + 2
+    return F.greatest(F.lit(WINDOW), F.pow(F.lit(2.0), root)).cast("int")
 
 
-def window_keys(line: Column, shorter: Column, width: Column) -> Column:
+def window_keys(line: Column, shorter: Column, width: Column, first: Column | None = None, end: Column | None = None) -> Column:
     """What lies outside each window: an array of (before, after, key).
 
     `shorter` is the length of the shorter of two lines that may meet. `before` and `after` count
     the unchanged characters on both sides, multiples of `width`; between them lie fewer than two
-    widths of the shorter line. An edit anywhere falls into one of the windows.
+    widths of the shorter line. An edit anywhere falls into one of the windows; `first` and `end`
+    ask only for the windows that an edit at those characters of the shorter line may fall into.
     """
     last = F.greatest(F.floor(shorter / width).cast("int") - 1, F.lit(0))
 
@@ -48,15 +62,9 @@ def window_keys(line: Column, shorter: Column, width: Column) -> Column:
             before.alias("before"), after.alias("after"), F.xxhash64(width, i, last, head, tail).alias("key")
         )
 
-    return F.transform(F.sequence(F.lit(0), last), key)
-
-
-def _all_keys(line: Column, width) -> Column:
-    """Keys of a line as the shorter and as the longer of two."""
-    size = F.length(line)
-    return F.array_distinct(
-        F.concat(window_keys(line, size, width(size)), window_keys(line, size - 1, width(size - 1)))
-    )
+    low = F.lit(0) if first is None else F.least(last, F.floor(first / width).cast("int"))
+    high = last if end is None else F.least(last, F.floor(end / width).cast("int"))
+    return F.transform(F.sequence(low, high), key)
 
 
 def _variants(middle: Column) -> Column:
@@ -73,6 +81,21 @@ def _variants(middle: Column) -> Column:
     return F.when(size > 0, F.concat(whole, cut)).otherwise(whole)
 
 
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Every line that is not blank, as (at, said); `at` orders lines by id, hash of the text, number."""
+    text = col(text_col)
+    split = docs.filter(text.isNotNull()).select(
+        col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n", -1)).alias("line", "said")
+    )
+    return split.filter(F.col("said").rlike(r"[^\x20\x09-\x0D]")).select(F.struct("id", "text_hash", "line").alias("at"), "said")
+
+
+def _shared(keyed: DataFrame) -> DataFrame:
+    """Keys that two different contents have, summed map-side."""
+    both = keyed.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
+    return both.filter("low <> high").select("key")
+
+
 def find_repeats(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -87,33 +110,50 @@ def find_repeats(
     than `min_edit_chars` characters have to be equal. `kind` is "equal" or "edit". Null texts have
     no lines; an empty table gives no rows; no other column is read.
     """
-    text = col(text_col)
-    lines = docs.filter(text.isNotNull()).select(
-        F.struct(col(id_col).alias("id"), F.xxhash64(text).alias("text_hash")).alias("doc"),
-        F.posexplode(F.split(text, "\n", -1)).alias("line", "said"),
-    ).filter(F.col("said").rlike(r"[^\x20\x09-\x0D]"))
-    lines = lines.select(
-        F.struct(F.col("doc.id"), F.col("doc.text_hash"), "line").alias("at"),
-        F.xxhash64("said").alias("h1"),
-        F.xxhash64("said", F.lit("second")).alias("h2"),
-        "said",
+    spark = docs.sparkSession
+    lines = _lines(docs, id_col, text_col)
+    said = F.col("said")
+    contents = lines.select(
+        "at",
+        F.xxhash64(said).alias("h1"),
+        F.xxhash64(said, F.lit("second")).alias("h2"),
+        F.when(F.length(said) >= min_edit_chars, _half_keys(said)).alias("halves"),
     )
-    contents = lines.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.first("said").alias("said"))
-    long = contents.filter(F.length("said") >= min_edit_chars)
-
-    # First meeting: keys that two different contents have.
-    keyed = long.select("h1", "h2", F.explode(_all_keys(F.col("said"), _coarse)).alias("k")).select(
-        "h1", "h2", F.col("k.key").alias("key")
+    contents = Scratch(
+        contents.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.count("*").alias("times"), F.first("halves").alias("halves")),
+        "line-contents",
     )
-    met = keyed.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).filter("low <> high").select("key")
-    ids = keyed.join(met, "key", "left_semi").select("h1", "h2").distinct()
-    close = store(long.join(ids, ["h1", "h2"], "left_semi"), "lines-that-meet")
-
-    # Second meeting, through narrow windows, then the variants of those windows alone.
-    narrow = close.select("h1", "h2", "at", "said", F.explode(_all_keys(F.col("said"), lambda n: F.lit(WINDOW))).alias("k"))
-    narrow = narrow.select("h1", "h2", "at", F.col("k.key").alias("key"), F.col("k.before").alias("before"), F.col("k.after").alias("after"), "said")
-    met = narrow.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).filter("low <> high").select("key")
-    windows = narrow.select("h1", "h2", "at", "key", F.substr("said", F.col("before") + 1, F.length("said") - F.col("before") - F.col("after")).alias("middle"))
+    release(spark)
+
+    # First meeting: halves that two different contents have.
+    keyed = contents.rows.select("h1", "h2", "at", F.explode("halves").alias("key"))
+    met = _shared(keyed)
+    ids = store(keyed.join(met, "key", "left_semi").select("h1", "h2", "at").distinct(), "lines-that-meet")
+    release(spark)
+    spots = ids.select("h1", "h2", F.col("at.id").alias("i"), F.col("at.text_hash").alias("t"), F.col("at.line").alias("n"))
+    close = lines.filter(F.length(said) >= min_edit_chars).join(
+        spots, F.col("at.id").eqNullSafe(F.col("i")) & (F.col("at.text_hash") == F.col("t")) & (F.col("at.line") == F.col("n"))
+    )
+    close = store(close.select("h1", "h2", "at", "said").dropDuplicates(["h1", "h2"]), "lines-met")
+    release(spark)
+
+    # Second meeting: wide windows, and narrow ones inside those that met.
+    roles = close.select("h1", "h2", "said", F.explode(F.array(F.length(said), F.length(said) - 1)).alias("shorter"))
+    shorter = F.col("shorter")
+    wide = roles.select("h1", "h2", "shorter", F.inline(window_keys(said, shorter, _wide(shorter))))
+    wide = wide.join(_shared(wide), "key", "left_semi").select(
+        "h1", "h2", "shorter", F.col("before").alias("first"), (shorter - F.col("after")).alias("end")
+    )
+    narrow = wide.join(close, ["h1", "h2"]).select(
+        "h1", "h2", "at", "said", F.inline(window_keys(said, shorter, F.lit(WINDOW), F.col("first"), F.col("end")))
+    )
+    windows = store(
+        narrow.select("h1", "h2", "at", "key", F.substr("said", F.col("before") + 1, F.length("said") - F.col("before") - F.col("after")).alias("middle")).distinct(),
+        "line-windows",
+    )
+    met = _shared(windows)
+
+    # Third meeting: the variants of the windows that still meet.
     varied = windows.join(met, "key", "left_semi").select(
         "h1", "h2", "at", "key", F.explode(_variants(F.col("middle"))).alias("v")
     ).select("h1", "h2", "at", F.xxhash64("key", "v.variant").alias("variant"), F.col("v.place").alias("place"))
@@ -142,9 +182,14 @@ def find_repeats(
         .filter(F.levenshtein("said", "near_said", 1) >= 0)
         .select("h1", "h2").distinct().withColumn("edit", F.lit(True))
     )
-    firsts = contents.select("h1", "h2", F.col("at").alias("first_at")).join(near, ["h1", "h2"], "left")
-    return (
-        lines.select("at", "h1", "h2").join(firsts, ["h1", "h2"])
+    near = store(near, "lines-near")
+    release(spark)
+    # Contents that lose a line: those said again, and those near an earlier one.
+    again = contents.rows.select("h1", "h2", F.col("at").alias("first_at"), "times").join(near, ["h1", "h2"], "left")
+    again = store(again.filter("times > 1 OR edit").select("h1", "h2", "first_at", "edit"), "lines-again")
+    repeats = (
+        lines.select("at", F.xxhash64(said).alias("h1"), F.xxhash64(said, F.lit("second")).alias("h2"))
+        .join(again, ["h1", "h2"])
         .filter(F.col("edit") | (F.col("first_at") < F.col("at")))
         .select(
             F.col("at.id").alias("id"),
@@ -153,6 +198,10 @@ def find_repeats(
             F.when(F.col("first_at") < F.col("at"), "equal").otherwise("edit").alias("kind"),
         )
     )
+    repeats = store(repeats, "line-repeats")
+    contents.remove()
+    release(spark)
+    return repeats
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

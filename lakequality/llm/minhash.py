@@ -8,7 +8,9 @@ of the darts, not of `k` hashes for every element. Each dart falls on a coordina
 each is the signature, and two documents agree on a coordinate with the probability of their
 weighted Jaccard similarity.
 
-Equal texts are one document until the end. Documents that agree on a band of coordinates meet; in
+Equal texts are one document until the end; of each, the row of the least id lends its text, which is
+read from the input where it is needed, so whole texts are neither stored nor shuffled to find equal
+ones. Documents that agree on a band of coordinates meet; in
 a bucket everyone is compared with one pivot, not with everyone, and a bucket is done when all its
 members are in one class. Comparisons are exact.
 """
@@ -115,20 +117,21 @@ def _likely(parts, threshold: float):
         yield pa.RecordBatch.from_arrays(part.columns[:2], names=["pivot", "other"]).filter(pa.array(agree >= least))
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, threshold: float, salts: int = 64) -> DataFrame:
+def _verify(pairs: DataFrame, texts: DataFrame, reps: DataFrame, threshold: float, salts: int = 64) -> DataFrame:
     """The pairs (pivot, other) whose texts reach the threshold.
 
+    `texts` holds (id, h, text), `reps` the id to take for each `h` of the pairs.
     Members come to their pivot, sorted behind it, in streams: one pivot's shingles are held at a
     time. A pivot with many members is spread over `salts` streams, each with a copy of its text.
     """
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("other"), F.lit(salts)))
-    heads = salted.select("pivot", "salt").distinct().join(
-        texts.select(F.col("h").alias("pivot"), "text"), "pivot"
-    ).select("pivot", "salt", F.lit(None).cast("bigint").alias("other"), "text")
-    members = salted.join(texts.select(F.col("h").alias("other"), "text"), "other").select(
-        "pivot", "salt", "other", "text"
-    )
-    rows = heads.unionByName(members).repartition("pivot", "salt").sortWithinPartitions(
+    heads = salted.select("pivot", "salt", F.lit(None).cast("bigint").alias("other"), F.col("pivot").alias("h")).distinct()
+    members = salted.select("pivot", "salt", "other", F.col("other").alias("h"))
+    asked = heads.unionByName(members).join(reps, "h").withColumnRenamed("h", "said_h")
+    rows = asked.join(
+        texts, (F.col("h") == F.col("said_h")) & F.col("id").eqNullSafe(F.col("rep"))
+    ).select("pivot", "salt", "other", "text")
+    rows = rows.repartition("pivot", "salt").sortWithinPartitions(
         "pivot", "salt", F.col("other").asc_nulls_first()
     )
 
@@ -178,7 +181,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
 
 def near_links(texts: DataFrame, threshold: float = SIMILARITY, n_bands: int = BANDS, n_rows: int = ROWS) -> tuple[DataFrame | None, DataFrame | None]:
-    """Links (a, b) between distinct texts (`h`, `text`) that connect every class, and the classes.
+    """Links (a, b) between distinct texts that connect every class, and the classes.
+
+    `texts` holds (id, h, text), where equal texts have an equal `h`.
 
     Each round compares the members of a bucket with some pivots, unless they are in the pivot's
     class already, then retires the pivots; their number doubles from one round to the next. Buckets
@@ -188,14 +193,22 @@ def near_links(texts: DataFrame, threshold: float = SIMILARITY, n_bands: int = B
     spark = texts.sparkSession
 
     def compute(column):
-        signs = [signature(*shingles(t), n_bands * n_rows) for t in words.texts(column)]
-        return [bands(s, n_bands, n_rows) for s in signs], [(s & np.uint64(255)).astype(np.uint8).tobytes() for s in signs]
-
-    signed = Scratch(add_columns(texts, "keys array<bigint>, sketch binary", ["text"], compute, ["h"]), "signatures")
+        made, out = {}, []
+        for text in words.texts(column):  # equal texts of a batch are signed once
+            if text not in made:
+                sign = signature(*shingles(text), n_bands * n_rows)
+                made[text] = bands(sign, n_bands, n_rows), (sign & np.uint64(255)).astype(np.uint8).tobytes()
+            out.append(made[text])
+        return list(zip(*out, strict=True)) if out else ([], [])
+
+    signs = add_columns(texts, "keys array<bigint>, sketch binary", ["text"], compute, ["h", "id"])
+    signs = signs.groupBy("h").agg(F.first("keys").alias("keys"), F.first("sketch").alias("sketch"), F.min("id").alias("rep"))
+    signed = Scratch(signs, "signatures")
     keyed = signed.rows.select("h", F.explode("keys").alias("key"))
     full = keyed.groupBy("key").count().filter("count > 1").select("key")
     members = keyed.join(full, "key", "left_semi").join(signed.rows.select("h", "sketch"), "h")
     members = store(members.select("key", "h", "sketch"), "buckets")
+    reps = store(signed.rows.select("h", "rep").join(members.select("h").distinct(), "h", "left_semi"), "representatives")
     signed.remove()
     release(spark)
     links = tried = classes = None
@@ -222,11 +235,12 @@ def near_links(texts: DataFrame, threshold: float = SIMILARITY, n_bands: int = B
         pairs = store(pairs, "pairs")
         if not pairs.isEmpty():
             tried = pairs if tried is None else store(tried.unionByName(pairs), "tried")
-            new = _verify(pairs, texts, threshold).select(F.col("pivot").alias("a"), F.col("other").alias("b"))
+            new = _verify(pairs, texts, reps, threshold).select(F.col("pivot").alias("a"), F.col("other").alias("b"))
             new = store(new, "new-links")
             if not new.isEmpty():
                 links = new if links is None else store(links.unionByName(new), "links")
                 classes = components(links)
+        release(spark)
         members = open_.join(pivots, (open_["key"] == pivots["key"]) & (open_["h"] == pivots["pivot"]), "left_anti").select("key", "h", "sketch")
         n_pivots *= 2
 
@@ -254,8 +268,7 @@ def near_classes(
         col(text_col).alias("text"),
         F.when(col(text_col).isNull(), F.xxhash64(F.lit("null"), F.lit(0))).otherwise(F.xxhash64(col(text_col))).alias("h"),
     )
-    texts = store(rows.filter("text IS NOT NULL").groupBy("h").agg(F.first("text").alias("text")), "texts")
-    _, classes = near_links(texts, threshold, n_bands, n_rows)
+    _, classes = near_links(rows.filter("text IS NOT NULL"), threshold, n_bands, n_rows)
     named = rows.select("id", F.col("h").alias("text_hash"), F.col("h").alias("root"))
     if classes is not None:
         named = rows.select("id", "h").join(classes, F.col("h") == F.col("node"), "left").select(

@@ -102,12 +102,13 @@ def analyze(spark: SparkSession, table: str, columns: Sequence[str] = ()) -> Non
     spark.catalog.refreshTable(table)
 
 
-def table_statistics(df: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
-    """Per partition: rows, rows that passed, mean score, newest row; one aggregate."""
+def table_statistics(df: DataFrame, partition_columns: Sequence[str], time: str) -> DataFrame:
+    """Per partition: rows, rows that passed, mean score, newest `time`; one aggregate."""
     return df.groupBy(*partition_columns).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("quality_flag") == PASS).alias("pass_records"),
         F.avg("quality_score").alias("avg_score"),
+        F.max(time).alias("newest"),
     )
 
 

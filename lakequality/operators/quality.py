@@ -29,13 +29,21 @@ _BITS = 60
 _MASK = "broken_rules_"
 
 
+def free_name(name: str, taken: Sequence[str]) -> str:
+    """The name, with underscores behind it until no column has it."""
+    used = {column.lower() for column in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 class _Broken:
     """The bit columns of one rule set: which rules each row breaks."""
 
-    def __init__(self, rules: RuleSet):
+    def __init__(self, rules: RuleSet, taken: Sequence[str]):
         listed = list(rules)
         self.chunks = [listed[i : i + _BITS] for i in range(0, len(listed), _BITS)]
-        self.names = [f"{_MASK}{i}" for i in range(len(self.chunks))]
+        self.names = [free_name(f"{_MASK}{i}", taken) for i in range(len(self.chunks))]
 
     def columns(self) -> dict[str, Column]:
         return {
@@ -91,7 +99,7 @@ def mark_broken(df: DataFrame, rules: RuleSet) -> tuple[DataFrame, _Broken]:
     """Evaluate every rule once; all quality columns derive from the resulting bits."""
     if not len(rules):
         raise ValueError("no rules to apply")
-    broken = _Broken(rules)
+    broken = _Broken(rules, df.columns)
     return df.withColumns(broken.columns()), broken
 
 
@@ -215,11 +223,9 @@ def split(df: DataFrame, rules: RuleSet) -> tuple[DataFrame, DataFrame]:
 
     Each side reads and checks the input again; `sinks.write_split` checks it once for both.
     """
-    sided = with_side(df, rules)
-    return (
-        sided.filter(~F.col("quarantined")).drop("quarantined"),
-        sided.filter("quarantined").drop("quarantined"),
-    )
+    side = free_name("quarantined", df.columns)
+    sided = with_side(df, rules, side)
+    return sided.filter(~F.col(side)).drop(side), sided.filter(F.col(side)).drop(side)
 
 
 def mean_score(rules: RuleSet) -> Column:

@@ -19,7 +19,7 @@ from lakequality.sources import samples
 WITH {sql.VALIDATED}
 SELECT CAST(year(order_date) AS INTEGER) AS order_year, CAST(month(order_date) AS INTEGER) AS order_month,
        count(*) AS n, CAST(count_if(quality_flag = 'PASS') AS BIGINT) AS pass_records,
-       round(avg(quality_score), 6) AS avg_score
+       round(avg(quality_score), 6) AS avg_score, max(ship_date) AS newest
 FROM validated GROUP BY 1, 2
 """,
 )
@@ -27,7 +27,7 @@ def table_statistics(spark, sf_dir):
     rows = silver_orders(spark, sf_dir).withColumns(
         {"order_year": F.year("order_date"), "order_month": F.month("order_date")}
     )
-    return maintenance.table_statistics(rows, ["order_year", "order_month"])
+    return maintenance.table_statistics(rows, ["order_year", "order_month"], "validated_at")
 
 
 @query(

@@ -55,6 +55,10 @@ def test_framework_mean_score(framework):
 
 def test_quarantine(framework):
     rules = packs.framework_rules().without("timestamp_format")
+    assert quality.free_name("A", ["a", "a_"]) == "A__"
+    named = framework.withColumn("broken_rules_0", F.lit(7)).withColumn("quarantined", F.lit("mine"))
+    kept = [side.select("broken_rules_0", "quarantined").distinct().collect() for side in quality.split(named, rules)]
+    assert kept == [[(7, "mine")], [(7, "mine")]]
     passed, quarantined = quality.split(framework, rules)
     assert passed.count() == 3
     assert {row["order_id"] for row in quarantined.collect()} == {"ORD002", "ORD003", "ORD004"}

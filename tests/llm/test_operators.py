@@ -242,6 +242,23 @@ def test_suffix_dedup_against_brute_force(spark, odd, none):
     assert next(len(r.kept) for r in out if r.doc_id == 6) == 100000 and suffixes.remove_repeats(none).count() == 0
 
 
+def test_line_edits_at_every_window(spark):
+    """Every kind of edit, at ends, at window borders and between, in lines of many lengths, is found."""
+    rng = random.Random(5)
+    rows, edited = [], 0
+    for n in (16, 17, 31, 32, 33, 63, 64, 65, 127, 128, 257, 1000, 4097):
+        for at in sorted({0, 1, n // 2 - 1, n // 2, n - 2, n - 1, *(rng.randrange(n) for _ in range(3)), *(x for x in (31, 32, 64, 96) if x < n)}):
+            base = "".join(rng.choice("abcdé漢 xyz") for _ in range(n - 1)) + "q"
+            for text in (base[:at] + "#" + base[at + 1 :], base[:at] + "#" + base[at:], base[:at] + base[at + 1 :]):
+                # A base of its own for each edit, so edits don't meet each other.
+                own = f"{edited:06d}"
+                rows += [(edited, own + base), (100000 + edited, own + text)]
+                edited += 1
+    found = lines.find_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.id for r in found} >= {100000 + k for k in range(edited)}
+    assert all(r.kind == "edit" for r in found)
+
+
 def test_near_classes_against_brute_force(spark, odd, none):
     rows = [(r.doc_id, r.text) for r in read(spark, "documents").collect()]
     sets = [minhash.shingles(t.encode()) for _, t in rows]

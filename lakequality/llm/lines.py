@@ -19,11 +19,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakequality.llm.tables import Scratch, col, release, store, without
+from lakequality.llm.tables import Scratch, col, maybe_in, release, store, without
 
 WINDOW = 32
-# Bits of the filter in front of the join that fetches texts: a broadcast of at most 131072 rows.
-FILTER_BITS = 1 << 23
 # Shorter lines have to be equal: one edit turns short words into others.
 MIN_EDIT_CHARS = 16
 
@@ -98,25 +96,6 @@ def _shared(keyed: DataFrame) -> DataFrame:
     return both.filter("low <> high").select("key")
 
 
-def _maybe(rows: DataFrame, hashed: Column, wanted: DataFrame) -> DataFrame:
-    """Rows whose hash may be among those of `wanted` (h1), so that fewer texts travel to the join with it.
-
-    A table of at most FILTER_BITS / 64 words of bits is broadcast. Where `wanted` is so large that
-    all bits are set, every row passes; the join that follows decides.
-    """
-    bit = lambda h: F.pmod(h, F.lit(FILTER_BITS))
-    spots = wanted.select(bit(F.col("h1")).alias("bit"))
-    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit").bitwiseAND(F.lit(63)).cast("int"))
-    marks = spots.groupBy(F.shiftright("bit", 6).alias("__line_word")).agg(F.bit_or(one).alias("__line_bits"))
-    asked = bit(hashed)
-    mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), asked.bitwiseAND(F.lit(63)).cast("int"))
-    return rows.join(
-        F.broadcast(marks),
-        (F.shiftright(asked, 6) == F.col("__line_word")) & (F.col("__line_bits").bitwiseAND(mask) != 0),
-        "left_semi",
-    )
-
-
 def find_repeats(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -152,7 +131,7 @@ def find_repeats(
     release(spark)
     spots = contents.rows.join(ids, "h1", "left_semi").select("h1", "h2", F.col("at.id").alias("i"), F.col("at.text_hash").alias("t"), F.col("at.line").alias("n"))
     long = lines.filter(F.length(said) >= min_edit_chars)
-    close = _maybe(long, F.xxhash64(said), ids).join(
+    close = maybe_in(long, F.xxhash64(said), ids.select("h1")).join(
         spots, F.col("at.id").eqNullSafe(F.col("i")) & (F.col("at.text_hash") == F.col("t")) & (F.col("at.line") == F.col("n"))
     )
     close = store(close.select("h1", "h2", "at", "said").dropDuplicates(["h1", "h2"]), "lines-met")

@@ -17,7 +17,7 @@ from lakequality.llm import (
     suffixes,
     token_counts,
 )
-from lakequality.llm.tables import read
+from lakequality.llm.tables import maybe_in, read
 from lakequality.session import work_dir
 
 N_SHARDS = 8
@@ -75,7 +75,8 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = docs.select("doc_id", "source", "lang", F.lit(None).cast("string").alias("text")).join(toxic, "doc_id", "left_semi")
     ledger.commit("takedown", gone, counters, F.lit("delete"))
     poor = labels.filter("quality = 0 AND toxic = 0").select("doc_id")
-    revised = docs.join(poor, "doc_id", "left_semi").withColumn("text", F.regexp_replace("text", "[#*$%&|<>]+", ""))
+    maybe = maybe_in(docs, F.xxhash64("doc_id"), poor.select(F.xxhash64("doc_id").alias("h")))
+    revised = maybe.join(poor, "doc_id", "left_semi").withColumn("text", F.regexp_replace("text", "[#*$%&|<>]+", ""))
     ledger.commit("revision", revised, counters, F.lit("revise"))
     ledger.commit("load", docs, counters, F.lit("insert"))
     return ledger.totals()

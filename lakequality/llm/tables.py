@@ -12,6 +12,8 @@ from lakequality.session import materialize, prepare
 
 # Rows of one Arrow batch; whole texts can be long, and a worker holds one batch at a time.
 BATCH_ROWS = "512"
+# Bits of the filter that `maybe_in` broadcasts, in at most 131072 rows.
+FILTER_BITS = 1 << 23
 
 
 def session(spark: SparkSession) -> SparkSession:
@@ -49,6 +51,26 @@ def without(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [name for name in df.columns if name.lower() not in taken]
 
 
+def maybe_in(rows: DataFrame, hashed: Column, wanted: DataFrame) -> DataFrame:
+    """Rows whose hash may be among the hashes of `wanted` (one column), in front of a join with it.
+
+    Few whole texts travel to that join then. A table of at most FILTER_BITS / 64 rows of bits is
+    broadcast. Where `wanted` is so large that all bits are set, every row passes; the join decides.
+    A null hash never passes.
+    """
+
+    def place(h):
+        bit = F.pmod(h, F.lit(FILTER_BITS))
+        mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(F.lit(63)).cast("int"))
+        return F.shiftright(bit, 6), mask
+
+    word, mask = place(col(wanted.columns[0]))
+    marks = wanted.groupBy(word.alias("__filter_word")).agg(F.bit_or(mask).alias("__filter_bits"))
+    word, mask = place(hashed)
+    here = (word == F.col("__filter_word")) & (F.col("__filter_bits").bitwiseAND(mask) != 0)
+    return rows.join(F.broadcast(marks), here, "left_semi")
+
+
 def add_columns(
     df: DataFrame,
     schema: str,

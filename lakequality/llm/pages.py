@@ -1,10 +1,11 @@
 """The main text of web pages, by structure and by differencing pages with neighbouring addresses.
 
 A page is cut into blocks of text. Markup that names its purpose (navigation, footers, adverts,
-forms, scripts, comments, ...) is left out. Where a page marks its article, the text is what stands
-there. Elsewhere pages are paired with the page of the nearest address on the same host: their
-blocks are aligned by longest common subsequence, and the blocks that both have are the site's, not
-the page's, and are deleted. Pages that share most of their text are copies, and keep it.
+forms, scripts, comments, ...) is left out. Every page is paired with the page of the nearest address
+on the same host that is no copy of it: their blocks are aligned by longest common subsequence, and
+the blocks that both have are the site's, not the page's, and are deleted. Where a page marks its
+article, that is checked last: blocks that stand there are restored. A page without another one to
+compare with has its article, or all its blocks if it marks none.
 """
 
 from __future__ import annotations
@@ -126,26 +127,29 @@ def blocks(html: str | None) -> tuple[list[str], list[bool]]:
     return texts, inside
 
 
-def page_text(html: str | None, deleted: set[int]) -> str:
-    """The blocks of the article, or those of the page if it marks none, but the deleted ones."""
+def page_text(html: str | None, deleted: set[int] | None) -> str:
+    """The blocks that are not deleted, and all of the article.
+
+    Without a page to compare with (`deleted` is None) the article, or every block if none is marked.
+    """
     texts, inside = blocks(html)
-    wanted = any(inside)
-    return "\n".join(
-        t for k, (t, i) in enumerate(zip(texts, inside, strict=True)) if (i or not wanted) and k not in deleted
-    )
+    if deleted is None:
+        marked = any(inside)
+        kept = [i or not marked for i in inside]
+    else:
+        kept = [i or k not in deleted for k, i in enumerate(inside)]
+    return "\n".join(t for t, k in zip(texts, kept, strict=True) if k)
 
 
-def open_lines(html: str | None) -> list[int]:
-    """Hashes of the blocks that differencing decides on: those of a page that marks no article."""
+def block_hashes(html: str | None) -> tuple[list[int], int]:
+    """Hashes of the blocks of a page, in their order, and how many stand in an article."""
     texts, inside = blocks(html)
-    if any(inside):
-        return []
-    out = []
-    for text in texts:
-        data = words.as_bytes(text)
-        one = words.hashes(data, np.array([0]), np.array([len(data)]))
-        out.append(int(one.view(np.int64)[0]))
-    return out
+    said = [text.encode("utf-8", "replace") for text in texts]
+    if not said:
+        return [], 0
+    ends = np.cumsum([len(text) for text in said])
+    found = words.hashes(words.as_bytes(b"".join(said)), np.append(0, ends[:-1]), ends)
+    return found.view(np.int64).tolist(), sum(inside)
 
 
 def shared(a: list[int], b: list[int]) -> list[int]:
@@ -196,13 +200,13 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return host, F.substr(place, F.length(F.substring_index(place, "/", 1)) + 1)
 
 
-def neighbours(lines: DataFrame) -> DataFrame:
-    """Pairs (key, lines, other) of pages with the page before and after them by host and path.
+def ranked_pages(lines: DataFrame) -> DataFrame:
+    """Pages (host, path, list, lines) with `rank`, their place by host and path, and `part`, their range.
 
     All pages are sorted once by range, so one host may be of any size: ranks come from the sizes of
     the ranges, and neighbours meet by rank. Only hashes of lines move.
     """
-    order = ["host", "path", "key"]
+    order = ["host", "path", "list"]
     placed = store(
         lines.repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -217,32 +221,20 @@ def neighbours(lines: DataFrame) -> DataFrame:
         "rank", F.col("first") + F.col("mark").bitwiseAND(F.lit((1 << 33) - 1))
     )
     # Ranks inside a range follow the order in which its rows were written.
-    ranked = store(ranked.select("rank", *order, "lines"), "ranked-pages")
-    other = ranked.select(
-        F.col("host").alias("other_host"), F.col("path").alias("other_path"), F.col("lines").alias("other"),
-        F.explode(F.array(F.col("rank") - 1, F.col("rank") + 1)).alias("rank"), F.col("rank").alias("other_rank"),
-    )
-    return ranked.join(other, "rank").filter("host = other_host")
+    return store(ranked.select("rank", "part", *order, "lines"), "ranked-pages")
 
 
-def find_shared(pages: DataFrame, url_col: str = "url", html_col: str = "html", copy_share: float = 0.5) -> DataFrame:
-    """Blocks to delete, by page: (key, deleted), for pages that share blocks with their neighbour.
+def compare(asked: DataFrame, ranked: DataFrame, copy_share: float) -> DataFrame:
+    """The best of the pages `other_ranks` for each asked one: (rank, usable, other_rank, best).
 
-    `key` is the hash of a row's address and html. Of the pages before and after it on its host a
-    page is paired with the one whose path has the longer start in common, or the one before. A pair
-    that shares more than `copy_share` of the page's blocks holds copies, and nothing is deleted.
+    `usable` says that it is no copy; `best` ends with the blocks to delete. A page that has all
+    blocks of the asked one is a copy whatever the share, and deletes nothing.
     """
-    host, path = url_parts(col(url_col))
-
-    def compute(column):
-        return ([open_lines(h) for h in column.to_pylist()],)
-
-    named = pages.select(
-        F.xxhash64(col(url_col), col(html_col)).alias("key"), host.alias("host"), path.alias("path"), col(html_col).alias("html")
+    other = ranked.select(
+        F.col("rank").alias("other_rank"), F.col("host").alias("other_host"), F.col("path").alias("other_path"), F.col("lines").alias("other")
     )
-    lines = add_columns(named, "lines array<bigint>", ["html"], compute, ["key", "host", "path"])
-    lines = store(lines.filter(F.size("lines") > 0).dropDuplicates(["key"]), "page-lines")
-    pairs = neighbours(lines)
+    pairs = asked.select("rank", "host", "path", "lines", F.explode("other_ranks").alias("other_rank"))
+    pairs = pairs.join(other, "other_rank").filter("host = other_host")
     # Bytes in common at the start of both paths.
     common = F.size(
         F.filter(
@@ -250,20 +242,64 @@ def find_shared(pages: DataFrame, url_col: str = "url", html_col: str = "html",
             lambda i: F.substr("path", F.lit(1), i) == F.substr("other_path", F.lit(1), i),
         )
     )
-    best = pairs.withColumn("common", F.when((F.col("path") == "") | (F.col("other_path") == ""), 0).otherwise(common))
-    best = best.groupBy("key").agg(
-        F.max_by(F.struct("lines", "other"), F.struct("common", -F.col("other_rank"))).alias("pair")
-    )
+    pairs = pairs.withColumn("common", F.when((F.col("path") == "") | (F.col("other_path") == ""), 0).otherwise(common))
 
     def align(mine, theirs):
-        out = []
+        usable, n_shared, deleted = [], [], []
         for a, b in zip(mine.to_pylist(), theirs.to_pylist(), strict=True):
             both = shared(a, b)
-            out.append(both if len(both) <= copy_share * len(a) else [])
-        return (out,)
+            usable.append(len(both) <= copy_share * len(a) and len(both) < len(a))
+            n_shared.append(len(both))
+            deleted.append(both if usable[-1] else [])
+        return usable, n_shared, deleted
 
-    aligned = add_columns(best.select("key", "pair.lines", "pair.other"), "deleted array<int>", ["lines", "other"], align, ["key"])
-    return aligned.filter(F.size("deleted") > 0)
+    aligned = add_columns(
+        pairs, "usable boolean, n_shared int, deleted array<int>", ["lines", "other"], align, ["rank", "common", "other_rank"]
+    )
+    fewest = F.when(F.col("usable"), 0).otherwise(-F.col("n_shared")).alias("fewest")
+    order = F.struct("usable", fewest, "common", (-F.col("other_rank")).alias("before"))
+    best = F.max(F.struct(order.alias("order"), "deleted")).alias("best")
+    return aligned.groupBy("rank").agg(best).select(
+        "rank", F.col("best.order.usable").alias("usable"), (-F.col("best.order.before")).alias("other_rank"), "best"
+    )
+
+
+def find_shared(pages: DataFrame, url_col: str = "url", html_col: str = "html", copy_share: float = 0.5) -> DataFrame:
+    """Blocks to delete, by page: (key, deleted), for pages that have another one to compare with.
+
+    Pages that look the same without a row, by what `page_text` restores, have none.
+
+    `key` is the hash of a row's address and html. Equal pages of a host are one, at the first of
+    their addresses. Of the pages before and after it on its host a page is paired with the one whose
+    path has the longer start in common, or the one before. A pair that shares more than `copy_share`
+    of the page's blocks holds copies, and nothing is deleted.
+    """
+    host, path = url_parts(col(url_col))
+
+    def compute(column):
+        return tuple(zip(*(block_hashes(h) for h in column.to_pylist()), strict=True)) or ((), ())
+
+    named = pages.select(
+        F.xxhash64(col(url_col), col(html_col)).alias("key"), host.alias("host"), path.alias("path"), col(html_col).alias("html")
+    )
+    lines = add_columns(named, "lines array<bigint>, n_inside int", ["html"], compute, ["key", "host", "path"])
+    lines = lines.filter(F.size("lines") > 0).withColumn("list", F.xxhash64("lines"))
+    lines = store(lines, "page-lines")
+    first = lines.groupBy("host", "list").agg(F.min_by(F.struct("path", "lines"), "path").alias("first"))
+    ranked = ranked_pages(first.select("host", "first.path", "list", "first.lines"))
+
+    def at(distance):
+        return F.array(F.col("rank") - distance, F.col("rank") + distance)
+
+    answers = [store(compare(ranked.withColumn("other_ranks", at(1)), ranked, copy_share), "compared-1")]
+    found = answers[0]
+    for more in answers[1:]:
+        found = found.unionByName(more)
+    found = found.groupBy("rank").agg(F.max("best").alias("best")).filter("best.deleted IS NOT NULL")
+    found = ranked.select("rank", "host", "list").join(found, "rank").select("host", "list", "best.deleted")
+    # The check by the article: pages that stand in it whole get all blocks back, and need no row.
+    open_ = lines.filter(F.col("n_inside") < F.size("lines")).select("key", "host", "list", "n_inside").dropDuplicates(["key"])
+    return open_.join(found, ["host", "list"]).filter((F.col("n_inside") > 0) | (F.size("deleted") > 0)).select("key", "deleted")
 
 
 def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", keep: list[str] | None = None, **options) -> DataFrame:
@@ -280,6 +316,6 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", keep
 
     def compute(htmls, gone):
         pairs = zip(htmls.to_pylist(), gone.to_pylist(), strict=True)
-        return ([page_text(h, set(d or ())) for h, d in pairs],)
+        return ([page_text(h, None if d is None else set(d)) for h, d in pairs],)
 
     return add_columns(source, "text string", [html_col, "__deleted"], compute, passed)

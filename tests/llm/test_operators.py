@@ -178,6 +178,15 @@ def test_pages(spark):
         assert len(pages.shared(a, b)) == best
 
 
+def test_every_page_is_differenced_and_articles_are_restored(spark):
+    page = "<body><p>Site name</p><article><h1>Notes</h1><p>Own text {0}</p></article><p>Own side {0}</p><p>All rights reserved</p></body>"
+    rows = [(k, f"http://h.org/d/{k}", page.format(k)) for k in range(4)] + [(9, "http://alone.org/", page.format(9))]
+    got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert all(got[k] == f"Notes\nOwn text {k}\nOwn side {k}" for k in range(4))
+    # No page to compare with: the marked article alone.
+    assert got[9] == "Notes\nOwn text 9"
+
+
 def test_leaks(spark, odd, none):
     items = spark.createDataFrame(
         [(1, " ".join(f"WORD{i}" for i in range(20, 45))), (2, "漢字"), (3, ""), (4, None), (None, "null id"), (1, "é")], "item_id bigint, text string"

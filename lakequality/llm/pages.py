@@ -250,7 +250,7 @@ def compare(asked: DataFrame, ranked: DataFrame, copy_share: float) -> DataFrame
             both = shared(a, b)
             usable.append(len(both) <= copy_share * len(a) and len(both) < len(a))
             n_shared.append(len(both))
-            deleted.append(both if usable[-1] else [])
+            deleted.append(both if len(both) < len(a) else None)
         return usable, n_shared, deleted
 
     aligned = add_columns(
@@ -264,6 +264,32 @@ def compare(asked: DataFrame, ranked: DataFrame, copy_share: float) -> DataFrame
     )
 
 
+def beyond_copies(ranked: DataFrame, answers: DataFrame) -> DataFrame:
+    """Pages between copies with `other_ranks`: what the nearest pages with a usable answer were paired with.
+
+    These stand where the copies end, before and after. Windows are over one range of ranks each.
+    """
+    paired = F.when(F.col("usable"), F.struct("host", "other_rank"))
+    marked = ranked.join(answers.select("rank", "usable", "other_rank"), "rank", "left").withColumn("paired", paired)
+    ends = marked.groupBy("part").agg(
+        F.min_by("paired", F.when(F.col("usable"), F.col("rank"))).alias("first"),
+        F.max_by("paired", F.when(F.col("usable"), F.col("rank"))).alias("last"),
+    )
+    # One row for each range.
+    up = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.orderBy("part").rowsBetween(1, Window.unboundedFollowing)
+    ends = ends.select("part", F.last("last", True).over(up).alias("earlier"), F.first("first", True).over(down).alias("later"))
+    # Both run from the start of an order: a frame that ends with the range is read anew for each row.
+    inside = Window.partitionBy("part").rowsBetween(Window.unboundedPreceding, 0)
+    before = F.last("paired", True).over(inside.orderBy("rank"))
+    after = F.last("paired", True).over(inside.orderBy(F.desc("rank")))
+    near = marked.select("rank", "part", "host", "usable", before.alias("before"), after.alias("after")).filter("NOT usable").join(ends, "part")
+    sides = F.array(F.coalesce("before", "earlier"), F.coalesce("after", "later"))
+    here = F.transform(F.filter(sides, lambda x: x["host"] == F.col("host")), lambda x: x["other_rank"])
+    asked = near.select("rank", F.array_distinct(here).alias("other_ranks")).filter(F.size("other_ranks") > 0)
+    return ranked.join(asked, "rank")
+
+
 def find_shared(pages: DataFrame, url_col: str = "url", html_col: str = "html", copy_share: float = 0.5) -> DataFrame:
     """Blocks to delete, by page: (key, deleted), for pages that have another one to compare with.
 
@@ -271,8 +297,10 @@ def find_shared(pages: DataFrame, url_col: str = "url", html_col: str = "html",
 
     `key` is the hash of a row's address and html. Equal pages of a host are one, at the first of
     their addresses. Of the pages before and after it on its host a page is paired with the one whose
-    path has the longer start in common, or the one before. A pair that shares more than `copy_share`
-    of the page's blocks holds copies, and nothing is deleted.
+    path has the longer start in common, or the one before. A page that shares more than `copy_share`
+    of the blocks may be a copy: the nearest pages beyond such copies are asked then, and after them
+    those at distances of 2, 4, ... to the ends of the host. If all share as much, what is shared is
+    the site's, and the page is paired with the one that shares least.
     """
     host, path = url_parts(col(url_col))
 
@@ -292,6 +320,16 @@ def find_shared(pages: DataFrame, url_col: str = "url", html_col: str = "html",
         return F.array(F.col("rank") - distance, F.col("rank") + distance)
 
     answers = [store(compare(ranked.withColumn("other_ranks", at(1)), ranked, copy_share), "compared-1")]
+    copies = answers[0].filter("NOT usable").select("rank")
+    if not copies.isEmpty():
+        answers.append(store(compare(beyond_copies(ranked, answers[0]), ranked, copy_share), "compared-beyond"))
+        copies = store(copies.join(answers[1].filter("usable"), "rank", "left_anti"), "copies-1")
+    distance = 2
+    while not copies.isEmpty():
+        asked = ranked.join(copies, "rank", "left_semi").withColumn("other_ranks", at(distance))
+        answers.append(store(compare(asked, ranked, copy_share), f"compared-{distance}"))
+        copies = answers[-1].filter("NOT usable").select("rank")
+        distance *= 2
     found = answers[0]
     for more in answers[1:]:
         found = found.unionByName(more)

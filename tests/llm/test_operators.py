@@ -187,6 +187,21 @@ def test_every_page_is_differenced_and_articles_are_restored(spark):
     assert got[9] == "Notes\nOwn text 9"
 
 
+def test_menus_go_beside_short_texts_and_copies(spark):
+    menu = "".join(f"<li>Entry {k}" for k in range(9))
+    page = f"<body><ul>{menu}</ul><p>Own {{0}}</p><p>More {{0}}</p>"
+    rows = [(k, f"http://h.org/d/{k:02d}", page.format(k)) for k in range(4)]
+    # Equal pages, and pages with a changed block, at neighbouring addresses.
+    text = "<body><p>Site</p>" + "".join(f"<p>{{0}} says {k}</p>" for k in range(8)) + "<p>{1}</p><p>Rights</p>"
+    rows += [(10 + k, f"http://c.org/a{k}", text.format("A", "end")) for k in range(3)]
+    rows += [(20 + k, f"http://c.org/b{k}", text.format("B", f"end {k}")) for k in range(5)]
+    got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert all(got[k] == f"Own {k}\nMore {k}" for k in range(4))
+    said = {c: "\n".join(f"{c} says {k}" for k in range(8)) for c in "AB"}
+    assert all(got[10 + k] == said["A"] + "\nend" for k in range(3))
+    assert all(got[20 + k] == said["B"] + f"\nend {k}" for k in range(5))
+
+
 def test_leaks(spark, odd, none):
     items = spark.createDataFrame(
         [(1, " ".join(f"WORD{i}" for i in range(20, 45))), (2, "漢字"), (3, ""), (4, None), (None, "null id"), (1, "é")], "item_id bigint, text string"

@@ -7,6 +7,7 @@ T_k(r) = sum_i r_i * n_i * p_ik and their targets, by projected gradient steps o
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
 import numpy as np
@@ -78,7 +79,8 @@ def fit_domains(
     """Count the documents of each domain that have a word, in a bounded sample of labelled ones.
 
     `max_labelled` bounds the labelled rows that are read, chosen by the hash of the id; `max_words`
-    bounds the model: logistic regression on the words present. The words kept are those with the most evidence that a domain uses them more
+    bounds the model, whatever the vocabulary: logistic regression on the words present. It is a cut:
+    where more words than that have the evidence, those with the least of it are not used. The words kept are those with the most evidence that a domain uses them more
     or less than the others (a likelihood-ratio test), `min_evidence` at least. Rows with a null
     id, domain or a domain not asked for are left out, an id with several domains counts for the
     first by name, and without labels all domains are equally likely.
@@ -169,40 +171,55 @@ def solve_rates(
     return rate
 
 
-def fit_rates(
-    rows: DataFrame, targets: np.ndarray, rounds: int = 12, tolerance: float = 1e-6
-) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Projected gradient steps for rows (`n`, `p`); also the domain totals before each step.
-
-    The distance is measured in the metric of G = sum n p p', and a document's step is free of its
-    own length. While no rate is at zero, one step of length one then reaches the least-squares
-    solution; later steps correct for rates held at zero. Each round is one aggregate of a few
-    numbers over the whole table; the driver holds only those.
-    """
-    k = len(targets)
-    gram = rows.agg(
-        *(F.sum(F.col("n") * F.get("p", F.lit(a)) * F.get("p", F.lit(b))).alias(f"g{a}_{b}")
-          for a in range(k) for b in range(a, k))
+def _gram(rows: DataFrame, k: int, taken: Column) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of n p p' over the rows that `taken` holds for, and the domain totals of all rows."""
+    n = F.when(taken, F.col("n")).otherwise(0)
+    sums = rows.agg(
+        *(F.sum(n * F.get("p", F.lit(a)) * F.get("p", F.lit(b))).alias(f"g{a}_{b}") for a in range(k) for b in range(a, k)),
+        *(F.sum(F.col("r") * F.col("n") * F.get("p", F.lit(a))).alias(f"t{a}") for a in range(k)),
     ).first()
     g = np.zeros((k, k))
     for a in range(k):
         for b in range(a, k):
-            g[a, b] = g[b, a] = gram[f"g{a}_{b}"] or 0.0
-    if not g.any():
-        return [], []
-    metric = np.linalg.inv(g + np.eye(k) * (1e-9 * np.trace(g) / k))
+            g[a, b] = g[b, a] = sums[f"g{a}_{b}"] or 0.0
+    return g, np.array([sums[f"t{a}"] or 0.0 for a in range(k)])
+
+
+def fit_rates(
+    rows: DataFrame, targets: np.ndarray, rounds: int = 200, tolerance: float = 1e-6
+) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Projected gradient steps for rows (`n`, `p`); also the domain totals before each step and at the end.
+
+    The distance is measured in the metric of G = sum n p p' over the rows whose rate is not at zero,
+    and a document's step is free of its own length. While no rate reaches zero, one step of length
+    one then reaches the least-squares solution; later steps correct for rates held at zero. A step
+    that widens the gap is taken back and halved. It ends within `tolerance` of the targets, or when
+    no step narrows the gap; `rounds` is a guard. The last totals tell what is missed. Each round is
+    one aggregate of a few numbers over the whole table; the driver holds only those.
+    """
+    k = len(targets)
     steps, seen = [], []
+    least = np.inf
     for _ in range(rounds):
-        rate = solve_rates(F.col("p"), steps)
-        found = rows.select(rate.alias("r"), "n", "p").agg(
-            *(F.sum(F.col("r") * F.col("n") * F.get("p", F.lit(a))).alias(f"t{a}") for a in range(k))
-        ).first()
-        totals = np.array([found[f"t{a}"] or 0.0 for a in range(k)])
-        seen.append(totals)
+        g, totals = _gram(rows.select(solve_rates(F.col("p"), steps).alias("r"), "n", "p"), k, F.col("r") > 0)
+        if not g.any() and not steps:
+            return [], []
         gap = totals - targets
+        wide = float(np.linalg.norm(gap))
+        if steps and wide >= least * (1 - 1e-9):
+            if np.abs(steps[-1]).max() < 1e-9:
+                steps.pop()
+                break
+            steps[-1] = steps[-1] / 2
+            continue
+        least = wide
+        seen.append(totals)
         if np.abs(gap).max() <= tolerance * max(1.0, np.abs(targets).max()):
             break
-        steps.append(metric @ gap)
+        steps.append(np.linalg.inv(g + np.eye(k) * (1e-9 * max(np.trace(g), 1e-9) / k)) @ gap)
+    else:
+        # The last step was not measured.
+        steps = steps[: max(0, len(seen) - 1)]
     return steps, seen
 
 
@@ -212,7 +229,7 @@ def mix(
     weights: Mapping[str, float],
     anchor: str | None = None,
     headroom: float = 1.05,
-    rounds: int = 12,
+    rounds: int = 200,
     id_col: str = "doc_id",
     text_col: str = "text",
     domain_col: str = "domain",
@@ -226,6 +243,8 @@ def mix(
     `n_tokens` (words), `domain` (the likeliest), `posteriors` (in the order of `weights`), `rate`
     and `copies`, the rate rounded up or down by a repeatable draw so that copies average to it.
 
+    Targets that no rates meet are approached, and a warning names the totals reached.
+
     Null texts have no tokens and a rate like any text of their posteriors, null ids are kept and
     drawn alike, repeated rows are drawn alike, an empty table gives no rows, and other columns are
     not read.
@@ -244,7 +263,11 @@ def mix(
     totals = np.array([now[f"t{k}"] or 0.0 for k in range(len(domains))])
     lead = domains.index(anchor) if anchor else int(share.argmax())
     targets = share / share[lead] * totals[lead] * headroom
-    steps, _ = fit_rates(rows, targets, rounds)
+    steps, seen = fit_rates(rows, targets, rounds)
+    missed = np.abs(seen[-1] - targets) if seen else np.zeros(len(domains))
+    if missed.max() > 1e-6 * max(1.0, targets.max()):
+        told = ", ".join(f"{d}: {t:.6g} of {w:.6g}" for d, t, w in zip(domains, seen[-1], targets, strict=True))
+        warnings.warn(f"targets of tokens not met: {told}", stacklevel=2)
     rate = F.round(solve_rates(F.col("p"), steps), 9)
     best = F.array_position("p", F.array_max("p")).cast("int")
     names = F.array(*(F.lit(d) for d in domains))

@@ -80,6 +80,15 @@ def test_shards_are_even_and_gapless(spark, odd, none):
     assert sharding.assign(none, 3).count() == 0
 
 
+@pytest.mark.filterwarnings("error:targets of tokens")
+def test_mixing_meets_targets_on_real_posteriors(spark):
+    rows = queries.op1_mixing(spark, "/root/testdata/sf0.01").collect()
+    totals = {d: sum(r.rate * r.n_tokens * r[f"p_{d}"] for r in rows) for d in queries.MIX}
+    now = sum(r.n_tokens * r.p_good for r in rows)
+    scale = 1.05 * now / queries.MIX["good"]
+    assert all(abs(totals[d] - share * scale) <= 1e-4 * share * scale for d, share in queries.MIX.items())
+
+
 def test_mixing_meets_targets_and_finds_toxic(spark, odd, none):
     rows = spark.createDataFrame(
         [(n, [a, 1 - a]) for n, a in ((100, 0.9), (300, 0.2), (50, 0.5), (80, 0.0), (0, 1.0))], "n int, p array<double>"

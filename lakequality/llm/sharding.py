@@ -63,6 +63,22 @@ def _deal(sizes: dict, n_shards: int) -> dict:
     return place
 
 
+def _bundles(sizes: dict, full: int) -> dict:
+    """Pieces by what is dealt whole: the pieces of one text together while they fit in a shard."""
+    out, filled, last = {}, 0, None
+    for name, size in sorted(sizes.items()):
+        kind, key, _ = name.split(":")
+        if kind == "r":
+            out[name] = [name]
+            continue
+        if key != last or filled + size > full:
+            bundle, filled = [], 0
+            out[name], last = bundle, key
+        bundle.append(name)
+        filled += size
+    return out
+
+
 def assign(
     docs: DataFrame,
     n_shards: int = 8,
@@ -79,7 +95,8 @@ def assign(
 
     The driver holds `n_shards * ranges_per_shard * samples_per_range` keys, and at most a few sizes
     for each range: heavy texts, those that fill half a range, number at most twice the ranges. Equal
-    texts stay in one shard while they fit in one; a group beyond that is cut by id. Null texts count
+    texts stay in one shard while they fit in one; a group beyond that is cut by id into as many shards
+    as it fills. Groups over a quarter of a shard are ranked in several pieces. Null texts count
     as empty, null ids are ordinary values that come first, repeated rows each get a slot of their
     own, an empty table gives no rows, and other columns are not read.
     """
@@ -102,7 +119,7 @@ def assign(
     full = max(1, total // n_shards)
 
     # Texts that fill half a range or more, all copies taken together, become ranges of their own;
-    # those that fill a shard are cut into ranges by id.
+    # large ones are cut into pieces by id, so no task ranks a whole shard.
     heavy = rows.groupBy("key").agg(F.sum("size").alias("s")).filter(F.col("s") * 2 >= fair)
     alone = {r.key: -(-r.s // fair) if r.s > full // 4 else 1 for r in heavy.collect()}
     ranged = rows.withColumn("range", _range_of(cuts))
@@ -133,7 +150,9 @@ def assign(
     ranged = ranged.select("id", "size", "text_crc32", "key", "tie", piece.alias("piece"))
 
     sizes = {r.piece: (r.s, r.n) for r in ranged.groupBy("piece").agg(F.sum("size").alias("s"), F.count("*").alias("n")).collect()}
-    place = _deal({p: s for p, (s, _) in sizes.items()}, n_shards)
+    bundles = _bundles({p: s for p, (s, _) in sizes.items()}, full)
+    dealt = _deal({b: sum(sizes[p][0] for p in some) for b, some in bundles.items()}, n_shards)
+    place = {p: dealt[b] for b, some in bundles.items() for p in some}
     used, table = [0] * n_shards, []
     for name in sorted(place):
         table.append({"piece": name, "shard": place[name], "first_slot": used[place[name]]})

@@ -80,6 +80,18 @@ def test_shards_are_even_and_gapless(spark, odd, none):
     assert sharding.assign(none, 3).count() == 0
 
 
+def test_copies_stay_in_one_shard_while_they_fit(spark):
+    # 8 shards: one text with half a shard of the bytes, one with one and a half, and others.
+    texts = F.when(F.col("id") < 500, F.lit("half " * 4)).when(F.col("id") < 2000, F.lit("more " * 4)).otherwise(F.format_string("other %014d", "id"))
+    docs = spark.range(8000).select(F.col("id").alias("doc_id"), texts.alias("text"))
+    rows = sharding.assign(docs).collect()
+    assert len({r.shard for r in rows if r.doc_id < 500}) == 1
+    assert len({r.shard for r in rows if 500 <= r.doc_id < 2000}) <= 2
+    sizes = [sum(r["size"] for r in rows if r.shard == k) for k in range(8)]
+    assert max(sizes) < 1.1 * sum(sizes) / 8
+    assert all(sorted(r.slot for r in rows if r.shard == k) == list(range(sum(r.shard == k for r in rows))) for k in range(8))
+
+
 @pytest.mark.filterwarnings("error:targets of tokens")
 def test_mixing_meets_targets_on_real_posteriors(spark):
     rows = queries.op1_mixing(spark, "/root/testdata/sf0.01").collect()

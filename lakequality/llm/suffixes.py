@@ -10,8 +10,10 @@ Sorting every suffix of a corpus would move many times its size, so an exact fil
    in very many documents is one entry for each packet.
 2. Only stretches of text around shared anchors move on, each to the shard of its anchor, so that
    all places of a string meet in one shard. Equal stretches are one, with their least id.
-3. A shard sorts the suffixes of its stretches by induced sorting (`induced.py`), with prefixes and
-   tuples on disk where they outgrow memory, and gives every string the least id it occurs with.
+3. A shard sorts the suffixes of its stretches by induced sorting (`induced.py`), in memory, and gives
+   every string the least id it occurs with. One sort holds less than twice `SHARD_BYTES` of text and
+   the stretch that fills it, with its places and prefixes. An anchor of more stretches than that is
+   no group of its own: its strings are, each with the least id it occurs with.
 4. Places with a larger id than that are removed.
 """
 
@@ -20,15 +22,17 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lakequality.llm import words
 from lakequality.llm.induced import sorted_suffixes
-from lakequality.llm.tables import Scratch, add_columns, col, release, store
+from lakequality.llm.tables import Scratch, add_columns, col, release, small, store
 
 LENGTH = 50
 GRAM = 16
 PACKET = 1 << 18  # anchors in one packet
 SHARD_BYTES = 6 << 20  # text of one suffix sort; a shard of more is sorted in several, cut between anchors
+ANCHOR_GROUPS = 1 << 16  # groups of anchors whose text is summed to find those of more than SHARD_BYTES
 PART_BYTES = 64 << 20  # text whose anchors meet in one part
 LONGEST = 64  # places in one stretch
 _HASH_BITS = 48
@@ -280,9 +284,42 @@ def _shards(parts, length: int):
         yield from flush(rows)
 
 
-def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+def _heavy(said: DataFrame, limit: int) -> DataFrame | None:
+    """Anchors with more than `limit` bytes of stretches, of which there are few; None without any.
+
+    Sums of groups of anchors come first, a bounded number of rows for each task. A stretch that
+    several batches hold counts for each, so some anchors may be heavy that need not be.
+    """
+    group, size = F.pmod(F.xxhash64("anchor"), F.lit(ANCHOR_GROUPS)), F.sum(F.octet_length("said"))
+    sums = said.groupBy(group.alias("group")).agg(size.alias("n")).filter(F.col("n") > limit)
+    groups = [r.group for r in sums.select("group").collect()]
+    if not groups:
+        return None
+    maybe = said.join(small(said.sparkSession, [{"group": g} for g in groups], "group: bigint"), group == F.col("group"), "left_semi")
+    return store(maybe.groupBy("anchor").agg(size.alias("n")).filter(F.col("n") > limit).select("anchor"), "heavy-anchors")
+
+
+def _least_by_string(said: DataFrame, length: int) -> DataFrame:
+    """What `_shards` gives, from an aggregate by whole strings; no group holds more than a stretch."""
+    one = said.groupBy("anchor", "name").agg(F.first("said").alias("said"), F.min("least").alias("least"), F.max("most").alias("most"))
+    starts = F.sequence(F.lit(1), F.octet_length("said") - length + 1)
+    strings = one.select("anchor", "name", "least", "most", "said", F.explode(starts).alias("at")).select(
+        "anchor", "name", "least", "most", (F.col("at") - 1).cast("int").alias("first"), F.expr(f"substring(said, at, {length})").alias("string")
+    )
+    strings = store(strings, "strings-of-heavy-anchors")
+    found = strings.groupBy("string").agg(F.min("least").alias("least_id"))
+    found = strings.join(found, "string").filter("least_id < most").select("anchor", "name", "first", "least_id")
+    # Runs of neighbouring strings of a stretch with one least id.
+    place = F.row_number().over(Window.partitionBy("anchor", "name", "least_id").orderBy("first"))
+    runs = found.withColumn("run", F.col("first") - place).groupBy("anchor", "name", "least_id", "run")
+    return runs.agg(F.min("first").alias("first"), F.max("first").alias("last")).select("anchor", "name", "first", "last", "least_id")
+
+
+def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, heavy_bytes: int = SHARD_BYTES) -> DataFrame:
     """Byte ranges to remove: (row, spans), unmerged, for rows that lose any.
 
+    An anchor with more than `heavy_bytes` of stretches is resolved string by string.
+
     `row` is the hash of a row's id and text.
     """
     text = F.coalesce(col(text_col).cast("string"), F.lit(""))
@@ -312,8 +349,11 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     answers.remove()
     release(docs.sparkSession)
     # Partitioned by anchor alone, so the sums below need no other exchange and come in its order.
+    every = stretches.rows.filter("said IS NOT NULL").select("anchor", "name", "said", "least", "most")
+    heavy = _heavy(every, heavy_bytes)
+    light = every if heavy is None else every.join(heavy, "anchor", "left_anti")
     said = (
-        stretches.rows.filter("said IS NOT NULL").repartition("anchor")
+        light.repartition("anchor")
         .groupBy("anchor", "name")
         .agg(F.first("said").alias("said"), F.min("least").alias("least"), F.max("most").alias("most"))
         .sortWithinPartitions("anchor", "name")
@@ -321,6 +361,8 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = said.mapInArrow(
         lambda parts: _shards(parts, length), "anchor bigint, name bigint, first int, last int, least_id bigint"
     )
+    if heavy is not None:
+        found = found.unionByName(_least_by_string(every.join(heavy, "anchor", "left_semi"), length))
     places = stretches.rows.filter("said IS NULL").select("anchor", "name", "row", "id", "at")
     spans = (
         places.join(found, ["anchor", "name"])

@@ -287,6 +287,25 @@ def test_suffix_dedup_against_brute_force(spark, odd, none):
     assert next(len(r.kept) for r in out if r.doc_id == 6) == 100000 and suffixes.remove_repeats(none).count() == 0
 
 
+def test_heavy_anchors_are_cut_by_strings(spark):
+    rng = random.Random(9)
+    phrase = "a phrase that is said everywhere"
+    said = ["".join(rng.choice("abcdef ") for _ in range(40)) for _ in range(60)]
+    rows = [(k, f"{said[rng.randrange(60)]}{phrase}{said[rng.randrange(60)]}") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+
+    def removed(**options):
+        out = {}
+        for r in suffixes.find_repeats(docs, **options).collect():
+            out[r.row] = {b for s in r.spans for b in range(s.start, s.end)}
+        return out
+
+    assert suffixes._heavy(spark.createDataFrame([(1, b"x" * 60), (1, b"y" * 60), (2, b"z" * 60)], "anchor bigint, said binary"), 100).collect() == [(1,)]
+    assert suffixes._heavy(spark.createDataFrame([(1, b"x" * 60)], "anchor bigint, said binary"), 100) is None
+    want = removed()
+    assert want and removed(heavy_bytes=200) == want and removed(heavy_bytes=0) == want
+
+
 def test_line_edits_at_every_window(spark):
     """Every kind of edit, at ends, at window borders and between, in lines of many lengths, is found."""
     rng = random.Random(5)

@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from lakequality.llm import (
     chat,
+    codes,
     decontaminate,
     host_rules,
     lines,
     minhash,
     mixing,
     pages,
+    phrases,
+    ranking,
     sharding,
     suffixes,
     token_counts,
@@ -109,11 +112,34 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ranking.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codes.compress(read(spark, sf_dir, "embeddings"))
+    return coded.select(
+        F.col("id").alias("vec_id"), codes.code_text(F.col("codes")).alias("code"), "error", "label_error",
+        F.lit(codes.books_digest(books)).alias("codebooks_sha256"),
+    )
+
+
+def op13_phrase_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.compare_neighbours(read(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256",
+        *(F.lower(F.hex(name)).alias(name) for name in ("fingerprint", "edited_fingerprint")),
+        "near_edited", "near_next",
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_mixing, op2_chat, op3_sharding, op4_line_dedup, op5_token_counts,
         op6_html_text, op7_decontamination, op8_quality, op9_suffix_dedup, op10_near_dedup,
+        op11_search, op12_vector_codes, op13_phrase_prints,
     )
 }
 
@@ -251,10 +277,85 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM flagged JOIN verdicts ON flagged.source IS NOT DISTINCT FROM verdicts.source
 """
 
+_SEARCH_SQL = rf"""
+WITH said AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, '{ranking.UPPER}', '{ranking.LOWER}'), '{ranking.TERM}') AS w
+  FROM documents WHERE text IS NOT NULL
+),
+sizes AS (SELECT r, doc_id, len(w) AS n FROM said WHERE len(w) > 0),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM sizes),
+counts AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM said) GROUP BY ALL),
+asked AS (
+  SELECT i, item_id, term, count(*) AS repeats
+  FROM (SELECT row_number() OVER () AS i, item_id,
+               unnest(regexp_extract_all(translate(text, '{ranking.UPPER}', '{ranking.LOWER}'), '{ranking.TERM}')) AS term
+        FROM benchmark) GROUP BY ALL
+),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), totals
+),
+norms AS (SELECT r, doc_id, 100 - 25 + (25 * n * docs) // terms AS m FROM sizes, totals),
+scored AS (
+  SELECT i, item_id, r, doc_id, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN norms USING (r) GROUP BY ALL
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+WHERE rank <= {ranking.TOP}
+"""
+
+
+def _codes_sql() -> str:
+    apart = "list_sum(list_transform(list_zip(parts.v, books.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    steps = []
+    for k in range(codes.ROUNDS + 1):
+        steps.append(f"""
+near{k} AS MATERIALIZED (
+  SELECT r, parts.p, any_value(parts.v) AS v, min(struct_pack(d := {apart}, e := e)) AS best
+  FROM parts JOIN books{k} AS books USING (p) GROUP BY r, parts.p
+)""")
+        if k < codes.ROUNDS:
+            steps.append(f"""
+sums{k} AS (
+  SELECT p, e, i, sum(x)::BIGINT AS s, count(*) AS n
+  FROM (SELECT p, best.e AS e, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM near{k}) GROUP BY ALL
+),
+moved{k} AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM sums{k} GROUP BY p, e),
+books{k + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM books{k} b LEFT JOIN moved{k} m USING (p, e)
+)""")
+    last = codes.ROUNDS
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+         list_transform(embedding, lambda x: floor({codes.SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+parts AS MATERIALIZED (
+  SELECT r, p, v[p * len(v) // {codes.N_PARTS} + 1 : (p + 1) * len(v) // {codes.N_PARTS}] AS v
+  FROM kept, range({codes.N_PARTS}) AS of(p)
+),
+books0 AS MATERIALIZED (SELECT p, r - 1 AS e, v FROM parts WHERE r <= {codes.N_ENTRIES}),{",".join(steps)},
+coded AS (
+  SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM near{last} GROUP BY r
+),
+digest AS (
+  SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, i)) AS codebooks_sha256
+  FROM (SELECT p, e, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM books{last})
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), digest
+"""
+
 
 ORACLES = {
     "op2_chat": _CHAT_SQL.strip(),
     "op4_line_dedup": _LINES_SQL.strip(),
     "op7_decontamination": _LEAKS_SQL.strip(),
     "op8_quality": _quality_sql().strip(),
+    "op11_search": _SEARCH_SQL.strip(),
+    "op12_vector_codes": _codes_sql().strip(),
 }

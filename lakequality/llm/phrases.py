@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakequality.llm import words
-from lakequality.llm.tables import col, store, without
+from lakequality.llm.tables import Scratch, col, without
 
 # Hashes of a fingerprint; the standard error of a likeness is at most 0.045.
 SIZE = 128
@@ -228,7 +228,7 @@ def compare_neighbours(
         if held is not None:
             yield finished(*held, None, first)
 
-    rows = store(ranged.mapInArrow(through, schema), "phrases")
+    rows = Scratch(ranged.mapInArrow(through, schema), "phrases").rows
     heads = rows.filter(F.col("__head").isNotNull()).select(
         F.col("__part").alias("__at"), F.col("__head").alias("__next"), F.col("fingerprint").alias("__print")
     )

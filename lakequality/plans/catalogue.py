@@ -3,6 +3,7 @@
 from lakequality.plans import (  # noqa: F401
     bronze,
     incremental,
+    layout,
     maintenance,
     monitoring,
     quality,

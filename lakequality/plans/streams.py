@@ -12,9 +12,9 @@ from lakequality.plans import sql
 from lakequality.plans.quality import VERDICT, VERDICT_SQL, validated_readings
 from lakequality.plans.registry import query
 from lakequality.plans.rules import filled_readings
-from lakequality.session import work_dir
+from lakequality.session import materialize, work_dir
 from lakequality.sources import files, samples
-from lakequality.streaming import streams
+from lakequality.streaming import checkpoints, progress, streams
 
 NOW = "available now"
 # Files per micro-batch: bounds a batch, not the result.
@@ -241,3 +241,179 @@ def stream_state_restart(spark, sf_dir):
         finish(streams.changelog(streams.running_counts(rows, "o_custkey"), out, checkpoint, interval=NOW))
     changes = spark.read.parquet(out)
     return incremental.latest_per_key(changes, ["o_custkey"], [F.desc("batch_id")]).select("o_custkey", "n")
+
+
+# Parts of `events` by day; each becomes one file.
+N_PARTS, PARTS_PER_BATCH = 8, 3
+
+
+def _in_parts(events, path):
+    """Write a table part by part, one file each, so the order of the files by age is known."""
+    part = F.floor((F.dayofmonth("ts") - 1) / 4).cast("int")
+    for k in range(N_PARTS):
+        events.filter(part == k).coalesce(1).write.mode("append").parquet(path)
+
+
+_PART_SQL = "CAST((day(ts) - 1) // 4 AS INTEGER)"
+
+
+@query(
+    "stream_progress",
+    f"""
+SELECT {_PART_SQL} AS batch_id, count(*) AS input_rows, count(*) AS source_rows, 1 AS sources, true AS beyond_spark
+FROM events GROUP BY ALL
+""",
+)
+def stream_progress(spark, sf_dir):
+    """Progress of every batch, read back after the query has ended and Spark has forgotten the first ones."""
+    events = samples.table(spark, sf_dir, "events").select("event_id", "ts")
+    path, log = work_dir(spark, "progress-in"), work_dir(spark, "progress-log")
+    _in_parts(events, path)
+    setting, keep = "spark.sql.streaming.numRecentProgressUpdates", 3
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, keep)
+    try:
+        with progress.logged(spark, log) as seen:
+            rows = files.stream_files(spark, path, events.schema, max_files=1)
+            stream = streams.bronze_copy(rows, work_dir(spark, "progress-out"), work_dir(spark, "checkpoint"), interval=NOW)
+            finish(stream)
+            seen.wait(stream)
+    finally:
+        spark.conf.set(setting, before)
+    held = len(stream.recentProgress)
+    return progress.read_progress(spark, log).select(
+        F.col("batch_id").cast("int"),
+        "input_rows",
+        F.get("sources", F.lit(0))["input_rows"].alias("source_rows"),
+        F.size("sources").alias("sources"),
+        (F.lit(held) < N_PARTS).alias("beyond_spark"),
+    )
+
+
+@query(
+    "stream_rate_limited",
+    f"""
+WITH parts AS (SELECT {_PART_SQL} AS part, count(*) AS n FROM events GROUP BY ALL)
+SELECT 'files' AS bound, part // {PARTS_PER_BATCH} AS batch_id, count(*) AS files, CAST(sum(n) AS BIGINT) AS n, true AS within
+FROM parts GROUP BY ALL
+UNION ALL
+SELECT 'bytes', part, 1, n, true FROM parts
+""",
+)
+def stream_rate_limited(spark, sf_dir):
+    """What each batch took in, bounded by a number of files and by a number of bytes."""
+    events = samples.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    path = work_dir(spark, "rate-in")
+    _in_parts(events, path)
+    found = None
+    # A bound below the size of any file still lets one through, else a large file would stop the stream.
+    for bound, limit, most in (("files", {"max_files": PARTS_PER_BATCH}, PARTS_PER_BATCH), ("bytes", {"max_bytes": 1}, 1)):
+        out = work_dir(spark, f"rate-{bound}")
+        rows = files.stream_files(spark, path, events.schema, **limit)
+        finish(streams.batch_evidence(rows, out, work_dir(spark, "checkpoint"), interval=NOW))
+        part = spark.read.parquet(f"{out}/admitted").groupBy("batch_id").agg(
+            F.count(F.lit(1)).alias("files"), F.sum("n").alias("n"), (F.count(F.lit(1)) <= most).alias("within")
+        )
+        part = part.select(F.lit(bound).alias("bound"), F.col("batch_id").cast("int"), "files", "n", "within")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+@query(
+    "stream_checkpoint_faults",
+    """
+WITH parts AS (SELECT event_id, day(ts) <= 15 AS early FROM events)
+SELECT 'after the fault' AS phase, count(*) AS n, count(DISTINCT event_id) AS events, 'offsets/0: cut' AS refused
+FROM parts WHERE early
+UNION ALL
+SELECT 'after the restore', count(*), count(DISTINCT event_id), NULL FROM parts
+""",
+)
+def stream_checkpoint_faults(spark, sf_dir):
+    """A checkpoint with a cut offset file is refused and the table keeps its rows; a copy completes it."""
+    events = samples.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    early = F.dayofmonth("ts") <= 15
+    path, out, checkpoint, saved = (work_dir(spark, f"fault-{name}") for name in ("in", "out", "checkpoint", "saved"))
+
+    def run():
+        checkpoints.check(spark, checkpoint)
+        rows = files.stream_files(spark, path, events.schema, max_files=MAX_FILES)
+        finish(streams.append_stream(rows, checkpoint, path=out, interval=NOW))
+
+    def state(phase, refused):
+        held = spark.read.parquet(out).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("events"))
+        return materialize(
+            held.select(F.lit(phase).alias("phase"), "n", "events", F.lit(refused).cast("string").alias("refused")), "fault-state"
+        )
+
+    events.filter(early).write.parquet(path)
+    run()
+    checkpoints.save(spark, checkpoint, saved)
+    events.filter(~early).write.mode("append").parquet(path)
+    checkpoints.cut(spark, f"{checkpoint}/offsets/0", 2)
+    refused = None
+    try:
+        run()
+    except checkpoints.CheckpointError as error:
+        refused = "; ".join(f"{fault.place}: {fault.fault}" for fault in error.faults)
+    phases = state("after the fault", refused)
+    checkpoints.restore(spark, saved, checkpoint)
+    run()
+    return phases.unionByName(state("after the restore", None))
+
+
+# Events in one document; every fifth document has a value that is no number, every seventh ends early.
+_PER_DOCUMENT = 100
+
+
+@query(
+    "stream_json_files",
+    f"""
+WITH documents AS (SELECT *, event_id // {_PER_DOCUMENT} AS document FROM events),
+sides AS (
+  SELECT *, CASE WHEN document % 7 = 3 THEN 'cut' WHEN document % 5 = 2 THEN 'misfit' ELSE 'good' END AS side FROM documents
+)
+SELECT side, count(DISTINCT document) AS documents,
+       CASE WHEN side = 'cut' THEN count(DISTINCT document) ELSE count(*) END AS n,
+       CASE WHEN side <> 'cut' THEN CAST(sum(event_id) AS BIGINT) END AS ids,
+       CASE WHEN side = 'good' THEN round(sum(value), 2) END AS total,
+       CASE WHEN side <> 'good' THEN 'corrupt record' END AS reason
+FROM sides GROUP BY side
+""",
+)
+def stream_json_files(spark, sf_dir):
+    """Multi-line JSON documents as a stream: good rows and dead letters of each batch, written in one pass."""
+    path, out = work_dir(spark, "json-in"), work_dir(spark, "json-out")
+    events = samples.table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    document = F.floor(F.col("event_id") / _PER_DOCUMENT)
+    first = F.col("event_id") % _PER_DOCUMENT == 0
+    sent = F.to_json(
+        F.struct("event_id", "user_id", F.when((document % 5 == 2) & first, "none").otherwise(F.col("value").cast("string")).alias("value")),
+        {"pretty": "true"},
+    )
+    # A number in quotes is a text; only the misfits keep theirs.
+    sent = F.regexp_replace(sent, r'"value" : "([-0-9.E]+)"', '"value" : $1')
+    texts = events.select(document.alias("document"), "event_id", sent.alias("sent")).groupBy("document").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "sent"))), lambda r: r["sent"]), ",\n").alias("said")
+    )
+    whole = F.concat(F.lit("[\n"), "said", F.lit("\n]"))
+    cut = F.left(whole, F.floor(F.length(whole) / 2).cast("int"))
+    texts.select("document", F.when(F.col("document") % 7 == 3, cut).otherwise(whole).alias("value")).repartition("document").write.partitionBy("document").text(path)
+
+    rows = files.stream_json(spark, f"{path}/*", "event_id BIGINT, user_id BIGINT, value DOUBLE", max_files=MAX_FILES, corrupt="broken_text")
+    place = F.regexp_extract(F.col("_metadata.file_path"), "document=([0-9]+)", 1).cast("bigint")
+    rows = rows.withColumn("document", place)
+    finish(
+        streams.quarantined_batches(rows, F.col("broken_text").isNotNull(), out, work_dir(spark, "checkpoint"), source="events", interval=NOW)
+    )
+    good = streams.good_rows(spark, out, rows.schema).select(F.lit("good").alias("side"), "document", "event_id", "value", F.lit(None).cast("string").alias("reason"))
+    letters = streams.dead_letters(spark, out, rows.schema).select(
+        F.when(F.col("document") % 7 == 3, "cut").otherwise("misfit").alias("side"), "document", "event_id", "value",
+        F.col("dead_letter_reason").alias("reason"),
+    )
+    return good.unionByName(letters).groupBy("side", "reason").agg(
+        F.count_distinct("document").alias("documents"),
+        F.count(F.lit(1)).alias("n"),
+        F.when(F.col("side") != "cut", F.sum("event_id")).alias("ids"),
+        F.when(F.col("side") == "good", F.round(F.sum("value"), 2)).alias("total"),
+    )

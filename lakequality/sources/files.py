@@ -25,27 +25,54 @@ def stream_files(
     format: str = "parquet",
     *,
     max_files: int | None = None,
+    max_bytes: str | int | None = None,
     **options,
 ) -> DataFrame:
-    """A folder as a stream: explicit schema, at most `max_files` new files per batch."""
+    """A folder as a stream: explicit schema, bounded batches, oldest files first.
+
+    A batch takes at most `max_files` new files, or files up to `max_bytes` (as `64m`) in all, and one
+    file at least. The two bounds exclude each other.
+    """
     reader = spark.readStream.format(format).schema(schema).options(**options)
+    return _bounded(reader, max_files, max_bytes).load(path)
+
+
+def _bounded(reader, max_files: int | None, max_bytes: str | int | None):
+    if max_files and max_bytes:
+        raise ValueError("bound batches by files or by bytes, not both")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    return reader
 
 
 def stream_json(
-    spark: SparkSession, path: str, schema: T.StructType | str, *, max_files: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    *,
+    max_files: int | None = None,
+    max_bytes: str | int | None = None,
+    corrupt: str | None = None,
 ) -> DataFrame:
-    """One JSON document per file."""
-    return stream_files(spark, path, schema, "json", max_files=max_files, multiLine=True)
+    """One JSON document per file, of one or many lines; a file may hold an array of records.
 
+    With `corrupt`, a document that is no JSON or does not fit the schema comes as one row with its
+    text in that column and what could be read in the others. Without it such rows are all null.
+    """
+    options = {"multiLine": True}
+    if corrupt:
+        given = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+        schema = T.StructType([*given.fields, T.StructField(corrupt, T.StringType())])
+        options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+    return stream_files(spark, path, schema, "json", max_files=max_files, max_bytes=max_bytes, **options)
 
-def stream_table(spark: SparkSession, table: str, *, max_files: int | None = None) -> DataFrame:
-    reader = spark.readStream
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.table(table)
+
+def stream_table(
+    spark: SparkSession, table: str, *, max_files: int | None = None, max_bytes: str | int | None = None
+) -> DataFrame:
+    return _bounded(spark.readStream, max_files, max_bytes).table(table)
 
 
 def bronze_range(

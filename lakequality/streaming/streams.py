@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from lakequality import schemas
@@ -198,6 +199,74 @@ def quality_metric_batches(
     return _for_each(validated, process, checkpoint, interval)
 
 
+def bronze_copy(df: DataFrame, path: str, checkpoint: str, *, interval: str | None = None) -> StreamingQuery:
+    """Each micro-batch as it is, in a folder of its own, which a replay replaces."""
+    return _for_each(df, lambda batch, batch_id: batch.write.mode("overwrite").parquet(batch_folder(path, batch_id)), checkpoint, interval)
+
+
+def batch_evidence(
+    df: DataFrame, path: str, checkpoint: str, *, interval: str | None = None
+) -> StreamingQuery:
+    """Write each micro-batch of a file stream, and beside it what the batch took in.
+
+    The rows go to `path`/rows; `path`/admitted has a row for every file of every batch: its name,
+    bytes and rows. Both have a folder for each batch, which a replay replaces.
+    """
+    at = F.col("_metadata")
+    tagged = df.select("*", at["file_path"].alias("__file"), at["file_size"].alias("__bytes"))
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        rows = batch_folder(f"{path}/rows", batch_id)
+        batch.write.mode("overwrite").parquet(rows)
+        # Counted from what was written, so the source is read once.
+        written = batch.sparkSession.read.schema(batch.schema).parquet(rows)
+        admitted = written.groupBy(F.col("__file").alias("file"), F.col("__bytes").alias("bytes")).agg(F.count(F.lit(1)).alias("n"))
+        admitted.write.mode("overwrite").parquet(batch_folder(f"{path}/admitted", batch_id))
+
+    return _for_each(tagged, process, checkpoint, interval)
+
+
+def quarantined_batches(
+    df: DataFrame, bad: Column, path: str, checkpoint: str, *, source: str, reason: str = "corrupt record", interval: str | None = None
+) -> StreamingQuery:
+    """Write each micro-batch once, split into good rows and dead letters.
+
+    Rows where `bad` is true become dead letters, with the reason, the name of their source and the
+    batch beside all they hold. A replayed batch replaces its folders, so both sides stay in step.
+    Read them back with `good_rows` and `dead_letters`.
+    """
+    dead = F.coalesce(bad, F.lit(False))
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        sided = batch.withColumns(
+            {
+                "dead_letter": dead,
+                "dead_letter_reason": F.when(dead, F.lit(reason)),
+                "dead_letter_source": F.when(dead, F.lit(source)),
+            }
+        )
+        write_batch(sided, batch_id, path, partitions=["dead_letter"])
+
+    return _for_each(df, process, checkpoint, interval)
+
+
+def good_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What `quarantined_batches` let through, in the columns of `schema`."""
+    # Folder names are text; comparing them as such lets Spark skip the other side's folders.
+    return _sides(spark, path, schema).filter("dead_letter = 'false'").select(schema.names)
+
+
+def dead_letters(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What it held back, with reason, source and batch."""
+    added = ["dead_letter_reason", "dead_letter_source", "batch_id"]
+    return _sides(spark, path, schema).filter("dead_letter = 'true'").select(*schema.names, *added)
+
+
+def _sides(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    folders = "dead_letter_reason STRING, dead_letter_source STRING, batch_id BIGINT, dead_letter STRING"
+    return spark.read.schema(T.StructType(schema.fields + T._parse_datatype_string(folders).fields)).parquet(path)
+
+
 def running_counts(df: DataFrame, key: str) -> DataFrame:
     """Rows seen so far per key: the state holds one counter per key."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))

@@ -95,10 +95,22 @@ def drop_partitions(
         spark.sql(f"ALTER TABLE {table} DROP {listed}")
 
 
-def analyze(spark: SparkSession, table: str, columns: Sequence[str] = ()) -> None:
-    """Table and column statistics for the cost-based optimiser."""
+def analyze(
+    spark: SparkSession, table: str, columns: Sequence[str] = (), max_error: float | None = None
+) -> None:
+    """Table and column statistics for the cost-based optimiser.
+
+    `max_error` is the relative error allowed for distinct values; the session's setting is kept.
+    """
     scope = f"FOR COLUMNS {', '.join(columns)}" if columns else "FOR ALL COLUMNS"
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS {scope}")
+    name = "spark.sql.statistics.ndv.maxError"
+    before = spark.conf.get(name)
+    try:
+        if max_error is not None:
+            spark.conf.set(name, str(max_error))
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS {scope}")
+    finally:
+        spark.conf.set(name, before)
     spark.catalog.refreshTable(table)
 
 

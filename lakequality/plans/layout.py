@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from lakequality.operators import layout, maintenance, sinks, versions
+from lakequality.operators import layout, maintenance, sinks, statistics, versions
 from lakequality.plans import sql
 from lakequality.plans.bronze import written_bronze
 from lakequality.plans.registry import query
@@ -116,3 +116,102 @@ def _folders(spark, root, name):
     date = F.regexp_extract("folder", "ingestion_date=([0-9-]+)", 1).cast("date").alias("ingestion_date")
     listed = versions.stored_files(spark, root).select(date, "folder")
     return materialize(listed.groupBy("ingestion_date").agg(F.count_distinct("folder").cast("int").alias(name)), "folders")
+
+
+@query(
+    "column_statistics",
+    """
+WITH figures AS (
+  SELECT count(*) AS n, min(o_orderkey)::VARCHAR AS min_key, max(o_orderkey)::VARCHAR AS max_key,
+         min(cust)::VARCHAR AS min_cust, max(cust)::VARCHAR AS max_cust, count(*) - count(cust) AS no_cust,
+         min(day)::VARCHAR AS min_day, max(day)::VARCHAR AS max_day, count(*) - count(day) AS no_day,
+         max(length(o_orderpriority)) AS long_priority, max(length(o_orderstatus)) AS long_status
+  FROM (SELECT *, CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS cust,
+               CASE WHEN o_orderkey % 11 <> 0 THEN o_orderdate::DATE END AS day FROM orders)
+)
+SELECT 'o_orderkey' AS column_name, min_key AS min_value, max_key AS max_value, 0::BIGINT AS nulls, 8::BIGINT AS max_bytes, n AS table_rows, true AS fresh FROM figures
+UNION ALL SELECT 'cust', min_cust, max_cust, no_cust, 8, n, true FROM figures
+UNION ALL SELECT 'day', min_day, max_day, no_day, 4, n, true FROM figures
+UNION ALL SELECT 'o_orderpriority', NULL, NULL, 0, long_priority, n, true FROM figures
+UNION ALL SELECT 'o_orderstatus', NULL, NULL, 0, long_status, n, true FROM figures
+""",
+)
+def column_statistics(spark, sf_dir):
+    """Statistics of an analysed table; `fresh` says that they are those of the table, distinct values within 5 %."""
+    orders = samples.table(spark, sf_dir, "orders")
+    rows = orders.select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 7 != 0, F.col("o_custkey")).alias("cust"),
+        F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderdate").cast("date")).alias("day"),
+        "o_orderpriority",
+        "o_orderstatus",
+    )
+    table = f"statistics_{uuid.uuid4().hex}"
+    sinks.save_table(rows, table, mode="overwrite", path=work_dir(spark, table))
+    try:
+        maintenance.analyze(spark, table, max_error=0.01)
+        known = statistics.column_statistics(spark, table)
+        stale = statistics.stale_columns(spark, table, rows.columns).select("column_name", F.lit(False).alias("fresh")).distinct()
+        told = known.withColumn("table_rows", F.lit(statistics.table_rows(spark, table)).cast("bigint")).join(stale, "column_name", "left")
+        return materialize(
+            told.select("column_name", "min_value", "max_value", "nulls", "max_bytes", "table_rows", F.coalesce("fresh", F.lit(True)).alias("fresh")),
+            "statistics",
+        )
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+
+
+@query(
+    "catalog_repair",
+    """
+WITH rows AS (
+  SELECT event_id, CASE event_type WHEN 'click' THEN 'a/b: 100%' WHEN 'view' THEN NULL ELSE event_type END AS site,
+         day(ts) > 15 AS late FROM events
+),
+steps AS (
+  SELECT 'written' AS step, site, count(*) AS n FROM rows WHERE NOT late GROUP BY ALL
+  UNION ALL SELECT 'repaired', site, count(*) FROM rows WHERE NOT late GROUP BY ALL
+  UNION ALL SELECT 'added', site, count(*) FROM rows WHERE NOT late GROUP BY ALL
+  UNION ALL SELECT 'added', 'late', count(*) FROM rows WHERE late GROUP BY ALL
+  UNION ALL SELECT 'dropped', site, count(*) FROM rows WHERE NOT late AND site IS DISTINCT FROM 'a/b: 100%' GROUP BY ALL
+  UNION ALL SELECT 'dropped', 'late', count(*) FROM rows WHERE late GROUP BY ALL
+)
+SELECT step, site, n, CAST(CASE step WHEN 'repaired' THEN (SELECT count(*) FROM steps WHERE step = 'written') END AS INTEGER) AS found
+FROM steps WHERE step <> 'written'
+""",
+)
+def catalog_repair(spark, sf_dir):
+    """Folders written behind the catalog's back are found, one is added from elsewhere, one is dropped.
+
+    Partition values hold characters that folder names escape, and null.
+    """
+    kind = F.col("event_type")
+    site = F.when(kind == "click", "a/b: 100%").when(kind != "view", kind)
+    rows = samples.table(spark, sf_dir, "events").select("event_id", F.dayofmonth("ts").alias("day"), site.alias("site"))
+    table = f"repair_{uuid.uuid4().hex}"
+    path, elsewhere = work_dir(spark, table), work_dir(spark, f"{table}-late")
+    maintenance.create_table(spark, table, "event_id BIGINT, site STRING", partitions=["site"], path=path)
+    try:
+        rows.filter("day <= 15").select("event_id", "site").write.mode("append").partitionBy("site").parquet(path)
+        found = maintenance.repair(spark, table)
+        steps = [_by_site(spark, table, "repaired", found)]
+        rows.filter("day > 15").select("event_id").write.parquet(elsewhere)
+        maintenance.add_partition(spark, table, {"site": "late"}, elsewhere)
+        spark.catalog.refreshTable(table)
+        steps.append(_by_site(spark, table, "added"))
+        maintenance.drop_partitions(spark, table, [{"site": "a/b: 100%"}])
+        spark.catalog.refreshTable(table)
+        steps.append(_by_site(spark, table, "dropped"))
+        return steps[0].unionByName(steps[1]).unionByName(steps[2])
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+
+
+def _by_site(spark, table, step, found=None):
+    """Rows of each registered partition as they are now."""
+    listed = maintenance.partitions(spark, table).select(F.col("site").alias("known"))
+    counted = spark.table(table).groupBy("site").agg(F.count(F.lit(1)).alias("n"))
+    both = listed.join(counted, F.col("known").eqNullSafe(F.col("site")), "full")
+    return materialize(
+        both.select(F.lit(step).alias("step"), F.coalesce("known", "site").alias("site"), "n", F.lit(found).cast("int").alias("found")), "repair"
+    )

@@ -8,7 +8,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from lakequality.operators import layout, maintenance, sinks, versions
+from lakequality.operators import layout, maintenance, sinks, statistics, versions
 from lakequality.session import work_dir
 
 
@@ -99,3 +99,48 @@ def test_vacuum_takes_only_what_nothing_reads(spark):
 
 def versions_root(spark, root):
     return spark.createDataFrame([("file:" + root if root.startswith("/") else root,)], "p string").select(versions._plain(F.col("p"))).first()[0]
+
+
+def test_column_statistics_are_read_back_and_change_a_join(spark):
+    name = f"stat_{uuid.uuid4().hex}"
+    small, large = f"{name}_small", f"{name}_large"
+    rows = spark.range(40000).select(
+        "id", F.when(F.col("id") % 4 > 0, F.col("id") % 100).alias("part"), F.repeat(F.lit("x"), 200).alias("filler"),
+        F.expr("date_add(DATE '2024-01-01', CAST(id % 300 AS INT))").alias("day"),
+    )
+    for table in (small, large):
+        sinks.save_table(rows, table, mode="overwrite", path=work_dir(spark, table))
+    assert statistics.table_rows(spark, small) is None
+    assert all(r.min_value is None and r.nulls is None for r in statistics.column_statistics(spark, small).collect())
+    assert {r.figure for r in statistics.stale_columns(spark, small, ["part"]).collect()} == {"min", "max", "nulls", "distinct"}
+
+    def plan():
+        joined = spark.table(small).filter("id < 40").join(spark.table(large), "id")
+        return joined._jdf.queryExecution().sparkPlan().toString()
+
+    settings = {"spark.sql.cbo.enabled": "true", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "64k"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        assert "SortMergeJoin" in plan()
+        for table in (small, large):
+            maintenance.analyze(spark, table, max_error=0.01)
+        assert "BroadcastHashJoin" in plan()  # forty rows are expected now
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    known = {r.column_name: r for r in statistics.column_statistics(spark, small).collect()}
+    assert (known["id"].min_value, known["id"].max_value, known["part"].nulls) == ("0", "39999", 10000)
+    assert (known["day"].min_value, known["day"].max_value) == ("2024-01-01", "2024-10-26")
+    assert abs(known["id"].distinct_values - 40000) <= 2000 and known["filler"].max_bytes == 200
+    assert statistics.table_rows(spark, small) == 40000
+    assert statistics.stale_columns(spark, small, ["id", "part", "day", "filler"]).count() == 0
+    # Rows that another writer adds to the folder; Spark's own writes drop the statistics.
+    late = spark.range(50000, 50010).select("id", F.lit(None).cast("bigint").alias("part"), F.lit("y").alias("filler"), F.lit("2023-01-01").cast("date").alias("day"))
+    late.write.mode("append").parquet(versions.locations(spark, small)[0])
+    spark.catalog.refreshTable(small)
+    late = {(r.column_name, r.figure): (r.known, r.actual) for r in statistics.stale_columns(spark, small, ["id", "part", "day"]).collect()}
+    assert late == {("id", "max"): ("39999", "50009"), ("part", "nulls"): ("10000", "10010"), ("day", "min"): ("2024-01-01", "2023-01-01")}
+    for table in (small, large):
+        spark.sql(f"DROP TABLE {table}")

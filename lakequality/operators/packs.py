@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from lakequality.functions import checks as c
-from lakequality.operators.rules import ERROR, WARN, Rule, RuleSet
+from lakequality.operators.rules import ERROR, WARN, Rule, RuleSet, unique
 
 # ---- Fixed values: domains, formats and bounds ------------------------------------------------
 
@@ -322,6 +322,11 @@ def framework_rules() -> RuleSet:
     )
 
 
+def framework_rules_unique() -> RuleSet:
+    """The rules above with uniqueness beside them; it needs the whole table."""
+    return framework_rules() + [unique("order_id", "item_id", name="uniqueness")]
+
+
 def throughput_rules() -> RuleSet:
     """Five cheap rules over order columns."""
     return RuleSet(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakequality.functions import scalars
-from lakequality.operators.rules import ERROR, WARN, RuleSet
+from lakequality.operators.rules import ERROR, WARN, GroupRule, Rule, RuleSet
 from lakequality.session import materialize
 
 # Flags, thresholds and texts of the quality columns.
@@ -95,12 +95,57 @@ class _Broken:
         return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
+def with_groups(df: DataFrame, rules: RuleSet) -> tuple[DataFrame, RuleSet, list[str]]:
+    """The rows with what their groups break, rules on these rows alone, and the columns added.
+
+    Rules of the same keys share one aggregate and one join. Groups are counted map-side and only
+    those that break a rule are joined back, so a hot key is one row before the join; that side is
+    broadcast while it is small, and the adaptive skew join splits hot keys otherwise. Without rules
+    on groups nothing is added. The table is read once more for each set of keys.
+    """
+    by_keys: dict[tuple[str, ...], list[GroupRule]] = {}
+    for rule in rules:
+        if isinstance(rule, GroupRule):
+            by_keys.setdefault(rule.keys, []).append(rule)
+    if not by_keys:
+        return df, rules, []
+    if df.isStreaming:
+        raise ValueError("rules on groups need a whole table; apply them to the batches of a stream")
+    rows, plain, added = df, {}, []
+    chunks = [(keys, group[i : i + _BITS]) for keys, group in by_keys.items() for i in range(0, len(group), _BITS)]
+    for k, (keys, members) in enumerate(chunks):
+        mask = free_name(f"broken_groups_{k}", rows.columns)
+        sides = [free_name(f"group_{k}_{i}", rows.columns) for i in range(len(keys))]
+        checks = [F.expr(rule.check) if isinstance(rule.check, str) else rule.check for rule in members]
+        bits = [
+            F.when(F.coalesce(check, F.lit(rule.on_null == "pass")), 0).otherwise(1 << bit).cast("bigint")
+            for bit, (rule, check) in enumerate(zip(members, checks, strict=True))
+        ]
+        bad = (
+            df.groupBy(*(F.col(f"`{key}`") for key in keys))
+            .agg(reduce(lambda left, right: left + right, bits).alias(mask))
+            .filter(F.col(mask) != 0)
+            .select(*(F.col(f"`{key}`").alias(side) for key, side in zip(keys, sides, strict=True)), mask)
+        )
+        same = [F.col(f"`{key}`").eqNullSafe(F.col(side)) for key, side in zip(keys, sides, strict=True)]
+        rows = rows.join(bad, same, "left").drop(*sides)
+        added.append(mask)
+        lacking = scalars.any_of([F.col(f"`{key}`").isNull() for key in keys])
+        for bit, rule in enumerate(members):
+            good = F.coalesce(F.col(mask).bitwiseAND(F.lit(1 << bit).cast("bigint")), F.lit(0)) == 0
+            if rule.on_null == "pass":
+                good = good | lacking
+            plain[rule.name] = Rule(rule.name, good, rule.criticality, rule.category, rule.message)
+    return rows, RuleSet(tuple(plain.get(rule.name, rule) for rule in rules)), added
+
+
 def mark_broken(df: DataFrame, rules: RuleSet) -> tuple[DataFrame, _Broken]:
     """Evaluate every rule once; all quality columns derive from the resulting bits."""
     if not len(rules):
         raise ValueError("no rules to apply")
-    broken = _Broken(rules, df.columns)
-    return df.withColumns(broken.columns()), broken
+    rows, rules, added = with_groups(df, rules)
+    broken = _Broken(rules, rows.columns)
+    return rows.withColumns(broken.columns()).drop(*added), broken
 
 
 def score(failed: Column, total: int, mode: str = "ratio", step: float = 0.2) -> Column:
@@ -141,7 +186,7 @@ def validate(
 ) -> DataFrame:
     """Keep every row and add the nine quality columns, in one map-only pass.
 
-    A broken error rule gives FAIL, broken warn rules alone give WARNING (PASS with
+    Rules on groups (`rules.unique`) add an aggregate and a join for each set of keys. A broken error rule gives FAIL, broken warn rules alone give WARNING (PASS with
     `warn_is_pass`). `coarse` counts all rules of a row as broken as soon as one of its error rules
     is, and scores 1 or 0.
     """
@@ -201,6 +246,7 @@ def validate_basic(df: DataFrame, rules: RuleSet, *, at: Column | None = None) -
 
 def rule_flags(df: DataFrame, rules: RuleSet, keep: Sequence[str] = ()) -> DataFrame:
     """One 0/1 column per rule, beside the columns to keep."""
+    df, rules, _ = with_groups(df, rules)
     return df.select(*keep, *(rule.passed().cast("int").alias(rule.name) for rule in rules))
 
 

@@ -47,15 +47,43 @@ class Rule:
         return F.coalesce(check, F.lit(self.on_null == "pass"))
 
 
+@dataclass(frozen=True)
+class GroupRule(Rule):
+    """A named condition on all rows of a key together; rows of a group that breaks it break the rule.
+
+    `check` is a boolean aggregate, as `count(1) = 1`, true for good groups. Null keys are a key of
+    their own; with `on_null="pass"` rows that lack a key are left alone, and so are groups whose check
+    is NULL.
+    """
+
+    keys: tuple[str, ...] = ()
+
+    def __post_init__(self):
+        super().__post_init__()
+        object.__setattr__(self, "keys", (self.keys,) if isinstance(self.keys, str) else tuple(self.keys))
+        if not self.keys:
+            raise ValueError(f"rule {self.name} needs the keys of its groups")
+
+    def passed(self) -> Column:
+        raise TypeError(f"rule {self.name} is on groups; the quality functions that take a table apply it")
+
+
+def unique(*keys: str, name: str | None = None, **options) -> GroupRule:
+    """No other row has the same keys."""
+    options.setdefault("message", f"{', '.join(keys)} not unique")
+    return GroupRule(name or "_".join(("unique", *keys)), "count(1) = 1", keys=keys, **options)
+
+
 def rule_from_config(config: Mapping) -> Rule:
-    """A rule from a dictionary; missing entries raise ValueError."""
+    """A rule from a dictionary, on groups when it has `keys`; missing entries raise ValueError."""
     missing = [name for name in ("name", "check") if not config.get(name)]
     if missing:
         raise ValueError(f"rule configuration lacks {', '.join(missing)}")
-    unknown = set(config) - set(Rule.__dataclass_fields__)
+    kind = GroupRule if "keys" in config else Rule
+    unknown = set(config) - set(kind.__dataclass_fields__)
     if unknown:
         raise ValueError(f"rule configuration has unknown entries: {', '.join(sorted(unknown))}")
-    return Rule(**config)
+    return kind(**config)
 
 
 @dataclass(frozen=True)

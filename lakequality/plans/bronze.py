@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from lakequality.functions import scalars
-from lakequality.operators import bronze, dataset, silver, sinks
+from lakequality.operators import bronze, dataset, loads, silver, sinks
 from lakequality.plans import sql
 from lakequality.plans.registry import query, stored
+from lakequality.session import work_dir
 from lakequality.sources import files, samples
 
 
@@ -345,3 +346,34 @@ def surrogate_order_id(spark, sf_dir):
         scalars.surrogate_order_id(sent, moment).alias("plain_id"),
         scalars.surrogate_order_id(sent, moment, source).alias("unique_id"),
     )
+
+
+@query(
+    "bronze_write_manifest",
+    f"""
+WITH {sql.BRONZE},
+parts AS (SELECT *, CASE WHEN CAST(log_offset AS BIGINT) % 3 = 0 THEN 'first' ELSE 'second' END AS load_id FROM bronze)
+SELECT load_id, ingestion_date, count(*) AS n, sum(count(*)) OVER (PARTITION BY ingestion_date)::BIGINT AS in_table,
+       true AS files_in_place
+FROM parts GROUP BY load_id, ingestion_date
+""",
+)
+def bronze_write_manifest(spark, sf_dir):
+    """Two appends to the same folders, the first delivered twice; each reports its own rows."""
+    rows = samples.bronze_events(spark, sf_dir).select("record_id", "log_offset", "payload_size_bytes", "ingestion_date")
+    rows = rows.repartitionByRange("ingestion_date")
+    first = F.col("log_offset").cast("bigint") % 3 == 0
+    path = work_dir(spark, "loads")
+    for load_id, part in (("first", first), ("second", ~first), ("first", first)):
+        loads.write_load(rows.filter(part), path, load_id, ["ingestion_date"])
+    both = loads.manifest(spark, path, "first").unionByName(loads.manifest(spark, path, "second"))
+    table = spark.read.parquet(path)
+    held = table.groupBy("ingestion_date").agg(
+        F.count(F.lit(1)).alias("in_table"), F.count_distinct("_metadata.file_path").alias("held_files")
+    )
+    told = both.groupBy("ingestion_date").agg(F.sum("files").alias("told_files"))
+    return (
+        both.join(held, "ingestion_date", "left")
+        .join(told, "ingestion_date")
+        .select("load_id", "ingestion_date", "n", "in_table", (F.col("told_files") == F.col("held_files")).alias("files_in_place"))
+    )

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lakequality import schemas
 from lakequality.functions.scalars import left_pad
 from lakequality.operators import dataset, packs, quality, sinks
-from lakequality.operators.rules import Rule, RuleSet
+from lakequality.operators.rules import WARN, GroupRule, Rule, RuleSet, unique
 from lakequality.plans import sql
 from lakequality.plans.registry import query, stored
 from lakequality.plans.rules import ITEM, ITEM_SQL, filled_readings
@@ -546,3 +546,67 @@ _ORDER_BASIC = [
 )
 def dq_order_basic(spark, sf_dir):
     return quality.rule_flags(samples.order_items(spark, sf_dir), packs.order_basic(), ITEM)
+
+
+def _group_rules() -> RuleSet:
+    """Rules on rows and on groups side by side; a third of all orders has one status."""
+    return RuleSet(
+        (
+            Rule("total_positive", "o_totalprice > 5000", message="small total"),
+            unique("o_custkey", "day", name="one_order_a_day"),
+            GroupRule("customer_volume", "count(1) <= 15 AND sum(o_totalprice) < 4000000", WARN, "high", keys=("o_custkey",)),
+            GroupRule("status_range", "min(o_totalprice) >= 1100", WARN, "medium", "status with a tiny order", keys=("status",)),
+            GroupRule("status_known", "count(1) > 0", WARN, "low", keys=("status",)),
+        )
+    )
+
+
+@query(
+    "dq_group_rules",
+    """
+WITH rows AS (
+  SELECT *, o_orderdate::DATE AS day, CASE WHEN o_orderkey % 9 <> 0 THEN o_orderstatus END AS status FROM orders
+),
+flags AS (
+  SELECT o_orderkey, o_totalprice > 5000 AS total_positive,
+         count(*) OVER (PARTITION BY o_custkey, day) = 1 AS one_order_a_day,
+         count(*) OVER (PARTITION BY o_custkey) <= 15 AND sum(o_totalprice) OVER (PARTITION BY o_custkey) < 4000000 AS customer_volume,
+         min(o_totalprice) OVER (PARTITION BY status) >= 1100 AS status_range
+  FROM rows
+)
+SELECT o_orderkey,
+       CASE WHEN NOT (total_positive AND one_order_a_day) THEN 'FAIL'
+            WHEN NOT (customer_volume AND status_range) THEN 'WARNING' ELSE 'PASS' END AS quality_flag,
+       nullif(concat_ws('; ', CASE WHEN NOT total_positive THEN 'small total' END, CASE WHEN NOT one_order_a_day THEN 'o_custkey, day not unique' END,
+                        CASE WHEN NOT customer_volume THEN 'customer_volume' END, CASE WHEN NOT status_range THEN 'status with a tiny order' END), '') AS failure_reason,
+       round((5 - (NOT total_positive)::INT - (NOT one_order_a_day)::INT - (NOT customer_volume)::INT - (NOT status_range)::INT) / 5, 6) AS quality_score
+FROM flags
+""",
+)
+def dq_group_rules(spark, sf_dir):
+    """Uniqueness and other rules on groups in one `validate` with a rule on rows."""
+    orders = samples.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", F.col("o_orderdate").cast("date").alias("day"),
+        F.when(F.col("o_orderkey") % 9 != 0, F.col("o_orderstatus")).alias("status"),
+    )
+    checked = quality.validate(orders, _group_rules(), at=samples.at(samples.ORDERS_AS_OF))
+    return checked.select("o_orderkey", "quality_flag", "failure_reason", "quality_score")
+
+
+@query(
+    "dq_framework_unique",
+    """
+SELECT event_id, CAST(event_id % 10 <> 0 AS INTEGER) AS completeness,
+       CAST(round(value) > 0 AS INTEGER) AS validity, CAST(value >= 0 AS INTEGER) AS consistency,
+       1 AS timestamp_format,
+       CAST(count(*) OVER (PARTITION BY CASE WHEN event_id % 10 <> 0 THEN event_id // 4 * 4 END,
+                           CASE WHEN event_id % 10 <> 0 THEN user_id END) = 1 AS INTEGER) AS uniqueness
+FROM events
+""",
+)
+def dq_framework_unique(spark, sf_dir):
+    """All five framework rules; orders of four events share an id, and every tenth event has neither id nor item."""
+    whole = F.col("event_id") % 10 != 0
+    order = F.floor(F.col("event_id") / 4) * 4
+    items = _event_items(spark, sf_dir).withColumn("order_id", F.when(whole, order.cast("string")))
+    return quality.rule_flags(items, packs.framework_rules_unique(), ["event_id"])

@@ -483,3 +483,47 @@ def existing_names(spark, sf_dir):
         "stream_partition_key",
         "stream_name",
     )
+
+
+_MASKED_SQL = r"""
+regexp_replace(regexp_replace(regexp_replace({0},
+  '\b(?:[0-9]{{4}}[ -]?){{3}}([0-9]{{4}})\b', '****-****-****-\1', 'g'),
+  '(?:\+[0-9]{{1,3}}[ .-]?)?(?:\([0-9]{{3}}\)|\b[0-9]{{3}})[ .-][0-9]{{3}}[ .-]([0-9]{{4}})\b', '***-***-\1', 'g'),
+  '([a-zA-Z0-9._%+-]{{1,2}})[a-zA-Z0-9._%+-]*@([a-zA-Z0-9.-]+)', '\1***@\2', 'g')"""
+_MASKED_TEXT = _MASKED_SQL.format("text")
+
+
+@query(
+    "mask_documents",
+    f"""
+SELECT doc_id, {_MASKED_TEXT} AS body, {_MASKED_TEXT} AS lines, {_MASKED_TEXT} AS note,
+       'do***@example.org' AS reply_to, '***-***-' || right('000' || doc_id, 4) AS phone, text AS raw,
+       len(regexp_extract_all(text, '[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+')) AS addresses
+FROM documents
+""",
+)
+def mask_documents(spark, sf_dir):
+    """Documents as nested records; every address, card and phone number in them is masked, at any depth."""
+    rows = samples.table(spark, sf_dir, "documents")
+    number = F.concat(F.lit("000"), F.col("doc_id"))
+    nested = rows.select(
+        "doc_id",
+        F.struct(
+            F.col("text").alias("body"),
+            F.transform(F.split("text", "\n"), lambda line: F.struct(line.alias("said"))).alias("lines"),
+            F.struct(F.lit("doc.owner@example.org").alias("Email")).alias("reply_to"),
+        ).alias("record"),
+        F.create_map(F.lit("note"), F.col("text"), F.lit("phone"), number).alias("extra"),
+        F.col("text").alias("raw"),
+    )
+    masked = privacy.mask_everywhere(nested, skip=["raw"])
+    return masked.select(
+        "doc_id",
+        F.col("record.body").alias("body"),
+        F.array_join(F.transform("record.lines", lambda line: line["said"]), "\n").alias("lines"),
+        F.col("extra")["note"].alias("note"),
+        F.col("record.reply_to.Email").alias("reply_to"),
+        F.col("extra")["phone"].alias("phone"),
+        "raw",
+        F.regexp_count("record.body", F.lit(r"\*\*\*@")).cast("bigint").alias("addresses"),
+    )

@@ -10,13 +10,17 @@ weighted Jaccard similarity.
 
 Equal texts are one document until the end; of each, the row of the least id lends its text, which is
 read from the input where it is needed, so whole texts are neither stored nor shuffled to find equal
-ones. Documents that agree on a band of coordinates meet; in
-a bucket everyone is compared with one pivot, not with everyone, and a bucket is done when all its
-members are in one class. Comparisons are exact.
+ones. Documents that agree on a band of coordinates meet; in a bucket everyone is compared with one
+pivot, not with everyone, and a bucket is done when all its members are in one class. The pivot is the
+member that meets most others over all bands: of copies that were each changed a little, the original
+is nearest to all, so most of them join its class at once and need no further pivot. Comparisons are
+exact.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -159,9 +163,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     Large and small stars alternate, which takes a number of rounds logarithmic in the longest
     chain. Neighbours are only aggregated to their least, never gathered.
     """
-    edges = store(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
+    held = Scratch(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
     seen = None
     for _ in range(rounds):
+        edges = held.rows
         # Large star: every larger neighbour of a node links to the least of its neighbourhood.
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root"))
@@ -171,11 +176,12 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("root"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("root").alias("b"))
         small = small.unionByName(least.select("a", F.col("root").alias("b"))).filter("a <> b").distinct()
-        small = store(small, "edges")
-        mark = small.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        edges = small
+        small = Scratch(small, "edges")
+        held.remove()
+        held = small
+        mark = small.rows.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if mark == seen:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            return small.rows.select(F.col("a").alias("node"), F.col("b").alias("root"))
         seen = mark
     raise RuntimeError(f"no stable components after {rounds} rounds")
 
@@ -205,43 +211,62 @@ def near_links(texts: DataFrame, threshold: float = SIMILARITY, n_bands: int = B
     signs = signs.groupBy("h").agg(F.first("keys").alias("keys"), F.first("sketch").alias("sketch"), F.min("id").alias("rep"))
     signed = Scratch(signs, "signatures")
     keyed = signed.rows.select("h", F.explode("keys").alias("key"))
-    full = keyed.groupBy("key").count().filter("count > 1").select("key")
-    members = keyed.join(full, "key", "left_semi").join(signed.rows.select("h", "sketch"), "h")
-    members = store(members.select("key", "h", "sketch"), "buckets")
-    reps = store(signed.rows.select("h", "rep").join(members.select("h").distinct(), "h", "left_semi"), "representatives")
-    signed.remove()
+    full = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("met")).filter("met > 1")
+    met = Scratch(keyed.join(full, "key"), "met")
+    degrees = met.rows.groupBy("h").agg(F.sum("met").alias("degree"))
+    known = Scratch(signed.rows.select("h", "sketch", "rep").join(degrees, "h"), "sketches")
+    members = Scratch(met.rows.select("key", "h").join(known.rows.select("h", "degree"), "h"), "buckets")
+    reps = known.rows.select("h", "rep")
+    sketches = known.rows.select("h", "sketch")
+    for done in (signed, met):
+        done.remove()
     release(spark)
-    links = tried = classes = None
-    n_pivots = 1
+    old, rows = [members], members.rows
+    tried: list[DataFrame] = []
+    found: list[DataFrame] = []
+    classes, n_pivots = None, 1
     while True:
-        known = members.withColumn("root", F.col("h"))
+        rooted = rows.withColumn("root", F.col("h"))
         if classes is not None:
-            known = members.join(classes, members["h"] == classes["node"], "left").select(
-                "key", "h", "sketch", F.coalesce("root", "h").alias("root")
+            rooted = rows.join(classes, rows["h"] == classes["node"], "left").select(
+                "key", "h", "degree", F.coalesce("root", "h").alias("root")
             )
-        mixed = known.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        open_ = store(known.join(mixed.filter("low <> high").select("key"), "key", "left_semi"), "open")
-        if open_.isEmpty():
+        mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        open_ = Scratch(rooted.join(mixed.filter("low <> high").select("key"), "key", "left_semi"), "open")
+        for done in old:
+            done.remove()
+        old = [open_]
+        links = reduce(DataFrame.unionByName, found) if found else None
+        if open_.rows.isEmpty():
             return links, classes
         salt = F.pmod(F.xxhash64("h", F.lit(n_pivots)), F.lit(n_pivots))
-        pivots = open_.groupBy("key", salt.alias("salt")).agg(F.min(F.struct("h", "root", "sketch")).alias("pivot"))
-        pivots = store(pivots.select("key", "pivot.*").toDF("key", "pivot", "pivot_root", "pivot_sketch"), "pivots")
-        met = open_.join(pivots, "key").filter("root <> pivot_root").select(
-            "pivot", F.col("h").alias("other"), "pivot_sketch", "sketch"
-        )
-        pairs = met.mapInArrow(lambda parts: _likely(parts, threshold), "pivot bigint, other bigint").distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["pivot", "other"], "left_anti")
+        central = F.struct((-F.col("degree")).alias("order"), "h", "root")
+        pivots = open_.rows.groupBy("key", salt.alias("salt")).agg(F.min(central).alias("pivot"))
+        pivots = Scratch(pivots.select("key", F.col("pivot.h").alias("pivot"), F.col("pivot.root").alias("pivot_root")), "pivots")
+        old.append(pivots)
+        pairs = open_.rows.join(pivots.rows, "key").filter("root <> pivot_root").select("pivot", F.col("h").alias("other")).distinct()
+        for before in tried:
+            pairs = pairs.join(before, ["pivot", "other"], "left_anti")
         pairs = store(pairs, "pairs")
         if not pairs.isEmpty():
-            tried = pairs if tried is None else store(tried.unionByName(pairs), "tried")
-            new = _verify(pairs, texts, reps, threshold).select(F.col("pivot").alias("a"), F.col("other").alias("b"))
+            tried.append(pairs)
+            sketched = (
+                pairs.join(sketches.toDF("pivot", "pivot_sketch"), "pivot")
+                .join(sketches.toDF("other", "sketch"), "other")
+                .select("pivot", "other", "pivot_sketch", "sketch")
+            )
+            likely = Scratch(sketched.mapInArrow(lambda parts: _likely(parts, threshold), "pivot bigint, other bigint"), "likely")
+            new = _verify(likely.rows, texts, reps, threshold).select(F.col("pivot").alias("a"), F.col("other").alias("b"))
             new = store(new, "new-links")
+            likely.remove()
             if not new.isEmpty():
-                links = new if links is None else store(links.unionByName(new), "links")
-                classes = components(links)
+                found.append(new)
+                linked = new if classes is None else new.unionByName(classes.select(F.col("node").alias("a"), F.col("root").alias("b")))
+                classes = components(linked)
         release(spark)
-        members = open_.join(pivots, (open_["key"] == pivots["key"]) & (open_["h"] == pivots["pivot"]), "left_anti").select("key", "h", "sketch")
+        rows = open_.rows.join(
+            pivots.rows.select(F.col("key").alias("of"), "pivot"), (F.col("key") == F.col("of")) & (F.col("h") == F.col("pivot")), "left_anti"
+        ).select("key", "h", "degree")
         n_pivots *= 2
 
 

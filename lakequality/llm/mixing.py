@@ -223,6 +223,36 @@ def fit_rates(
     return steps, seen
 
 
+def _copies(rate: Column, ident: Column, seed: str) -> Column:
+    """A rate rounded up or down by a repeatable draw."""
+    return F.floor(rate + uniform(ident.cast("string"), F.lit(seed))).cast("long")
+
+
+def _known(table: DomainTable, text: Column) -> Column:
+    """Words and domain posteriors of a text."""
+    return let(words_of(text), lambda w: F.struct(F.size(w).alias("n"), table.posteriors(w).alias("p")))
+
+
+def _fitted(docs, labels, weights, anchor, headroom, rounds, id_col, text_col, domain_col, **model):
+    """The documents' words and posteriors, stored; the classifier; and the steps to their rates."""
+    domains = list(weights)
+    table = fit_domains(docs, labels, domains, id_col, text_col, domain_col, **model)
+    rows = docs.select(col(id_col).alias("id"), _known(table, col(text_col)).alias("known")).select("id", "known.n", "known.p")
+    rows = store(rows, "posteriors")
+    share = np.array([weights[d] for d in domains], dtype=float)
+    share /= share.sum()
+    now = rows.agg(*(F.sum(F.col("n") * F.get("p", F.lit(k))).alias(f"t{k}") for k in range(len(domains)))).first()
+    totals = np.array([now[f"t{k}"] or 0.0 for k in range(len(domains))])
+    lead = domains.index(anchor) if anchor else int(share.argmax())
+    targets = share / share[lead] * totals[lead] * headroom
+    steps, seen = fit_rates(rows, targets, rounds)
+    missed = np.abs(seen[-1] - targets) if seen else np.zeros(len(domains))
+    if missed.max() > 1e-6 * max(1.0, targets.max()):
+        told = ", ".join(f"{d}: {t:.6g} of {w:.6g}" for d, t, w in zip(domains, seen[-1], targets, strict=True))
+        warnings.warn(f"targets of tokens not met: {told}", stacklevel=3)
+    return rows, table, steps
+
+
 def mix(
     docs: DataFrame,
     labels: DataFrame,
@@ -249,39 +279,48 @@ def mix(
     drawn alike, repeated rows are drawn alike, an empty table gives no rows, and other columns are
     not read.
     """
+    rows, _, steps = _fitted(docs, labels, weights, anchor, headroom, rounds, id_col, text_col, domain_col, **model)
     domains = list(weights)
-    table = fit_domains(docs, labels, domains, id_col, text_col, domain_col, **model)
-    known = let(
-        words_of(col(text_col)),
-        lambda w: F.struct(F.size(w).alias("n"), table.posteriors(w).alias("p")),
-    )
-    rows = docs.select(col(id_col).alias("id"), known.alias("known")).select("id", "known.n", "known.p")
-    rows = store(rows, "posteriors")
-    share = np.array([weights[d] for d in domains], dtype=float)
-    share /= share.sum()
-    now = rows.agg(*(F.sum(F.col("n") * F.get("p", F.lit(k))).alias(f"t{k}") for k in range(len(domains)))).first()
-    totals = np.array([now[f"t{k}"] or 0.0 for k in range(len(domains))])
-    lead = domains.index(anchor) if anchor else int(share.argmax())
-    targets = share / share[lead] * totals[lead] * headroom
-    steps, seen = fit_rates(rows, targets, rounds)
-    missed = np.abs(seen[-1] - targets) if seen else np.zeros(len(domains))
-    if missed.max() > 1e-6 * max(1.0, targets.max()):
-        told = ", ".join(f"{d}: {t:.6g} of {w:.6g}" for d, t, w in zip(domains, seen[-1], targets, strict=True))
-        warnings.warn(f"targets of tokens not met: {told}", stacklevel=2)
     rate = F.round(solve_rates(F.col("p"), steps), 9)
     best = F.array_position("p", F.array_max("p")).cast("int")
     names = F.array(*(F.lit(d) for d in domains))
-    draw = uniform(F.col("id").cast("string"), F.lit(seed))
+    copies = _copies(rate, F.col("id"), seed)
     return rows.select(
         F.col("id").alias(id_col),
         F.col("n").cast("long").alias("n_tokens"),
         F.element_at(names, best).alias("domain"),
         F.transform("p", lambda x: F.round(x, 9)).alias("posteriors"),
         rate.alias("rate"),
-        F.floor(rate + draw).cast("long").alias("copies"),
+        copies.alias("copies"),
     )
 
 
+def remix(
+    docs: DataFrame,
+    labels: DataFrame,
+    weights: Mapping[str, float],
+    anchor: str | None = None,
+    headroom: float = 1.05,
+    rounds: int = 200,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    domain_col: str = "domain",
+    seed: str = "mix",
+    **model,
+) -> DataFrame:
+    """The documents, each as often as `mix` gives it copies, with the columns they have.
+
+    A row's copies follow from its own text and id once the rates are fitted, so they are computed
+    where the row is: whole texts are neither joined nor shuffled. Rows of one id but other texts
+    have copies of their own. Nulls, repeated rows and empty tables are as in `mix`.
+    """
+    _, table, steps = _fitted(docs, labels, weights, anchor, headroom, rounds, id_col, text_col, domain_col, **model)
+    known = docs.withColumn("__mix_p", _known(table, col(text_col))["p"])
+    rated = known.withColumn("__mix_copies", _copies(F.round(solve_rates(F.col("__mix_p"), steps), 9), col(id_col), seed))
+    copied = rated.withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(0), F.col("__mix_copies").cast("int"))))
+    return copied.select(*(col(c) for c in docs.columns))
+
+
 def resample(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The documents, each as often as its copies say, with the columns they have."""
     copies = mixed.groupBy(col(id_col).alias("__mix_id")).agg(F.max("copies").alias("__mix_copies"))

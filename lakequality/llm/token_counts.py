@@ -130,7 +130,8 @@ class Ledger:
     ) -> bool:
         """Write one batch of changes; false where it was committed before.
 
-        `op` is "insert", "delete" or "revise" for each row. What a batch says of an id replaces what
+        `op` is "insert", "delete" or "revise" for each row; with any other word, or null, nothing is
+        written and ValueError is raised. What a batch says of an id replaces what
         the ledger holds for it: an insert of a known id revises it, and a delete of an unknown one
         does nothing. Several inserted rows of one id in a batch all count. Null ids are one id like
         any other, null sources and languages are groups of their own, null texts have no tokens, an
@@ -151,6 +152,9 @@ class Ledger:
             col(lang_col).cast("string").alias("lang"),
             col(text_col).cast("string").alias("text"),
         )
+        unknown = rows.filter("op IS NULL OR op NOT IN ('insert', 'delete', 'revise')").select("op").limit(1).collect()
+        if unknown:
+            raise ValueError(f"op is insert, delete or revise, not {unknown[0].op!r}")
         added = count_tokens(rows.filter("op <> 'delete'"), counters, "text", ["id", "source", "lang"])
         added = added.select("id", *KEYS, F.lit(1).cast("bigint").alias("docs"), "tokens")
         held = self.entries(id_type)

@@ -122,6 +122,10 @@ def test_mixing_meets_targets_and_finds_toxic(spark, odd, none):
     assert mixing.mix(none, labelled, queries.MIX).count() == 0
     once = mixing.mix(odd, labelled, queries.MIX)
     assert mixing.resample(odd, once).columns == odd.columns
+    again = mixing.remix(odd, labelled, queries.MIX)
+    assert again.columns == odd.columns and mixing.remix(none, labelled, queries.MIX).count() == 0
+    wanted = sorted((r.doc_id or 0, r.copies) for r in once.collect() if r.copies)
+    assert sorted(r.doc_id or 0 for r in again.collect()) == [i for i, n in wanted for _ in range(n)]
 
 
 def distance_one(a, b):

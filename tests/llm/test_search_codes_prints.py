@@ -10,7 +10,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakequality.llm import codes, phrases, queries, ranking
+from lakequality.llm import codes, phrases, queries, ranking, token_counts
+from lakequality.session import work_dir
 from tests.llm.test_operators import DOCS, ODD, SF, read
 
 VECTORS = "vec_id bigint, embedding array<float>, label int, error string, __id int"
@@ -286,3 +287,17 @@ def test_likeness_estimates_shared_phrases():
     assert np.sqrt(np.mean(np.square(errors))) < 0.05 and abs(np.mean(errors)) < 0.02
     text = b"the same text " * 40
     assert phrases.likeness(phrases.fingerprint(text), phrases.fingerprint(text)) == 1.0
+
+
+# Token counts
+
+
+def test_token_ledger_refuses_unknown_words(spark):
+    ledger = token_counts.Ledger(spark, work_dir(spark, "ledger"))
+    rows = spark.createDataFrame([(1, "a b", "s", "en", "insert"), (2, "c", "s", "en", "insert")], "doc_id bigint, text string, source string, lang string, op string")
+    counters = {"words": token_counts.Words()}
+    assert ledger.commit("load", rows, counters, F.col("op"))
+    for word in (None, "Delete", ""):
+        with pytest.raises(ValueError, match="op is"):
+            ledger.commit("odd", rows.withColumn("op", F.lit(word).cast("string")), counters, F.col("op"))
+    assert [(r.docs, r.tokens) for r in ledger.totals().collect()] == [(2, 3)] and ledger.batches() == ["load"]

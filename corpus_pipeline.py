@@ -26,7 +26,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their rates ask for; a rate below one may leave a document out."""
-    return mixing.resample(docs, mixing.mix(docs, labelled_domains(spark, sf_dir), MIX))
+    return mixing.remix(docs, labelled_domains(spark, sf_dir), MIX)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -246,7 +246,15 @@ def bronze_write_report(spark, sf_dir):
     return sinks.write_report(written_bronze(spark, sf_dir), ["ingestion_date", "ingestion_hour"])
 
 
-@query("bronze_sample")
+@query(
+    "bronze_sample",
+    f"""
+WITH {sql.BRONZE}
+SELECT record_id, payload_size_bytes FROM bronze
+WHERE CAST('0x' || left(md5(record_id), 13) AS BIGINT)::DOUBLE
+      < 1000::DOUBLE / (SELECT count(*) FROM bronze) * 4503599627370496::DOUBLE
+""",
+)
 def bronze_sample(spark, sf_dir):
     return dataset.sample_rows(samples.bronze_events(spark, sf_dir), 1000, "record_id").select(
         "record_id", "payload_size_bytes"

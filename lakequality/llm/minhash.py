@@ -11,28 +11,33 @@ weighted Jaccard similarity.
 Equal texts are one document until the end; of each, the row of the least id lends its text, which is
 read from the input where it is needed, so whole texts are neither stored nor shuffled to find equal
 ones. Documents that agree on a band of coordinates meet; in a bucket everyone is compared with one
-pivot, not with everyone, and a bucket is done when all its members are in one class. The pivot is the
-member that meets most others over all bands: of copies that were each changed a little, the original
-is nearest to all, so most of them join its class at once and need no further pivot. Comparisons are
-exact.
+pivot, not with everyone: the member that meets most others over all bands. Of copies that were each
+changed a little, the original is nearest to all, so most of them join its class at once.
+
+What remains are buckets whose members are in several classes, as copies that were changed too much.
+Comparing all of them would grow with the square of a group, so they meet again by their rarest
+shingles, which loses no pair at the threshold: two weighted sets of sizes n and m at similarity t
+share t / (1 + t) * (n + m) of their counts, so in the order from rare to common the first shingle they
+share lies before that much is left of either. Shingles of one document alone can't be shared; a
+document with more than 1 - t of them has no partner at all. All comparisons are exact.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakequality.llm import words
-from lakequality.llm.tables import Scratch, add_columns, col, release, store
+from lakequality.llm.tables import Scratch, add_columns, col, maybe_in, release, store
 
 SHINGLE = 5
 SIMILARITY = 0.8
 # 24 bands of 4: a pair at similarity 0.8 shares no band with probability (1 - 0.8**4)**24 = 3e-6.
 BANDS = 24
 ROWS = 4
+# Sizes of documents that meet by rare shingles differ by less than this ratio within a class of sizes.
+SIZE_RATIO = 1.05
 
 
 def shingles(text: bytes | None, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -132,8 +137,9 @@ def _verify(pairs: DataFrame, texts: DataFrame, reps: DataFrame, threshold: floa
     heads = salted.select("pivot", "salt", F.lit(None).cast("bigint").alias("other"), F.col("pivot").alias("h")).distinct()
     members = salted.select("pivot", "salt", "other", F.col("other").alias("h"))
     asked = heads.unionByName(members).join(reps, "h").withColumnRenamed("h", "said_h")
+    wanted = pairs.select(F.explode(F.array("pivot", "other")).alias("h")).distinct()
     rows = asked.join(
-        texts, (F.col("h") == F.col("said_h")) & F.col("id").eqNullSafe(F.col("rep"))
+        maybe_in(texts, F.col("h"), wanted), (F.col("h") == F.col("said_h")) & F.col("id").eqNullSafe(F.col("rep"))
     ).select("pivot", "salt", "other", "text")
     rows = rows.repartition("pivot", "salt").sortWithinPartitions(
         "pivot", "salt", F.col("other").asc_nulls_first()
@@ -186,15 +192,104 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"no stable components after {rounds} rounds")
 
 
+def _rare_keys(h: int, n: int, elements: np.ndarray, counts: np.ndarray, seen: np.ndarray, threshold: float):
+    """Keys of the shingles by which a document of `n` counts can meet a partner, and what is left from each on.
+
+    `seen` tells how many documents have a shingle; those of this document alone are not among the
+    elements. A key is a shingle and the size classes of both documents, so a partner of nearly the
+    same size, which must share more, is met by fewer shingles.
+    """
+    order = np.lexsort((elements, seen))
+    elements, counts = elements[order], counts[order]
+    left = counts.sum() - np.cumsum(counts) + counts
+    step = np.log(SIZE_RATIO)
+    own = int(np.floor(np.log(n) / step + 1e-9))
+    keys, rest = [], []
+    for other in range(int(np.floor(np.log(n * threshold) / step)) - 1, int(np.floor(np.log(n / threshold) / step)) + 2):
+        least = SIZE_RATIO**other * (1 - 1e-6)
+        need = max(threshold / (1 + threshold) * (n + least), threshold * n) - 1e-6
+        first = elements[left >= need].astype(np.uint64)
+        # Classes of tiny documents may be negative.
+        pair = np.uint64((min(own, other) + (1 << 20)) << 32 | max(own, other) + (1 << 20))
+        keys.append(words.mix(first ^ words.mix(np.full(len(first), pair, dtype=np.uint64))))
+        rest.append(left[: len(first)])
+    return np.concatenate(keys).view(np.int64).tolist(), np.concatenate(rest).tolist()
+
+
+def _rare_pairs(open_: DataFrame, texts: DataFrame, threshold: float) -> tuple[DataFrame, list[Scratch]]:
+    """Pairs (pivot, other) of different `root` that may reach the threshold, and the tables they are read from.
+
+    `open_` holds (h, root, rep). No pair at the threshold is missing. Shingles are counted map-side,
+    and only those of two documents or more travel again. Within a key, documents of its most
+    frequent root are only compared with those of other roots.
+    """
+
+    def compute(column):
+        said = [shingles(text) for text in words.texts(column)]
+        return [[e.view(np.int64).tolist() for e, _ in said], [c.tolist() for _, c in said], [int(c.sum()) for _, c in said]] if said else ([], [], [])
+
+    wanted = open_.select(F.col("h").alias("said_h"), "root", "rep")
+    rows = maybe_in(texts, F.col("h"), open_.select("h")).join(
+        wanted, (F.col("h") == F.col("said_h")) & F.col("id").eqNullSafe(F.col("rep"))
+    )
+    held = Scratch(add_columns(rows, "elements array<bigint>, counts array<bigint>, n bigint", ["text"], compute, ["h", "root"]), "open-shingles")
+    flat = held.rows.select("h", F.explode(F.arrays_zip("elements", "counts")).alias("x")).select("h", "x.elements", "x.counts")
+    seen = flat.groupBy("elements").agg(
+        F.count(F.lit(1)).alias("seen"), F.min("h").alias("low"), F.max("h").alias("high"), F.first("counts").alias("counts")
+    )
+    alone = F.col("low") == F.col("high")
+    # `at` is the document of a shingle that no other has, else the shingle.
+    seen = Scratch(seen.select(F.when(alone, F.col("low")).otherwise(F.col("elements")).alias("at"), F.when(alone, 1).otherwise(F.col("seen")).alias("seen"), "counts", alone.alias("alone")), "seen")
+    lone = seen.rows.filter("alone").groupBy(F.col("at").alias("h")).agg(F.sum("counts").alias("lone"))
+    able = held.rows.select("h", "n").distinct().join(lone, "h", "left").filter(
+        F.col("n") - F.coalesce("lone", F.lit(0)) >= threshold * F.col("n") - 1e-6
+    )
+    able = Scratch(able.select("h"), "able")
+    shared = seen.rows.filter("NOT alone").select(F.col("at").alias("elements"), "seen")
+    mine = maybe_in(held.rows, F.col("h"), able.rows).join(able.rows, "h", "left_semi")
+    flat = mine.select("h", "root", "n", F.explode(F.arrays_zip("elements", "counts")).alias("x"))
+    flat = flat.select("h", "root", "n", "x.elements", "x.counts").join(shared, "elements")
+    # One list holds the shingles of one document.
+    listed = flat.groupBy("h", "root", "n").agg(F.collect_list(F.struct("elements", "counts", "seen")).alias("said"))
+
+    def meet(hs, ns, said):
+        keys, left = [], []
+        starts = said.offsets.to_numpy() - said.offsets[0].as_py()
+        inner = said.flatten()
+        columns = [np.asarray(c) for c in inner.flatten()]
+        for k, (h, n) in enumerate(zip(hs.to_pylist(), ns.to_pylist(), strict=True)):
+            some = slice(starts[k], starts[k + 1])
+            made = _rare_keys(h, n, *(c[some] for c in columns), threshold)
+            keys.append(made[0])
+            left.append(made[1])
+        return keys, left
+
+    met = add_columns(listed, "keys array<bigint>, rest array<bigint>", ["h", "n", "said"], meet, ["h", "root", "n"])
+    met = met.select("h", "root", "n", F.explode(F.arrays_zip("keys", "rest")).alias("x")).select(
+        F.col("x.keys").alias("key"), "h", "root", "n", F.col("x.rest").alias("rest")
+    )
+    met = Scratch(met, "rare-shingles")
+    by_root = met.rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n_root"))
+    main = by_root.groupBy("key").agg(F.max(F.struct("n_root", "root")).alias("main"), F.count(F.lit(1)).alias("n_roots"))
+    main = main.filter("n_roots > 1").select("key", F.col("main.root").alias("main"))
+    outer = met.rows.join(main, "key").filter("root <> main").toDF("key", "a", "a_root", "a_n", "a_rest", "main")
+    pairs = outer.join(met.rows, "key").filter(
+        (F.col("a_root") != F.col("root"))
+        & ((F.col("root") == F.col("main")) | (F.col("a") < F.col("h")))
+        & (F.least("a_rest", "rest") >= threshold / (1 + threshold) * (F.col("a_n") + F.col("n")) - 1e-6)
+    )
+    pairs = pairs.select(F.least("a", "h").alias("pivot"), F.greatest("a", "h").alias("other")).distinct()
+    return pairs, [held, seen, able, met]
+
+
 def near_links(texts: DataFrame, threshold: float = SIMILARITY, n_bands: int = BANDS, n_rows: int = ROWS) -> tuple[DataFrame | None, DataFrame | None]:
     """Links (a, b) between distinct texts that connect every class, and the classes.
 
     `texts` holds (id, h, text), where equal texts have an equal `h`.
 
-    Each round compares the members of a bucket with some pivots, unless they are in the pivot's
-    class already, then retires the pivots; their number doubles from one round to the next. Buckets
-    whose members are all in one class, and pairs compared before, are not looked at again. Rounds
-    end when nothing is left, so no link between classes is missed among texts that share a band.
+    The members of a bucket are compared with its pivot. Members of buckets that are then in several
+    classes are compared where their rarest shingles leave a link possible, so no link between classes
+    is missed among texts that share a band.
     """
     spark = texts.sparkSession
 
@@ -221,53 +316,47 @@ def near_links(texts: DataFrame, threshold: float = SIMILARITY, n_bands: int = B
     for done in (signed, met):
         done.remove()
     release(spark)
-    old, rows = [members], members.rows
-    tried: list[DataFrame] = []
-    found: list[DataFrame] = []
-    classes, n_pivots = None, 1
-    while True:
-        rooted = rows.withColumn("root", F.col("h"))
-        if classes is not None:
-            rooted = rows.join(classes, rows["h"] == classes["node"], "left").select(
-                "key", "h", "degree", F.coalesce("root", "h").alias("root")
-            )
-        mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        open_ = Scratch(rooted.join(mixed.filter("low <> high").select("key"), "key", "left_semi"), "open")
-        for done in old:
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        """Links (a, b): the pairs that reach the threshold."""
+        sketched = (
+            pairs.join(sketches.toDF("pivot", "pivot_sketch"), "pivot")
+            .join(sketches.toDF("other", "sketch"), "other")
+            .select("pivot", "other", "pivot_sketch", "sketch")
+        )
+        likely = Scratch(sketched.mapInArrow(lambda parts: _likely(parts, threshold), "pivot bigint, other bigint"), "likely")
+        links = store(_verify(likely.rows, texts, reps, threshold).select(F.col("pivot").alias("a"), F.col("other").alias("b")), "links")
+        likely.remove()
+        return links
+
+    pivots = members.rows.groupBy("key").agg(F.min(F.struct((-F.col("degree")).alias("order"), "h")).alias("pivot"))
+    pivots = pivots.select("key", F.col("pivot.h").alias("pivot"))
+    pairs = members.rows.join(pivots, "key").filter("h <> pivot").select("pivot", F.col("h").alias("other")).distinct()
+    links = confirmed(pairs)
+    if links.isEmpty():
+        classes = None
+        rooted = members.rows.select("key", "h", F.col("h").alias("root"))
+    else:
+        classes = components(links)
+        rooted = members.rows.join(classes, F.col("h") == F.col("node"), "left").select(
+            "key", "h", F.coalesce("root", "h").alias("root")
+        )
+    release(spark)
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    open_ = Scratch(rooted.join(mixed.select("key"), "key", "left_semi").select("h", "root").distinct().join(reps, "h"), "open")
+    members.remove()
+    if not open_.rows.isEmpty():
+        pairs, tables = _rare_pairs(open_.rows, texts, threshold)
+        more = confirmed(pairs)
+        for done in tables:
             done.remove()
-        old = [open_]
-        links = reduce(DataFrame.unionByName, found) if found else None
-        if open_.rows.isEmpty():
-            return links, classes
-        salt = F.pmod(F.xxhash64("h", F.lit(n_pivots)), F.lit(n_pivots))
-        central = F.struct((-F.col("degree")).alias("order"), "h", "root")
-        pivots = open_.rows.groupBy("key", salt.alias("salt")).agg(F.min(central).alias("pivot"))
-        pivots = Scratch(pivots.select("key", F.col("pivot.h").alias("pivot"), F.col("pivot.root").alias("pivot_root")), "pivots")
-        old.append(pivots)
-        pairs = open_.rows.join(pivots.rows, "key").filter("root <> pivot_root").select("pivot", F.col("h").alias("other")).distinct()
-        for before in tried:
-            pairs = pairs.join(before, ["pivot", "other"], "left_anti")
-        pairs = store(pairs, "pairs")
-        if not pairs.isEmpty():
-            tried.append(pairs)
-            sketched = (
-                pairs.join(sketches.toDF("pivot", "pivot_sketch"), "pivot")
-                .join(sketches.toDF("other", "sketch"), "other")
-                .select("pivot", "other", "pivot_sketch", "sketch")
-            )
-            likely = Scratch(sketched.mapInArrow(lambda parts: _likely(parts, threshold), "pivot bigint, other bigint"), "likely")
-            new = _verify(likely.rows, texts, reps, threshold).select(F.col("pivot").alias("a"), F.col("other").alias("b"))
-            new = store(new, "new-links")
-            likely.remove()
-            if not new.isEmpty():
-                found.append(new)
-                linked = new if classes is None else new.unionByName(classes.select(F.col("node").alias("a"), F.col("root").alias("b")))
-                classes = components(linked)
         release(spark)
-        rows = open_.rows.join(
-            pivots.rows.select(F.col("key").alias("of"), "pivot"), (F.col("key") == F.col("of")) & (F.col("h") == F.col("pivot")), "left_anti"
-        ).select("key", "h", "degree")
-        n_pivots *= 2
+        if not more.isEmpty():
+            joined = more if classes is None else more.unionByName(classes.select(F.col("node").alias("a"), F.col("root").alias("b")))
+            classes = components(joined)
+            links = links.unionByName(more)
+    open_.remove()
+    return (None, None) if classes is None else (links, classes)
 
 
 def near_classes(

@@ -11,7 +11,9 @@ compare with has its article, or all its blocks if it marks none.
 from __future__ import annotations
 
 import html as entities
+import os.path
 import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -31,26 +33,45 @@ _BLOCK = frozenset(
     "table tbody td tfoot th thead tr ul".split()
 )
 _MAIN = frozenset("article main".split())
-# Words in class, id or role that name a purpose other than the page's own text.
-_NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|banner|sponsor(?:ed|s)?|promos?|nav|navbar|navigation|menus?|"
-    r"breadcrumbs?|sidebars?|side-bar|footers?|headers?|masthead|cookies?|consent|notices?|gdpr|popups?|modals?|newsletters?|subscribe|"
-    r"signup|login|comments?|comment-list|disqus|replies|related|recommended|share|sharing|social|search|toolbar|pagination|"
-    r"complementary|contentinfo|alert|dialog)(?:$|[\s_-])",
-    re.I,
+# Words in class, id or role that name a purpose other than the page's own text (fixed values).
+_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising adsense banner sponsor sponsors sponsored promo promos nav navbar "
+    "navigation menu menus breadcrumb breadcrumbs sidebar sidebars footer footers header headers masthead cookie cookies consent notice "
+    "notices gdpr popup popups modal modals newsletter newsletters subscribe signup login comment comments disqus replies related "
+    "recommended share sharing social search toolbar pagination complementary contentinfo alert dialog".split()
 )
-# Inside an article a header holds its heading.
-_HEADED = re.compile(r"headers?|masthead", re.I)
-_RAW = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)", re.I | re.S)
-_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)")
+# Words that say nothing beside one of those; with any other word, as in "share-price", a name means something else (fixed values).
+_NEUTRAL = frozenset(
+    "area articles banner bar block body bottom box button buttons col column container content form frame global group holder icon icons "
+    "inner item items js label left line link links list main message outer overlay page panel posts primary region right row secondary "
+    "section side site slot small space stories text thread title top unit widget widgets wrap wrapper".split()
+)
+# Inside an article a header holds its heading, and an id marks a place in the text.
+_HEADS = frozenset("header headers masthead".split())
+_SAID = frozenset("a b dd dt em h1 h2 h3 h4 h5 h6 i li p pre span strong td th".split())
+_RAW = frozenset("script style textarea title".split())
+_NAME = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*")
+# From a place inside a tag to its end, or past the next value of an attribute.
+_STEP = re.compile(r"[^>=]*(?:(>)|=\s*(?:\"[^\"]*\"?|'[^']*'?)?|\Z)")
 _PURPOSE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 
 
-def _named_boiler(attributes: str, main: int) -> bool:
+def _names_purpose(value: str, main: int) -> bool:
+    """Whether one of the blank-separated names is made of purposes and neutral words alone."""
+    for name in value.lower().split():
+        parts = {part for part in re.split(r"[-_]+", name) if part and not part.isdigit()}
+        if main:
+            parts -= _HEADS
+        if parts & _NAMES and parts <= _NAMES | _NEUTRAL:
+            return True
+    return False
+
+
+def _named_boiler(element: str, attributes: str, main: int) -> bool:
     for name, value in _PURPOSE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name in ("class", "id", "role"):
-            if _NAMED.search(_HEADED.sub(" ", value) if main else value):
+            if not (main and name == "id" and element in _SAID) and _names_purpose(value, main):
                 return True
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
@@ -59,18 +80,62 @@ def _named_boiler(attributes: str, main: int) -> bool:
     return False
 
 
+def _tags(source: str):
+    """(start, end, closing, name, attributes) of what is no text, by one scan forward.
+
+    Comments, declarations and the contents of scripts and the like have the name "". Quotes count
+    where they hold a value. What never ends takes the rest of the page, so no place is read twice.
+    """
+    at, size = 0, len(source)
+    while True:
+        start = source.find("<", at)
+        if start < 0 or start + 1 >= size:
+            return
+        if source.startswith("<!--", start):
+            end = source.find("-->", start + 4)
+            at = size if end < 0 else end + 3
+            yield start, at, False, "", ""
+            continue
+        closing = source[start + 1] == "/"
+        named = _NAME.match(source, start + 1 + closing)
+        if not named:
+            if closing and start + 2 < size or source[start + 1] in "!?":
+                end = source.find(">", start)
+                at = size if end < 0 else end + 1
+                yield start, at, False, "", ""
+            else:
+                at = start + 1
+            continue
+        at = named.end()
+        while at < size:
+            step = _STEP.match(source, at)
+            at = step.end()
+            if step.group(1):
+                break
+        ended = source[at - 1] == ">" and at > named.end()
+        name = named.group().lower()
+        if name in _RAW and not closing:
+            close = re.compile(rf"</{name}(?=[\s/>])", re.I).search(source, at) if ended else None
+            end = source.find(">", close.end()) if close else -1
+            at = size if end < 0 else end + 1
+            yield start, at, False, "", ""
+            continue
+        yield start, at, closing, name, source[named.end() : at - ended]
+
+
 def blocks(html: str | None) -> tuple[list[str], list[bool]]:
     """The blocks of text outside marked boilerplate, and whether each stands in an article.
 
     Character references are decoded, white space inside a block is one space, blocks without text
-    are left out. Unclosed elements end with their parent, or at the end of the page.
+    are left out. Unclosed elements end with their parent, or at the end of the page; an unclosed tag
+    ends with the page. Time is linear in the length, whatever the markup.
     """
     texts: list[str] = []
     inside: list[bool] = []
     if not html:
         return texts, inside
-    source = _RAW.sub("", html)
     open_: list[tuple[str, bool, bool]] = []  # name, skipped, main
+    n_open: Counter[str] = Counter()
     skipping = main = 0
     parts: list[str] = []
 
@@ -83,11 +148,12 @@ def blocks(html: str | None) -> tuple[list[str], list[bool]]:
             parts.clear()
 
     at = 0
-    for tag in _TAG.finditer(source):
-        if not skipping and tag.start() > at:
-            parts.append(source[at : tag.start()])
-        at = tag.end()
-        closing, name, attributes = tag.group(1), tag.group(2).lower(), tag.group(3)
+    for start, end, closing, name, attributes in _tags(html):
+        if not skipping and start > at:
+            parts.append(html[at:start])
+        at = end
+        if not name:
+            continue
         if name in _VOID:
             if not skipping:
                 if name == "hr":
@@ -98,31 +164,31 @@ def blocks(html: str | None) -> tuple[list[str], list[bool]]:
         if name in _BLOCK and not skipping:
             end_block()
         if closing:
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == name:
-                    if name in _BLOCK and not skipping:
-                        end_block()
-                    for _, skip, is_main in open_[k:]:
-                        skipping -= skip
-                        main -= is_main
-                    del open_[k:]
+            while n_open[name]:
+                last, skip, is_main = open_.pop()
+                n_open[last] -= 1
+                skipping -= skip
+                main -= is_main
+                if last == name:
                     break
             continue
         if attributes.rstrip().endswith("/") and name not in _BLOCK and name not in _HIDDEN:
             continue
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and open_ and open_[-1][0] == name:
             _, skip, is_main = open_.pop()
+            n_open[name] -= 1
             skipping -= skip
             main -= is_main
         # An article's own header holds its heading; a page's header does not.
         boiler = name in _BOILER and not (name == "header" and main)
-        named = name not in ("html", "body", "article", "main") and _named_boiler(attributes, main)
+        named = name not in ("html", "body", "article", "main") and _named_boiler(name, attributes, main)
         skip = name in _HIDDEN or boiler or named
         open_.append((name, skip, name in _MAIN))
+        n_open[name] += 1
         skipping += skip
         main += name in _MAIN
-    if not skipping and at < len(source):
-        parts.append(re.sub(r"<[a-zA-Z/!?][^>]*\Z", "", source[at:]))
+    if not skipping and at < len(html):
+        parts.append(html[at:])
     end_block()
     return texts, inside
 
@@ -156,7 +222,8 @@ def shared(a: list[int], b: list[int]) -> list[int]:
     """Places in `a` that a longest common subsequence with `b` uses.
 
     Equal ends are matched first. What lies between is aligned row by row; a row is one vector
-    operation, and one byte for each pair of places is kept to find the way back.
+    operation. The way back needs every row, so some are kept, a square root of their number, and
+    those between two of them are made again.
     """
     head = 0
     while head < min(len(a), len(b)) and a[head] == b[head]:
@@ -172,23 +239,31 @@ def shared(a: list[int], b: list[int]) -> list[int]:
     other = np.array([x for x in right if x in known], dtype=np.int64)
     if not places:
         return used
-    grown = np.zeros((len(places) + 1, len(other) + 1), dtype=np.int8)  # growth along each row
-    row = np.zeros(len(other) + 1, dtype=np.int64)
-    for k, i in enumerate(places):
-        matched = np.where(other == left[i], row[:-1] + 1, row[1:])
-        new = np.maximum.accumulate(np.concatenate(([0], matched)))
-        grown[k + 1, 1:] = np.diff(new)
-        row = new
-    sums = np.cumsum(grown, axis=1, dtype=np.int32)
-    k, j, middle = len(places), len(other), []
-    while k and j:
-        if sums[k, j] == sums[k - 1, j]:
-            k -= 1
-        elif sums[k, j] == sums[k, j - 1]:
-            j -= 1
-        else:
-            middle.append(head + places[k - 1])
-            k, j = k - 1, j - 1
+
+    def after(row, k):
+        matched = np.where(other == left[places[k]], row[:-1] + 1, row[1:])
+        return np.maximum.accumulate(np.concatenate((row[:1], matched)))
+
+    step = int(len(places) ** 0.5) + 1
+    row, kept = np.zeros(len(other) + 1, dtype=np.int32), []
+    for k in range(len(places)):
+        if k % step == 0:
+            kept.append(row)
+        row = after(row, k)
+    j, middle = len(other), []
+    for first in range((len(kept) - 1) * step, -1, -step):
+        rows = [kept.pop()]
+        for k in range(first, min(first + step, len(places))):
+            rows.append(after(rows[-1], k))
+        k = len(rows) - 1
+        while k and j:
+            if rows[k][j] == rows[k - 1][j]:
+                k -= 1
+            elif rows[k][j] == rows[k][j - 1]:
+                j -= 1
+            else:
+                middle.append(head + places[first + k - 1])
+                k, j = k - 1, j - 1
     return sorted([*used, *middle])
 
 
@@ -235,26 +310,23 @@ def compare(asked: DataFrame, ranked: DataFrame, copy_share: float) -> DataFrame
     )
     pairs = asked.select("rank", "host", "path", "lines", F.explode("other_ranks").alias("other_rank"))
     pairs = pairs.join(other, "other_rank").filter("host = other_host")
-    # Bytes in common at the start of both paths.
-    common = F.size(
-        F.filter(
-            F.sequence(F.lit(1), F.least(F.length("path"), F.length("other_path"), F.lit(4096))),
-            lambda i: F.substr("path", F.lit(1), i) == F.substr("other_path", F.lit(1), i),
-        )
-    )
-    pairs = pairs.withColumn("common", F.when((F.col("path") == "") | (F.col("other_path") == ""), 0).otherwise(common))
-
-    def align(mine, theirs):
+    def align(mine, theirs, path, other_path):
         usable, n_shared, deleted = [], [], []
+        paths = zip(path.to_pylist(), other_path.to_pylist(), strict=True)
+        common = [len(os.path.commonprefix(both)) for both in paths]  # characters at the start of both
         for a, b in zip(mine.to_pylist(), theirs.to_pylist(), strict=True):
             both = shared(a, b)
             usable.append(len(both) <= copy_share * len(a) and len(both) < len(a))
             n_shared.append(len(both))
             deleted.append(both if len(both) < len(a) else None)
-        return usable, n_shared, deleted
+        return usable, n_shared, common, deleted
 
     aligned = add_columns(
-        pairs, "usable boolean, n_shared int, deleted array<int>", ["lines", "other"], align, ["rank", "common", "other_rank"]
+        pairs,
+        "usable boolean, n_shared int, common int, deleted array<int>",
+        ["lines", "other", "path", "other_path"],
+        align,
+        ["rank", "other_rank"],
     )
     fewest = F.when(F.col("usable"), 0).otherwise(-F.col("n_shared")).alias("fewest")
     order = F.struct("usable", fewest, "common", (-F.col("other_rank")).alias("before"))

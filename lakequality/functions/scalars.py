@@ -116,3 +116,13 @@ def sanitize(text: Column, max_length: int = 255) -> Column:
 
 def partition_key(text: Column) -> Column:
     return F.lower(F.replace(text, F.lit(" "), F.lit("")))
+
+
+def on_day(time: Column, as_of: Column) -> Column:
+    """Whether a time lies on the day of `as_of`, up to that moment."""
+    return (time >= F.date_trunc("day", as_of)) & (time <= as_of)
+
+
+def within_hours(time: Column, as_of: Column, hours: int = 1) -> Column:
+    """Whether a time lies in the last hours before `as_of`, which counts."""
+    return (time >= as_of - F.make_interval(hours=F.lit(hours))) & (time <= as_of)

@@ -123,6 +123,11 @@ def to_messages(
     )
 
 
+def messages_with(messages: DataFrame, path: str, values: Sequence[str]) -> DataFrame:
+    """Messages whose JSON value has one of `values` at `path`; without it or without JSON they go."""
+    return messages.filter(F.get_json_object("value", path).isin(*values))
+
+
 def kafka_headers(headers: Column) -> Column:
     """The headers column in the shape Spark's Kafka sink takes."""
     return F.transform(

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakequality import schemas
 from lakequality.functions import scalars
@@ -141,6 +142,36 @@ def apply_business_rules(df: DataFrame, rules: Sequence[Mapping[str, str]]) -> D
     return df
 
 
+def to_json_rows(df: DataFrame, name: str = "json") -> DataFrame:
+    """Each row as one JSON text; null fields are written, timestamps in ISO form without a zone."""
+    stamped = [
+        F.date_format(F.col(f"`{f.name}`"), "yyyy-MM-dd'T'HH:mm:ss").alias(f.name)
+        if f.dataType.typeName().startswith("timestamp")
+        else F.col(f"`{f.name}`")
+        for f in df.schema.fields
+    ]
+    return df.select(*stamped).select(
+        F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias(name)
+    )
+
+
+def from_json_rows(df: DataFrame, schema: StructType | str, column: str = "json") -> DataFrame:
+    """The rows that `column` holds as JSON; text that can't be read gives a row of nulls."""
+    return df.select(F.from_json(column, schema).alias("row")).select("row.*")
+
+
+def json_paths(df: DataFrame, paths: Mapping[str, str], column: str = "json") -> DataFrame:
+    """Add a text column for each name, read at its path; what is not there is null."""
+    return df.withColumns({name: F.get_json_object(column, path) for name, path in paths.items()})
+
+
+def with_flags(df: DataFrame, flags: Mapping[str, Column | str]) -> DataFrame:
+    """Add a boolean column for each name; an unknown condition stays null."""
+    return df.withColumns(
+        {name: F.expr(flag) if isinstance(flag, str) else flag for name, flag in flags.items()}
+    )
+
+
 def dead_letters(parsed: DataFrame) -> DataFrame:
     """Rows whose payload could not be read at all, with the text that failed."""
     return parsed.filter(F.col("parsing_status") == scalars.PARSE_FAILED).select(

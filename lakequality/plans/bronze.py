@@ -163,9 +163,9 @@ SELECT event_id, event_type, value FROM events WHERE event_type IN ('purchase',
 )
 def message_filter(spark, sf_dir):
     rows = samples.table(spark, sf_dir, "events")
-    return rows.filter(F.col("event_type").isin("purchase", "signup")).select(
-        "event_id", "event_type", "value"
-    )
+    rows = rows.select("event_id", "event_type", "value")
+    wanted = bronze.messages_with(bronze.to_messages(rows, "event_id", ["event_type"]), "$.event_type", ["purchase", "signup"])
+    return silver.from_json_rows(wanted, rows.schema, "value")
 
 
 @query(
@@ -304,11 +304,11 @@ FROM events WHERE ts >= TIMESTAMP '2024-01-30 00:00:00'
 def recent_rows(spark, sf_dir):
     rows = samples.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     as_of = samples.at(samples.EVENTS_AS_OF)
-    day = F.date_sub(F.to_date(as_of), 1).cast("timestamp")
-    return rows.filter(F.col("ts") >= day).select(
+    last = as_of - F.expr("INTERVAL 1 MICROSECOND")  # of the day that ends at `as_of`
+    return rows.filter(scalars.on_day(F.col("ts"), last)).select(
         "event_id",
         F.lit(1).alias("today"),
-        (F.col("ts") >= as_of - F.expr("INTERVAL 1 HOUR")).cast("int").alias("last_hour"),
+        scalars.within_hours(F.col("ts"), as_of).cast("int").alias("last_hour"),
     )
 
 

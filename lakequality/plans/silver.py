@@ -182,13 +182,11 @@ FROM orders
 )
 def row_to_json(spark, sf_dir):
     rows = samples.table(spark, sf_dir, "orders").withColumn("note", F.lit(None).cast("string"))
-    iso = rows.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"))
-    text = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
-    return iso.select("o_orderkey", text.alias("json")).select(
-        "o_orderkey",
-        F.get_json_object("json", "$.o_orderkey").alias("key_text"),
-        F.get_json_object("json", "$.o_orderstatus").alias("status_text"),
-        F.get_json_object("json", "$.o_orderdate").alias("date_text"),
+    rows = rows.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    paths = {"key_text": "$.o_orderkey", "status_text": "$.o_orderstatus", "date_text": "$.o_orderdate"}
+    return silver.json_paths(silver.to_json_rows(rows), paths).select(
+        F.col("key_text").cast(rows.schema["o_orderkey"].dataType).alias("o_orderkey"),
+        *paths,
         F.col("json").contains('"note":null').alias("has_null_field"),
     )
 
@@ -196,8 +194,7 @@ def row_to_json(spark, sf_dir):
 @query("json_roundtrip", "SELECT * FROM supplier")
 def json_roundtrip(spark, sf_dir):
     rows = samples.table(spark, sf_dir, "supplier")
-    text = rows.select(F.to_json(F.struct("*")).alias("json"))
-    return text.select(F.from_json("json", rows.schema).alias("row")).select("row.*")
+    return silver.from_json_rows(silver.to_json_rows(rows), rows.schema)
 
 
 @query(
@@ -412,12 +409,13 @@ FROM order_items
 """,
 )
 def derived_flags(spark, sf_dir):
-    return samples.order_items(spark, sf_dir).select(
+    flags = {"high_revenue": "total_amount > 100", "sound": "defect = 0"}
+    return silver.with_flags(samples.order_items(spark, sf_dir), flags).select(
         "order_id",
         "line_number",
         "product_id",
-        (F.col("total_amount") > 100).alias("high_revenue"),
-        (F.col("defect") == 0).cast("double").alias("valid_share"),
+        "high_revenue",
+        F.col("sound").cast("double").alias("valid_share"),
     )
 
 

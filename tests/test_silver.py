@@ -232,3 +232,27 @@ def test_enrich_keeps_unmatched_rows(spark):
     left = spark.createDataFrame([(1,), (2,)], "k INT")
     master = spark.createDataFrame([(1, "one")], "k INT, name STRING")
     assert {tuple(r) for r in silver.enrich(left, master, ["k"]).collect()} == {(1, "one"), (2, None)}
+
+
+def test_json_rows_paths_flags_and_recent_times(spark):
+    at = datetime.datetime(2024, 1, 31, 10, 30)
+    rows = spark.createDataFrame(
+        [(1, "new", at), (2, None, at - datetime.timedelta(hours=1)), (3, "old", at - datetime.timedelta(hours=11))],
+        "id int, status string, time timestamp",
+    )
+    text = silver.to_json_rows(rows)
+    assert '"status":null' in text.filter("json LIKE '%\"id\":2%'").first().json
+    back = silver.from_json_rows(text, rows.schema).orderBy("id").collect()
+    assert [(r.id, r.status, r.time) for r in back] == [(r.id, r.status, r.time) for r in rows.collect()]
+    paths = silver.json_paths(text, {"a": "$.id", "none": "$.other"}).orderBy("a").collect()
+    assert [(r.a, r.none) for r in paths] == [("1", None), ("2", None), ("3", None)]
+    assert silver.from_json_rows(spark.createDataFrame([("{",)], "json string"), rows.schema).first().id is None
+    flags = silver.with_flags(rows, {"is_new": "status = 'new'"}).orderBy("id").collect()
+    assert [r.is_new for r in flags] == [True, None, False]
+    messages = bronze.to_messages(rows, "id", ["status"])
+    assert [r.key for r in bronze.messages_with(messages, "$.status", ["new", "late"]).collect()] == ["1"]
+    now = F.lit(at)
+    near = rows.select(
+        "id", scalars.on_day(F.col("time"), now).alias("d"), scalars.within_hours(F.col("time"), now).alias("h")
+    )
+    assert [(r.d, r.h) for r in near.orderBy("id").collect()] == [(True, True), (True, True), (False, False)]

@@ -26,7 +26,7 @@ from pyspark.sql.window import Window
 
 from lakequality.llm import words
 from lakequality.llm.induced import sorted_suffixes
-from lakequality.llm.tables import Scratch, add_columns, col, release, small, store
+from lakequality.llm.tables import Scratch, add_columns, col, small, store
 
 LENGTH = 50
 GRAM = 16
@@ -34,6 +34,8 @@ PACKET = 1 << 18  # anchors in one packet
 SHARD_BYTES = 6 << 20  # text of one suffix sort; a shard of more is sorted in several, cut between anchors
 ANCHOR_GROUPS = 1 << 16  # groups of anchors whose text is summed to find those of more than SHARD_BYTES
 PART_BYTES = 64 << 20  # text whose anchors meet in one part
+ANSWER_RANGES = 32  # ranges of hashes into which a part is cut while its anchors meet
+PIECE = 1 << 18  # bytes of a text hashed at once
 LONGEST = 64  # places in one stretch
 _HASH_BITS = 48
 
@@ -52,13 +54,25 @@ def _least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
 def anchors(text: bytes | None, length: int = LENGTH) -> np.ndarray:
     """The anchor of every string of `length` bytes, in order of its start."""
     data = words.as_bytes(text)
-    if len(data) < length:
-        return np.zeros(0, dtype=np.uint64)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * words.powers(words.BASE, len(data)), out=sums[1:])
-    count = len(data) - GRAM + 1
-    grams = words.mix((sums[GRAM:] - sums[:count]) * words.powers(words.INVERSE, count))
-    return _least_in_windows(grams, length - GRAM + 1) >> np.uint64(64 - _HASH_BITS)
+    out = np.empty(max(0, len(data) - length + 1), dtype=np.uint64)
+    # A string's hash depends on its bytes alone, so a long text is hashed in overlapping pieces.
+    for first in range(0, len(out), PIECE):
+        piece = data[first : first + PIECE + length - 1]
+        sums = np.zeros(len(piece) + 1, dtype=np.uint64)
+        np.cumsum((piece.astype(np.uint64) + np.uint64(1)) * words.powers(words.BASE, len(piece)), out=sums[1:])
+        count = len(piece) - GRAM + 1
+        grams = words.mix((sums[GRAM:] - sums[:count]) * words.powers(words.INVERSE, count))
+        out[first : first + PIECE] = _least_in_windows(grams, length - GRAM + 1) >> np.uint64(64 - _HASH_BITS)
+    return out
+
+
+def _names(text: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hash of each stretch, piece by piece of the text; starts and ends ascend."""
+    data = words.as_bytes(text)
+    cuts = np.searchsorted(starts, np.arange(0, len(data) + PIECE, PIECE))
+    some = [(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if a < b]
+    found = [words.hashes(data[starts[a] : ends[b - 1]], starts[a:b] - starts[a], ends[a:b] - starts[a]) for a, b in some]
+    return np.concatenate(found).view(np.int64)
 
 
 def _planes(values: np.ndarray, width: int) -> bytes:
@@ -67,8 +81,8 @@ def _planes(values: np.ndarray, width: int) -> bytes:
     return np.ascontiguousarray(raw[:, :width].T).tobytes()
 
 
-def _unplaned(raw, width: int) -> np.ndarray:
-    planes = np.frombuffer(raw, dtype=np.uint8).reshape(width, -1)
+def _unplaned(raw, width: int, first: int = 0, end: int | None = None) -> np.ndarray:
+    planes = np.frombuffer(raw, dtype=np.uint8).reshape(width, -1)[:, first:end]
     out = np.zeros((planes.shape[1], 8), dtype=np.uint8)
     out[:, :width] = planes.T
     return out.reshape(-1).view("<u8").astype(np.uint64)
@@ -127,12 +141,14 @@ def _packets(parts, n_parts: int, length: int):
         yield from flush()
 
 
-def _answers(parts):
-    """The anchors of each part that several documents have: (row, hashes)."""
+def _answers(parts, n_parts: int):
+    """The anchors of each part that several documents have: (row, hashes).
+
+    A part is held as it came, packed, about nine bytes an anchor.
+    """
     import pyarrow as pa
 
-    def rows_of(rows: list[np.ndarray], hashes: list[np.ndarray]):
-        rows, hashes = np.concatenate(rows), np.concatenate(hashes)
+    def rows_of(rows: np.ndarray, hashes: np.ndarray):
         order = np.argsort(rows, kind="stable")
         rows, hashes = rows[order], hashes[order]
         heads = np.concatenate(([0], np.flatnonzero(rows[1:] != rows[:-1]) + 1))
@@ -145,29 +161,36 @@ def _answers(parts):
                 names=["row", "hashes"],
             )
 
-    def met(entries):
-        rows = np.concatenate([r for r, _ in entries])
-        hashes = np.concatenate([h for _, h in entries])
-        twice = words.repeated(hashes)
-        if twice.any():
-            yield from rows_of([rows[twice]], [hashes[twice]])
-
-    now, entries = None, []
+    def met(pieces):
+        # One range of hashes after another, so what is unpacked is a bounded share of the part.
+        for k in range(ANSWER_RANGES):
+            who, what = [], []
+            for rows, places, hashes, cuts in pieces:
+                a, b = cuts[k], cuts[k + 1]
+                if a < b:
+                    who.append(np.frombuffer(rows, dtype=np.int64)[_unplaned(places, 3, a, b).astype(np.int64)])
+                    what.append(_unplaned(hashes, 6, a, b))
+            if what:
+                who, what = np.concatenate(who), np.concatenate(what)
+                twice = words.repeated(what)
+                if twice.any():
+                    yield from rows_of(who[twice], what[twice])
+
+    now, pieces = None, []
     for part in parts:
-        for number, known, *packed in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), *part.columns[2:], strict=True):
-            rows, places, hashes = (value.as_buffer() for value in packed)
+        for number, known, rows, places, hashes in zip(*(c.to_pylist() for c in part.columns), strict=True):
             if number != now:
-                if entries:
-                    yield from met(entries)
-                now, entries = number, []
-            who = np.frombuffer(rows, dtype=np.int64)[_unplaned(places, 3).astype(np.int64)]
+                yield from met(pieces)
+                now, pieces = number, []
             what = _unplaned(hashes, 6)
             if known:
-                yield from rows_of([who], [what])
-            else:
-                entries.append((who, what))
-    if entries:
-        yield from met(entries)
+                yield from rows_of(np.frombuffer(rows, dtype=np.int64)[_unplaned(places, 3).astype(np.int64)], what)
+            else:  # a piece comes in the order of its hashes
+                low, high = (-(-(k << 32) // n_parts) << _HASH_BITS - 32 for k in (number, number + 1))
+                edges = [low + (high - low) * k // ANSWER_RANGES for k in range(1, ANSWER_RANGES)]
+                cuts = [0, *np.searchsorted(what, np.array(edges, dtype=np.uint64)).tolist(), len(what)]
+                pieces.append((rows, places, hashes, cuts))
+    yield from met(pieces)
 
 
 def _stretches(parts, length: int):
@@ -196,8 +219,7 @@ def _stretches(parts, length: int):
             starts, ends = starts[take], ends[take]
             if not len(starts):
                 continue
-            data = words.as_bytes(text)
-            name = words.hashes(data, starts, ends).view(np.int64)
+            name = _names(text, starts, ends)
             anchor = found[starts].astype(np.int64)
             for a, n, s, e in zip(anchor.tolist(), name.tolist(), starts.tolist(), ends.tolist(), strict=True):
                 one = held.get((a, n))
@@ -334,10 +356,11 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         lambda parts: _packets(parts, n_parts, length), "part int, known boolean, rows binary, places binary, hashes binary"
     )
     answers = (
-        packets.repartition(n_parts, "part").sortWithinPartitions("part").mapInArrow(_answers, "row bigint, hashes array<bigint>")
+        packets.repartition(n_parts, "part").sortWithinPartitions("part").mapInArrow(
+            lambda parts: _answers(parts, n_parts), "row bigint, hashes array<bigint>"
+        )
     )
-    answers = Scratch(answers, "answers")
-    release(docs.sparkSession)
+    answers = Scratch(answers, "answers", clean=True)
     shared = answers.rows.groupBy("row").agg(F.flatten(F.collect_list("hashes")).alias("hashes"))
     stretches = Scratch(
         rows.join(shared, "row").select("row", "id", "text", "hashes").mapInArrow(
@@ -345,9 +368,9 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             "anchor bigint, name bigint, said binary, least bigint, most bigint, row bigint, id bigint, at int",
         ),
         "stretches",
+        clean=True,
     )
     answers.remove()
-    release(docs.sparkSession)
     # Partitioned by anchor alone, so the sums below need no other exchange and come in its order.
     every = stretches.rows.filter("said IS NOT NULL").select("anchor", "name", "said", "least", "most")
     heavy = _heavy(every, heavy_bytes)
@@ -363,17 +386,19 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     if heavy is not None:
         found = found.unionByName(_least_by_string(every.join(heavy, "anchor", "left_semi"), length))
+    # Stored before the places move, so the text of a stretch and its places are never on the way at once.
+    found = Scratch(found, "least-ids", clean=True)
     places = stretches.rows.filter("said IS NULL").select("anchor", "name", "row", "id", "at")
     spans = (
-        places.join(found, ["anchor", "name"])
+        places.join(found.rows, ["anchor", "name"])
         .filter("least_id < id")
         .select("row", F.struct((F.col("at") + F.col("first")).alias("start"), (F.col("at") + F.col("last") + length).alias("end")).alias("span"))
         .groupBy("row")
         .agg(F.collect_set("span").alias("spans"))
     )
-    spans = store(spans, "repeat-spans")
+    spans = Scratch(spans, "repeat-spans", clean=True).rows
+    found.remove()
     stretches.remove()
-    release(docs.sparkSession)
     return spans
 
 

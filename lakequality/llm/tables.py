@@ -117,15 +117,31 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+# Spark removes the shuffle files of a statement when it ends.
+_FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
-    """A stored table that is removed as soon as nothing needs it, to keep the shared folder small."""
+    """A stored table that is removed as soon as nothing needs it, to keep the shared folder small.
+
+    With `clean`, the shuffle files of its making go as soon as it is written.
+    """
 
-    def __init__(self, df: DataFrame, label: str):
+    def __init__(self, df: DataFrame, label: str, clean: bool = False):
         from lakequality.session import work_dir
 
         self.spark = df.sparkSession
         self.path = work_dir(self.spark, f"llm-{label}")
-        df.write.option("compression", "zstd").parquet(self.path)
+        before = self.spark.conf.get(_FILE_CLEANUP, None)
+        if clean:
+            self.spark.conf.set(_FILE_CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(self.path)
+        finally:
+            if clean and before is None:
+                self.spark.conf.unset(_FILE_CLEANUP)
+            elif clean:
+                self.spark.conf.set(_FILE_CLEANUP, before)
         self.rows = self.spark.read.schema(df.schema).parquet(self.path)
 
     def remove(self) -> None:

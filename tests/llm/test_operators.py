@@ -5,8 +5,10 @@ import itertools
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -362,3 +364,30 @@ def test_pipeline(spark):
     assert len({texts[i] for i in ids}) == len(ids)
     for shard in range(8):
         assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))
+
+
+def test_anchors_of_long_texts_and_parts_in_pieces(spark, monkeypatch):
+    rng = random.Random(4)
+    text = "".join(rng.choice("abcdé ") for _ in range(4000)).encode()
+    starts = np.arange(0, len(text) - 80, 64)
+    want, names = suffixes.anchors(text), suffixes._names(text, starts, starts + 80)
+    assert len(want) == len(text) - 49
+    assert [len(suffixes.anchors(t)) for t in (None, b"", b"a" * 49, b"a" * 50)] == [0, 0, 0, 1]
+    for size in (50, 64, 333):
+        monkeypatch.setattr(suffixes, "PIECE", size)
+        assert (suffixes.anchors(text) == want).all()
+        assert (suffixes._names(text, starts, starts + 80) == names).all()
+    # Anchors met range by range are those that more than one row has, and no others.
+    rows = {k: np.unique(np.append(rng.sample(range(1 << 48), 300), [7, (1 << 48) - 1 - k // 2, 1 << 40])) for k in range(9)}
+    count = Counter(h for held in rows.values() for h in held.tolist())
+    cut = {k: np.sort(v.astype(np.uint64)) for k, v in rows.items()}
+    for n_parts in (1, 3):
+        part_of = {k: ((v >> np.uint64(16)) * np.uint64(n_parts) >> np.uint64(32)).astype(int) for k, v in cut.items()}
+        batches = []
+        for part in range(n_parts):
+            for k, v in cut.items():
+                here = v[part_of[k] == part]
+                one = [part], [False], [np.array([k]).tobytes()], [suffixes._planes(here * np.uint64(0), 3)], [suffixes._planes(here, 6)]
+                batches.append(pa.RecordBatch.from_arrays([pa.array(c) for c in one], names=["part", "known", "rows", "places", "hashes"]))
+        got = [(r["row"], h) for b in suffixes._answers(batches, n_parts) for r in b.to_pylist() for h in r["hashes"]]
+        assert sorted(got) == sorted((k, h) for k, v in cut.items() for h in v.tolist() if count[h] > 1)

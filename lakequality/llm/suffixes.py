@@ -10,15 +10,18 @@ Sorting every suffix of a corpus would move many times its size, so an exact fil
    in very many documents is one entry for each packet.
 2. Only stretches of text around shared anchors move on, each to the shard of its anchor, so that
    all places of a string meet in one shard. Equal stretches are one, with their least id.
-3. A shard sorts the suffixes of its stretches by induced sorting (`induced.py`), in memory, and gives
-   every string the least id it occurs with. One sort holds less than twice `SHARD_BYTES` of text and
-   the stretch that fills it, with its places and prefixes. An anchor of more stretches than that is
+3. An anchor with one stretch alone needs no sort: its strings have the least id of that stretch. Of
+   the others, a shard sorts the suffixes of its stretches by induced sorting (`induced.py`), in
+   memory, and gives every string the least id it occurs with. One sort holds less than twice
+   `SHARD_BYTES` of text and the stretch that fills it, with its places and prefixes. An anchor of more stretches than that is
    no group of its own: its strings are, each with the least id it occurs with.
 4. Places with a larger id than that are removed.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -294,16 +297,37 @@ def _shards(parts, length: int):
                 names=["anchor", "name", "first", "last", "least_id"],
             )
 
-    rows, held = [], 0
-    for part in parts:
-        for one in zip(*(c.to_pylist() for c in part.columns), strict=True):
-            if held >= SHARD_BYTES and one[0] != rows[-1][0]:
-                yield from flush(rows)
-                rows, held = [], 0
-            rows.append(one)
-            held += len(one[2])
+    def ranges(rows):
+        anchor, name, first, last, least = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(anchor, pa.int64()), pa.array(name, pa.int64()), pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(least, pa.int64())],
+            names=["anchor", "name", "first", "last", "least_id"],
+        )
+
+    rows, held, group, alone = [], 0, [], []
+    for part in itertools.chain(parts, [None]):
+        for one in [None] if part is None else zip(*(c.to_pylist() for c in part.columns), strict=True):
+            if group and (one is None or one[0] != group[0][0]):
+                if len(group) > 1:
+                    rows += group
+                    held += sum(len(r[2]) for r in group)
+                else:
+                    # The only stretch of its anchor: its strings occur nowhere else, so nothing is to sort.
+                    anchor, name, said, least, most = group[0]
+                    if least < most:
+                        alone.append((anchor, name, 0, len(said) - length, least))
+                group = []
+                if held >= SHARD_BYTES:
+                    yield from flush(rows)
+                    rows, held = [], 0
+                if len(alone) >= 10000:
+                    yield ranges(alone)
+                    alone = []
+            group.append(one)
     if rows:
         yield from flush(rows)
+    if alone:
+        yield ranges(alone)
 
 
 def _heavy(said: DataFrame, limit: int) -> DataFrame | None:

@@ -213,13 +213,14 @@ def _stretches(parts, length: int):
             part.column(0).to_pylist(), part.column(1).to_pylist(), words.texts(part.column(2)), part.column(3).to_pylist(), strict=True
         ):
             found = anchors(text, length)
-            wanted = np.isin(found, np.array(hashes, dtype=np.uint64))
-            # Runs of strings with one anchor, cut to a bounded length.
+            # Runs of strings with one anchor that is shared, cut to a bounded length.
             change = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1], [True])))
-            starts = np.concatenate([np.arange(a, b, LONGEST) for a, b in zip(change[:-1], change[1:], strict=True)]) if (np.diff(change) > LONGEST).any() else change[:-1]
-            ends = np.append(starts[1:], len(found)) - 1 + length
-            take = wanted[starts]
-            starts, ends = starts[take], ends[take]
+            wanted = np.isin(found[change[:-1]], np.array(hashes, dtype=np.uint64))
+            starts, stops = change[:-1][wanted], change[1:][wanted]
+            pieces = -(-(stops - starts) // LONGEST)
+            nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            starts = np.repeat(starts, pieces) + nth * LONGEST
+            ends = np.minimum(starts + LONGEST, np.repeat(stops, pieces)) - 1 + length
             if not len(starts):
                 continue
             name = _names(text, starts, ends)

@@ -6,7 +6,7 @@ from lakequality.functions import checks
 from lakequality.operators import analytics, packs, quality
 from lakequality.operators.rules import Rule
 from lakequality.plans import sql
-from lakequality.plans.quality import silver_orders, validated_readings
+from lakequality.plans.quality import silver_orders, silver_verdicts, validated_readings
 from lakequality.plans.registry import query
 from lakequality.plans.silver import parsed_readings
 from lakequality.sources import files, samples
@@ -124,7 +124,7 @@ GROUP BY 1 ORDER BY n DESC, failure_reason LIMIT 5
 """,
 )
 def top_failure_reasons(spark, sf_dir):
-    return analytics.top_failure_reasons(silver_orders(spark, sf_dir))
+    return analytics.top_failure_reasons(silver_verdicts(spark, sf_dir))
 
 
 @query(

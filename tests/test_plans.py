@@ -66,6 +66,15 @@ def test_silver_reports_push_filters_down(spark):
     assert "ReadSchema: struct<quality_flag:string,failure_reason:string>" in text
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["valid_rows", "flag_metrics", "quality_scores", "lineage_sample", "table_statistics", "quality_status", "sql_source", "batch_metrics"],
+)
+def test_order_reports_write_no_wide_table_first(spark, name):
+    text = plan(catalogue.QUERIES[name](spark, SF))
+    assert "lineitem.parquet" in text and "p_name" not in text and "failure_reason" not in text
+
+
 def test_wide_rows_with_many_rules_use_small_methods(spark):
     from lakequality.session import HOTSPOT_METHOD_LIMIT, prepare
 

@@ -15,10 +15,15 @@ HOTSPOT_METHOD_LIMIT = "8000"
 # Streaming state that may outgrow executor memory is kept in RocksDB, which spills to disk.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# Tasks that list the folders or files of a read. By default Spark takes one for each path, so a batch of a thousand small
+# files costs a thousand tasks before it is read.
+LISTING_TASKS = "64"
+
 SQL_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.codegen.hugeMethodLimit": HOTSPOT_METHOD_LIMIT,
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": LISTING_TASKS,
 }
 
 

@@ -286,3 +286,18 @@ def test_shaping_a_stream_needs_no_shuffle(spark):
     plan = streams.weather_to_silver(bronze, packs.weather_rules())._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("from_json(") == 1
     assert silver.weather_silver(bronze).columns
+
+
+def test_json_documents_lie_in_one_folder_and_are_listed_by_few_tasks(spark):
+    from pathlib import Path
+
+    from lakequality.plans import catalogue
+    from lakequality.session import LISTING_TASKS, shared_root
+
+    root = Path(f"{shared_root(spark)}/lakequality")
+    before = set(root.glob("json-in-*"))
+    catalogue.QUERIES["stream_json_files"](spark, "/root/testdata/sf0.001")
+    (made,) = set(root.glob("json-in-*")) - before
+    assert not [path for path in made.iterdir() if path.is_dir()]
+    assert len(list(made.glob("*.txt"))) == 10
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == LISTING_TASKS

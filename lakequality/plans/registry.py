@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakequality.session import prepare, work_dir
+from lakequality.session import COMPRESSION, prepare, work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,7 +51,7 @@ def stored(
     key = (spark.sparkContext.applicationId, sf_dir, label)
     if key not in _STORED:
         path = work_dir(spark, label)
-        build().write.partitionBy(*partitions).parquet(path)
+        build().write.partitionBy(*partitions).parquet(path, compression=COMPRESSION)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])
 

@@ -19,6 +19,9 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 # files costs a thousand tasks before it is read.
 LISTING_TASKS = "64"
 
+# For tables and streams of whole messages: their JSON repeats its field names in every row.
+COMPRESSION = "zstd"
+
 SQL_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
     "spark.sql.session.timeZone": "UTC",

@@ -301,3 +301,15 @@ def test_json_documents_lie_in_one_folder_and_are_listed_by_few_tasks(spark):
     assert not [path for path in made.iterdir() if path.is_dir()]
     assert len(list(made.glob("*.txt"))) == 10
     assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == LISTING_TASKS
+
+
+def test_partitioned_batches_are_compressed_and_not_sorted_by_folder(spark, tmp_path):
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    batch = spark.range(6).select((6 - F.col("id")).alias("n"), (F.col("id") % 3).alias("day")).coalesce(1)
+    counts = streams.write_batch(batch, 0, str(tmp_path / "out"), partitions=["day"])
+    files_made = list((tmp_path / "out" / "batch_id=0").rglob("*.parquet"))
+    assert counts["n"] == 6 and len(files_made) == 3
+    assert all(path.name.endswith(".zstd.parquet") for path in files_made)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    read = spark.read.parquet(str(tmp_path / "out")).select("n", "day").collect()
+    assert sorted((row["n"], row["day"]) for row in read) == sorted((6 - i, i % 3) for i in range(6))

@@ -75,6 +75,11 @@ def test_order_reports_write_no_wide_table_first(spark, name):
     assert "lineitem.parquet" in text and "p_name" not in text and "failure_reason" not in text
 
 
+@pytest.mark.parametrize("name", ["parse_order_payload", "default_fill"])
+def test_orders_are_parsed_without_a_table_in_between(spark, name):
+    assert "lineitem.parquet" in plan(catalogue.QUERIES[name](spark, SF))
+
+
 def test_nested_json_is_parsed_once(spark):
     text = plan(catalogue.QUERIES["nested_json_paths"](spark, SF))
     assert text.count("from_json(") == 1 and "get_json_object" not in text

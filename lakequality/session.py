@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +24,10 @@ LISTING_TASKS = "64"
 # For tables and streams of whole messages: their JSON repeats its field names in every row.
 COMPRESSION = "zstd"
 
+# Timestamps in the files of tables of whole rows: as numbers, not in Spark's older form of 12 bytes,
+# which has no bounds and costs a dictionary look-up by bytes.
+LONG_TIMESTAMPS = {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}
+
 SQL_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
     "spark.sql.session.timeZone": "UTC",
@@ -30,14 +36,40 @@ SQL_SETTINGS = {
 }
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the SQL settings to a session made elsewhere."""
-    for key, value in SQL_SETTINGS.items():
+# For joins of the sample tables. A row then meets rules, casts and JSON, which take far longer than to
+# read it, so tasks of fewer shuffled bytes than Spark's 64 MB fill the cores more evenly. A side of a
+# join that stays below that in every task is held as a hash table there; a larger one is sorted.
+TASK_BYTES = "16m"
+JOIN_SETTINGS = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": TASK_BYTES,
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": TASK_BYTES,
+}
+
+
+def prepare(spark: SparkSession, **more: str) -> SparkSession:
+    """Apply the SQL settings, and more if given, to a session made elsewhere."""
+    for key, value in {**SQL_SETTINGS, **more}.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
 
 
+@contextmanager
+def with_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """SQL settings for the length of a block; afterwards they are as they were."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def get_session(app: str = "lakequality", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators rely on; `conf` keys use `__` for dots."""
     builder = SparkSession.builder.appName(app)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakequality.functions.scalars import left_pad, net_amount
 from lakequality.operators import bronze as bronze_ops
-from lakequality.session import prepare
+from lakequality.session import JOIN_SETTINGS, prepare
 
 EVENTS_AS_OF = "2024-01-31 00:00:00"
 ORDERS_AS_OF = "2001-08-01 00:00:00"
@@ -19,7 +19,7 @@ MONEY = "decimal(10,2)"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepare(spark, **JOIN_SETTINGS).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def at(moment: str) -> Column:
@@ -91,8 +91,13 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     shipping addresses and currencies break their rules.
     """
     lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
-    parts = table(spark, sf_dir, "part")
+    # What an order or a part alone decides is worked out before the joins, once and not per item.
+    orders = table(spark, sf_dir, "orders").withColumn(
+        "order_date", F.col("o_orderdate").cast("timestamp")
+    )
+    parts = table(spark, sf_dir, "part").withColumn(
+        "unit_price", F.col("p_retailprice").cast(MONEY)
+    )
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(
         parts, lines.l_partkey == parts.p_partkey
     )
@@ -118,7 +123,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(F.concat(supplier, F.lit(" Harbour Road")))
             .alias("shipping_address"),
             F.col("l_quantity").cast("int").alias("quantity"),
-            F.col("p_retailprice").cast(MONEY).alias("unit_price"),
+            "unit_price",
             F.col("l_tax").cast("decimal(4,2)").alias("tax_rate"),
             F.col("l_discount").cast("decimal(4,2)").alias("discount_rate"),
             F.when(F.col("o_orderstatus") == "F", "DELIVERED")
@@ -129,7 +134,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(F.col("l_returnflag") == "A", "PAID")
             .otherwise("PENDING")
             .alias("payment_status"),
-            F.col("o_orderdate").cast("timestamp").alias("order_date"),
+            "order_date",
             F.col("l_shipdate").cast("timestamp").alias("ship_date"),
             defect.alias("defect"),
             "l_orderkey",

@@ -15,13 +15,19 @@ from lakequality.operators import silver as silver_ops
 from lakequality.operators.quality import FAIL, PASS, WARNING, lineage, validate
 from lakequality.operators.rules import RuleSet
 from lakequality.operators.sinks import MAX_RECORDS_PER_FILE
-from lakequality.session import COMPRESSION
+from lakequality.session import COMPRESSION, LONG_TIMESTAMPS, with_settings
 
 DEFAULT_INTERVAL = "5 seconds"
 
 # Folders a task of a batch keeps open at once. A batch has few dates and hours, so its rows, which
 # hold whole messages, need no sort by folder; a task that meets more folders sorts the rest.
 OPEN_FOLDERS = "4"
+_WRITERS = {"spark.sql.maxConcurrentOutputFileWriters": OPEN_FOLDERS}
+
+# For the time a stream from files to folders runs: its source and its sink read the session's settings
+# when a batch is planned, not when the stream starts. Messages shrink to a tenth in a file and grow to
+# wide rows in a task, so a task reads less than Spark's 128 MB.
+FILE_STREAM_SETTINGS = {**_WRITERS, **LONG_TIMESTAMPS, "spark.sql.files.maxPartitionBytes": "16m"}
 
 
 def trigger(interval: str | None = None) -> dict:
@@ -129,13 +135,8 @@ def write_batch(
     writer = observed.write.mode("overwrite").option("compression", COMPRESSION)
     if partitions:
         writer = writer.partitionBy(*partitions)
-    conf, setting = batch.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
-    before = conf.get(setting)
-    conf.set(setting, OPEN_FOLDERS)
-    try:
+    with with_settings(batch.sparkSession, _WRITERS):
         writer.parquet(batch_folder(path, batch_id))
-    finally:
-        conf.set(setting, before)
     return seen.get
 
 

@@ -313,3 +313,38 @@ def test_partitioned_batches_are_compressed_and_not_sorted_by_folder(spark, tmp_
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
     read = spark.read.parquet(str(tmp_path / "out")).select("n", "day").collect()
     assert sorted((row["n"], row["day"]) for row in read) == sorted((6 - i, i % 3) for i in range(6))
+
+
+def test_file_streams_run_with_open_folders_and_small_tasks(spark, monkeypatch):
+    from lakequality.plans import catalogue
+    from lakequality.plans import streams as plans
+
+    seen = {}
+    before = {key: spark.conf.get(key, None) for key in streams.FILE_STREAM_SETTINGS}
+
+    def finish(stream):
+        seen.update({key: spark.conf.get(key) for key in streams.FILE_STREAM_SETTINGS})
+        stream.awaitTermination()
+
+    monkeypatch.setattr(plans, "finish", finish)
+    sf_dir = "/root/testdata/sf0.001"
+    written = catalogue.QUERIES["stream_orders_to_silver"](spark, sf_dir)
+    assert written.count() == spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    assert seen == streams.FILE_STREAM_SETTINGS
+    assert seen["spark.sql.maxConcurrentOutputFileWriters"] == streams.OPEN_FOLDERS
+    assert before == {key: spark.conf.get(key, None) for key in streams.FILE_STREAM_SETTINGS}
+
+
+def test_landed_timestamps_are_numbers(spark):
+    import glob
+
+    import duckdb
+
+    from lakequality.plans import streams as plans
+    from lakequality.sources import samples
+
+    moments = spark.range(3).select("id", samples.at(samples.ORDERS_AS_OF).alias("t"))
+    plans.landed(moments, "moments")
+    file = glob.glob(f"{os.path.dirname(work_dir(spark, 'moments'))}/moments-*/*.parquet")[0]
+    kinds = dict(duckdb.sql(f"SELECT name, type FROM parquet_schema('{file}')").fetchall())
+    assert kinds["t"] == "INT64"

@@ -32,7 +32,14 @@ def not_null(column: str) -> Column:
 
 
 def not_empty(column: str) -> Column:
-    return F.col(column).isNotNull() & (F.trim(F.col(column).cast("string")) != "")
+    """Neither null nor blank.
+
+    Only text can be blank; the type is known when the query is planned, so numbers and times are not
+    turned into text for each row.
+    """
+    value = F.col(column)
+    is_text = F.typeof(value).rlike("^(string|binary|char|varchar|variant)")
+    return value.isNotNull() & (~is_text | (F.trim(value.cast("string")) != ""))
 
 
 def sql(condition: str) -> Column:

@@ -80,6 +80,27 @@ def test_orders_are_parsed_without_a_table_in_between(spark, name):
     assert "lineitem.parquet" in plan(catalogue.QUERIES[name](spark, SF))
 
 
+@pytest.mark.parametrize("name", ["quality_status"])
+def test_reports_join_orders_by_hash_in_small_tasks(spark, name):
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        report = catalogue.QUERIES[name](spark, SF)
+        report.collect()
+        final = plan(report).split("Initial Plan")[0]
+    finally:
+        spark.conf.set(setting, before)
+    assert final.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in final
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
+def test_prices_and_dates_are_cast_before_the_joins(spark):
+    text = plan(samples.order_items(spark, SF).select("unit_price", "order_date"))
+    above = text[: text.index("Join")]
+    assert "p_retailprice" not in above and "o_orderdate" not in above
+
+
 def test_nested_json_is_parsed_once(spark):
     text = plan(catalogue.QUERIES["nested_json_paths"](spark, SF))
     assert text.count("from_json(") == 1 and "get_json_object" not in text

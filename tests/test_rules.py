@@ -337,3 +337,15 @@ def test_lineage_is_stable(spark):
         quality.lineage("p", 1).alias("a"), quality.lineage("p", 1).alias("b"), quality.lineage("p", 2).alias("c")
     ).first()
     assert first == again != other
+
+
+def test_only_text_can_be_blank(spark):
+    made = spark.sql(
+        "SELECT * FROM VALUES ('a', X'41', TIMESTAMP '2024-01-01 00:00:00', 1.5), (' ', X'20', NULL, NULL)"
+        " AS t(text, bytes, moment, amount)"
+    )
+    names = made.columns
+    checked = made.select(*(checks.not_empty(name).alias(name) for name in names))
+    assert [tuple(row) for row in checked.collect()] == [(True,) * 4, (False,) * 4]
+    plan = made.select(checks.not_empty("moment").alias("there"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "trim(" not in plan

@@ -80,7 +80,7 @@ def test_orders_are_parsed_without_a_table_in_between(spark, name):
     assert "lineitem.parquet" in plan(catalogue.QUERIES[name](spark, SF))
 
 
-@pytest.mark.parametrize("name", ["quality_status"])
+@pytest.mark.parametrize("name", ["quality_status", "sql_source"])
 def test_reports_join_orders_by_hash_in_small_tasks(spark, name):
     setting = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(setting)

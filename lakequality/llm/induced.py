@@ -123,7 +123,7 @@ class Inducer:
         padded = np.zeros(len(text) + 72, dtype=np.uint8)
         padded[: len(text)] = text
         self.text = padded
-        self.words = np.ndarray((len(text) + 64,), dtype=">u8", buffer=padded, strides=(1,))
+        self.words = np.ndarray((len(text) + 64,), dtype="<u8", buffer=padded, strides=(1,))
         ends = np.flatnonzero(padded[: self.n] != padded[1 : self.n + 1])
         ends = np.append(ends, self.n - 1) if not len(ends) or ends[-1] != self.n - 1 else ends
         rising = padded[ends] < padded[ends + 1]
@@ -132,23 +132,19 @@ class Inducer:
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Common prefixes of pairs of suffixes, to `cap`."""
-        out = np.zeros(len(a), dtype=np.int64)
+        out = np.full(len(a), self.cap, dtype=np.int64)
         open_ = np.arange(len(a))
         for at in range(0, self.cap, 8):
-            x = (self.words[a[open_] + at] ^ self.words[b[open_] + at]).astype(np.uint64)
-            differ = x != 0
-            # Equal leading bytes of a word: eight less the bytes that the highest set bit needs.
-            bits = np.zeros(len(x), dtype=np.int64)
-            rest = x.copy()
-            for step in (32, 16, 8):
-                high = rest >= (np.uint64(1) << np.uint64(step))
-                bits[high] += step
-                rest[high] >>= np.uint64(step)
-            out[open_[differ]] += 7 - bits[differ] // 8
-            open_ = open_[~differ]
-            out[open_] += 8
-            if not len(open_):
+            differ = self.words[a + at] ^ self.words[b + at]
+            found = np.flatnonzero(differ)
+            # The lowest set bit is in the first byte that differs, and exact as a float.
+            low = differ[found]
+            low &= ~low + np.uint64(1)
+            out[open_[found]] = at + (np.frexp(low.astype(np.float64))[1] - 1) // 8
+            rest = np.flatnonzero(differ == 0)
+            if not len(rest):
                 break
+            open_, a, b = open_[rest], a[rest], b[rest]
         return np.minimum(out, self.cap).astype(np.uint8)
 
     def seeds(self) -> tuple[np.ndarray, np.ndarray]:

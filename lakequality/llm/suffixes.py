@@ -3,9 +3,9 @@
 A byte goes when it lies in a string of `length` bytes that also starts in a document of smaller id.
 Sorting every suffix of a corpus would move many times its size, so an exact filter comes first:
 
-1. Every string of `length` bytes has an anchor, the least hash of its 16-byte substrings, so equal
+1. Every string of `length` bytes has an anchor, the least hash of its 20-byte substrings, so equal
    strings have equal anchors. Neighbouring strings mostly share one; a text has an anchor for about
-   every twenty bytes. Anchors travel packed, about seven bytes each, and the documents learn which
+   every seventeen bytes. Anchors travel packed, about seven bytes each, and the documents learn which
    of theirs another document has too. Anchors that meet in one packet need no answer, so a passage
    in very many documents is one entry for each packet.
 2. Only stretches of text around shared anchors move on, each to the shard of its anchor, so that
@@ -13,7 +13,7 @@ Sorting every suffix of a corpus would move many times its size, so an exact fil
 3. An anchor with one stretch alone needs no sort: its strings have the least id of that stretch. Of
    the others, a shard sorts the suffixes of its stretches by induced sorting (`induced.py`), in
    memory, and gives every string the least id it occurs with. One sort holds less than twice
-   `SHARD_BYTES` of text and the stretch that fills it, with its places and prefixes. An anchor of more stretches than that is
+   `SHARD_BYTES` of text and `SHARD_ROWS` stretches, with its places and prefixes. An anchor of more stretches than that is
    no group of its own: its strings are, each with the least id it occurs with.
 4. Places with a larger id than that are removed.
 """
@@ -21,6 +21,7 @@ Sorting every suffix of a corpus would move many times its size, so an exact fil
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -32,12 +33,14 @@ from lakequality.llm.induced import sorted_suffixes
 from lakequality.llm.tables import Scratch, add_columns, col, small, store
 
 LENGTH = 50
-GRAM = 16
+GRAM = 20  # longer ones are shared by chance less often; shorter ones make fewer anchors
 PACKET = 1 << 18  # anchors in one packet
 SHARD_BYTES = 6 << 20  # text of one suffix sort; a shard of more is sorted in several, cut between anchors
 ANCHOR_GROUPS = 1 << 16  # groups of anchors whose text is summed to find those of more than SHARD_BYTES
 PART_BYTES = 64 << 20  # text whose anchors meet in one part
 ANSWER_RANGES = 32  # ranges of hashes into which a part is cut while its anchors meet
+CHUNK_BYTES, CHUNK_TEXTS = 4 << 20, 1 << 15  # texts worked on at once, and their numbers beside an anchor in 64 bits
+SHARD_ROWS = 1 << 13  # stretches told apart by anchor at once
 PIECE = 1 << 18  # bytes of a text hashed at once
 LONGEST = 64  # places in one stretch
 _HASH_BITS = 48
@@ -56,16 +59,16 @@ def _least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
 
 def anchors(text: bytes | None, length: int = LENGTH) -> np.ndarray:
     """The anchor of every string of `length` bytes, in order of its start."""
-    data = words.as_bytes(text)
+    data, gram = words.as_bytes(text), min(GRAM, length)
     out = np.empty(max(0, len(data) - length + 1), dtype=np.uint64)
     # A string's hash depends on its bytes alone, so a long text is hashed in overlapping pieces.
     for first in range(0, len(out), PIECE):
         piece = data[first : first + PIECE + length - 1]
         sums = np.zeros(len(piece) + 1, dtype=np.uint64)
         np.cumsum((piece.astype(np.uint64) + np.uint64(1)) * words.powers(words.BASE, len(piece)), out=sums[1:])
-        count = len(piece) - GRAM + 1
-        grams = words.mix((sums[GRAM:] - sums[:count]) * words.powers(words.INVERSE, count))
-        out[first : first + PIECE] = _least_in_windows(grams, length - GRAM + 1) >> np.uint64(64 - _HASH_BITS)
+        count = len(piece) - gram + 1
+        grams = words.mix((sums[gram:] - sums[:count]) * words.powers(words.INVERSE, count))
+        out[first : first + PIECE] = _least_in_windows(grams, length - gram + 1) >> np.uint64(64 - _HASH_BITS)
     return out
 
 
@@ -91,18 +94,80 @@ def _unplaned(raw, width: int, first: int = 0, end: int | None = None) -> np.nda
     return out.reshape(-1).view("<u8").astype(np.uint64)
 
 
+def _chunks(texts: list[bytes | None]) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
+    """Texts joined to one of about CHUNK_BYTES: (first, end, joined, edges), where text k of them is edges[k] to edges[k + 1].
+
+    NumPy then works on many texts at once. A text of more bytes may be a chunk of its own.
+    """
+    first, held = 0, 0
+    for k, text in enumerate(texts):
+        size = len(text or b"")
+        if k > first and (held + size > CHUNK_BYTES or k - first == CHUNK_TEXTS):
+            yield _joined(texts, first, k)
+            first, held = k, 0
+        held += size
+    if first < len(texts):
+        yield _joined(texts, first, len(texts))
+
+
+def _joined(texts: list[bytes | None], first: int, end: int) -> tuple[int, int, bytes, np.ndarray]:
+    some = [text or b"" for text in texts[first:end]]
+    return first, end, b"".join(some), np.cumsum([0, *map(len, some)], dtype=np.int64)
+
+
+def _runs(found: np.ndarray, edges: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of strings with one anchor in the texts of a chunk: first string, end, and the text's number."""
+    ends = np.maximum(edges[1:] - length + 1, edges[:-1])  # strings from here on reach into the next text
+    new = np.ones(len(found) + 1, dtype=bool)
+    np.not_equal(found[1:], found[:-1], out=new[1:-1])
+    borders = np.concatenate((edges[:-1], ends))
+    new[borders[borders < len(found)]] = True
+    at = np.flatnonzero(new)
+    starts, stops = at[:-1], at[1:]
+    of = np.searchsorted(edges, starts, side="right") - 1
+    inside = starts < ends[of]
+    return starts[inside], stops[inside], of[inside]
+
+
+def _keys(of: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """A text's number in its chunk and an anchor as one integer."""
+    return of.astype(np.uint64) << np.uint64(_HASH_BITS) | hashes.astype(np.uint64)
+
+
+def _bytes(column) -> tuple[np.ndarray, np.ndarray]:
+    """Where the values of an Arrow column of bytes begin and the last ends, and all their bytes."""
+    import pyarrow as pa
+
+    column = (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).cast(pa.large_binary())
+    if not len(column):
+        return np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.uint8)
+    _, edges, data = column.buffers()
+    edges = np.frombuffer(edges, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(data or b"", dtype=np.uint8)[edges[0] : edges[-1]]
+    return edges - edges[0], data
+
+
+def _binary(edges: np.ndarray, data: np.ndarray):
+    """The Arrow column of bytes that `_bytes` takes apart."""
+    import pyarrow as pa
+
+    parts = [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, parts)
+
+
 def _packets(parts, n_parts: int, length: int):
     """Packed anchors by part: (part, known, rows, places, hashes)."""
     import pyarrow as pa
 
-    waiting: list[tuple[int, np.ndarray]] = []
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
     held = 0
 
     def flush():
-        rows = np.array([row for row, _ in waiting], dtype=np.int64)
-        at = np.repeat(np.arange(len(waiting), dtype=np.uint64), [len(h) for _, h in waiting])
-        hashes = np.concatenate([h for _, h in waiting])
-        order = np.argsort(hashes, kind="stable")
+        rows = np.concatenate([r for r, _ in waiting])
+        before = np.cumsum([0, *(len(r) for r, _ in waiting)], dtype=np.uint64)
+        at = np.concatenate([(k >> np.uint64(_HASH_BITS)) + n for (_, k), n in zip(waiting, before, strict=False)])
+        hashes = np.concatenate([k for _, k in waiting]) & np.uint64((1 << _HASH_BITS) - 1)
+        order = np.argsort(hashes)
         at, hashes = at[order], hashes[order]
         same = np.zeros(len(hashes) + 1, dtype=bool)
         same[1:-1] = hashes[1:] == hashes[:-1]
@@ -132,11 +197,15 @@ def _packets(parts, n_parts: int, length: int):
             )
 
     for part in parts:
-        for row, text in zip(part.column(0).to_pylist(), words.texts(part.column(1)), strict=True):
-            found = np.unique(anchors(text, length))
-            if len(found):
-                waiting.append((row, found))
-                held += len(found)
+        rows = part.column(0).to_numpy()
+        for first, end, text, edges in _chunks(words.texts(part.column(1))):
+            found = anchors(text, length)
+            starts, _, of = _runs(found, edges, length)
+            keys = np.sort(_keys(of, found[starts]))
+            if len(keys):
+                keys = keys[np.concatenate(([True], keys[1:] != keys[:-1]))]
+                waiting.append((rows[first:end], keys))
+                held += len(keys)
                 if held >= PACKET:
                     yield from flush()
                     waiting, held = [], 0
@@ -197,89 +266,92 @@ def _answers(parts, n_parts: int):
 
 
 def _stretches(parts, length: int):
-    """Text around shared anchors, each once for a batch, and where it stands.
+    """Text around shared anchors, each once for a chunk, and where it stands.
 
     Rows with `said` hold a stretch with the least and largest id of its places; rows without hold
     one place. Columns: anchor, name, said, least, most, row, id, at.
     """
     import pyarrow as pa
 
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
     names = ["anchor", "name", "said", "least", "most", "row", "id", "at"]
     for part in parts:
-        held: dict[tuple[int, int], list] = {}
-        places: list[list[np.ndarray]] = []
-        for row, id_, text, hashes in zip(
-            part.column(0).to_pylist(), part.column(1).to_pylist(), words.texts(part.column(2)), part.column(3).to_pylist(), strict=True
-        ):
+        rows, ids = part.column(0).to_numpy(), part.column(1).to_numpy()
+        lists = part.column(3)
+        asked, cuts = lists.values.to_numpy(), lists.offsets.to_numpy()
+        for first, end, text, edges in _chunks(words.texts(part.column(2))):
             found = anchors(text, length)
             # Runs of strings with one anchor that is shared, cut to a bounded length.
-            change = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1], [True])))
-            wanted = np.isin(found[change[:-1]], np.array(hashes, dtype=np.uint64))
-            starts, stops = change[:-1][wanted], change[1:][wanted]
+            starts, stops, of = _runs(found, edges, length)
+            shared = np.repeat(np.arange(end - first), np.diff(cuts[first : end + 1]))
+            shared = np.sort(_keys(shared, asked[cuts[first] : cuts[end]]))
+            keys = _keys(of, found[starts])
+            wanted = np.append(shared, ~np.uint64(0))[np.searchsorted(shared, keys)] == keys
+            starts, stops, of = starts[wanted], stops[wanted], of[wanted]
             pieces = -(-(stops - starts) // LONGEST)
             nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
             starts = np.repeat(starts, pieces) + nth * LONGEST
             ends = np.minimum(starts + LONGEST, np.repeat(stops, pieces)) - 1 + length
             if not len(starts):
                 continue
-            name = _names(text, starts, ends)
-            anchor = found[starts].astype(np.int64)
-            for a, n, s, e in zip(anchor.tolist(), name.tolist(), starts.tolist(), ends.tolist(), strict=True):
-                one = held.get((a, n))
-                if one is None:
-                    held[(a, n)] = [text[s:e], id_, id_]
-                elif id_ < one[1]:
-                    one[1] = id_
-                elif id_ > one[2]:
-                    one[2] = id_
-            places.append([anchor, name, np.full(len(starts), row), np.full(len(starts), id_), starts])
-        if not held:
-            continue
-        said = list(held.values())
-        for first in range(0, len(said), 10000):
-            some = said[first : first + 10000]
-            keys = list(held)[first : first + 10000]
-            nothing = [None] * len(some)
-            columns = [[a for a, _ in keys], [n for _, n in keys], *([s[k] for s in some] for k in range(3)), nothing, nothing, nothing]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-        anchor, name, row, id_, at = (np.concatenate([p[k] for p in places]) for k in range(5))
-        for first in range(0, len(anchor), 10000):
-            cut = slice(first, first + 10000)
-            size = len(anchor[cut])
-            columns = [pa.array(anchor[cut]), pa.array(name[cut]), pa.nulls(size, kinds[2]), pa.nulls(size, kinds[3]), pa.nulls(size, kinds[4]),
-                       pa.array(row[cut]), pa.array(id_[cut]), pa.array(at[cut].astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-
-def _sort_shard(said: list[bytes], least: list[int], most: list[int], length: int):
+            of = np.repeat(of, pieces)
+            name, anchor, id_ = _names(text, starts, ends), found[starts].astype(np.int64), ids[first:end][of]
+            # Equal stretches are one row, in the order of the text, where neighbours overlap and compress.
+            order = np.argsort(name, kind="stable")
+            differ = (name[order][1:] != name[order][:-1]) | (anchor[order][1:] != anchor[order][:-1])
+            heads = np.concatenate(([0], np.flatnonzero(differ) + 1))
+            by_text = np.argsort(order[heads])
+            once = order[heads][by_text]
+            least, most = np.minimum.reduceat(id_[order], heads)[by_text], np.maximum.reduceat(id_[order], heads)[by_text]
+            data = words.as_bytes(text)
+            for k in range(0, len(once), 10000):
+                cut, some = slice(k, k + 10000), once[k : k + 10000]
+                sizes = ends[some] - starts[some]
+                at = np.append(0, np.cumsum(sizes))
+                said = _binary(at, data[np.repeat(starts[some] - at[:-1], sizes) + np.arange(at[-1])])
+                columns = [pa.array(anchor[some]), pa.array(name[some]), said, pa.array(least[cut]), pa.array(most[cut])]
+                nothing = [pa.nulls(len(some), kind) for kind in (pa.int64(), pa.int64(), pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns + nothing, names=names)
+            row, at = rows[first:end][of], (starts - edges[of]).astype(np.int32)
+            for k in range(0, len(starts), 10000):
+                cut = slice(k, k + 10000)
+                nothing = [pa.nulls(len(at[cut]), kind) for kind in (pa.binary(), pa.int64(), pa.int64())]
+                columns = [pa.array(anchor[cut]), pa.array(name[cut]), *nothing, pa.array(row[cut]), pa.array(id_[cut]), pa.array(at[cut])]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def _sort_shard(said, least: np.ndarray, most: np.ndarray, length: int):
     """For each stretch the runs of its strings: first, last, and the least id each occurs with."""
-    sizes = np.array([len(s) for s in said], dtype=np.int64)
-    first = np.cumsum(sizes + 1) - sizes - 1
+    edges, data = _bytes(said)
+    sizes = np.diff(edges)
+    first = edges[:-1] + np.arange(len(sizes))
     # UTF-8 has no byte 255, so bytes move up by one and zero ends a stretch.
-    text = np.frombuffer(b"\xff".join([*said, b""]), dtype=np.uint8) + np.uint8(1)
-    owner = np.array(least, dtype=np.int64)
-    of = np.repeat(np.arange(len(said), dtype=np.int32), sizes + 1)
-    lasts = first + sizes - length
+    text = np.zeros(len(data) + len(sizes), dtype=np.uint8)
+    body = np.ones(len(text), dtype=bool)
+    body[first + sizes] = False
+    text[body] = data + np.uint8(1)
+    of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)
+    # Of each stretch the places where a whole string starts; the others and the separator are `length`.
+    counts = np.column_stack((sizes - length + 1, np.full(len(sizes), length))).ravel()
+    whole = np.repeat(np.tile([True, False], len(sizes)), counts)
     places, groups, group = [], [], 0
     for place, common in sorted_suffixes(text, length):
         number = group + np.cumsum(common < length)
         group = int(number[-1])
-        whole = place <= lasts[of[place]]
-        places.append(place[whole])
-        groups.append(number[whole])
+        take = whole[place]
+        places.append(place[take])
+        groups.append(number[take])
     places, groups = np.concatenate(places), np.concatenate(groups)
     heads = np.concatenate(([0], np.flatnonzero(groups[1:] != groups[:-1]) + 1))
-    smallest = np.minimum.reduceat(owner[of[places]], heads)
+    smallest = np.minimum.reduceat(least[of[places]], heads)
     best = np.empty(len(text), dtype=np.int64)
     best[places] = np.repeat(smallest, np.diff(np.append(heads, len(places))))
-    order = np.sort(places)
+    order = np.flatnonzero(whole)
     # Runs of neighbouring strings of a stretch with one least id.
     cut = np.concatenate(([True], (of[order][1:] != of[order][:-1]) | (best[order][1:] != best[order][:-1])))
     begin = order[cut]
     end = order[np.append(np.flatnonzero(cut)[1:], len(order)) - 1]
     whose, least_id = of[begin], best[begin]
-    useful = least_id < np.array(most, dtype=np.int64)[whose]
+    useful = least_id < most[whose]
     return whose[useful], (begin - first[whose])[useful], (end - first[whose])[useful], least_id[useful]
 
 
@@ -287,48 +359,52 @@ def _shards(parts, length: int):
     """Sorted stretches in, (anchor, name, first, last, least) out."""
     import pyarrow as pa
 
-    def flush(rows):
-        whose, begin, end, least = _sort_shard([r[2] for r in rows], [r[3] for r in rows], [r[4] for r in rows], length)
-        anchor = np.array([r[0] for r in rows], dtype=np.int64)[whose]
-        name = np.array([r[1] for r in rows], dtype=np.int64)[whose]
-        for k in range(0, len(whose), 10000):
-            cut = slice(k, k + 10000)
+    def ranges(anchor, name, first, last, least):
+        columns = [anchor, name, first.astype(np.int32), last.astype(np.int32), least]
+        for k in range(0, len(anchor), 10000):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor[cut]), pa.array(name[cut]), pa.array(begin[cut].astype(np.int32)), pa.array(end[cut].astype(np.int32)), pa.array(least[cut])],
-                names=["anchor", "name", "first", "last", "least_id"],
+                [pa.array(c[k : k + 10000]) for c in columns], names=["anchor", "name", "first", "last", "least_id"]
             )
 
-    def ranges(rows):
-        anchor, name, first, last, least = zip(*rows, strict=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(anchor, pa.int64()), pa.array(name, pa.int64()), pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(least, pa.int64())],
-            names=["anchor", "name", "first", "last", "least_id"],
-        )
+    def flush(tables):
+        rows = pa.concat_tables(tables).combine_chunks()
+        anchor, name, least, most = (rows.column(c).to_numpy() for c in ("anchor", "name", "least", "most"))
+        whose, begin, end, least = _sort_shard(rows.column("said"), least, most, length)
+        return ranges(anchor[whose], name[whose], begin, end, least)
 
-    rows, held, group, alone = [], 0, [], []
+    waiting, n_waiting, rows, held, alone, n_alone = [], 0, [], 0, [], 0
     for part in itertools.chain(parts, [None]):
-        for one in [None] if part is None else zip(*(c.to_pylist() for c in part.columns), strict=True):
-            if group and (one is None or one[0] != group[0][0]):
-                if len(group) > 1:
-                    rows += group
-                    held += sum(len(r[2]) for r in group)
-                else:
-                    # The only stretch of its anchor: its strings occur nowhere else, so nothing is to sort.
-                    anchor, name, said, least, most = group[0]
-                    if least < most:
-                        alone.append((anchor, name, 0, len(said) - length, least))
-                group = []
-                if held >= SHARD_BYTES:
-                    yield from flush(rows)
-                    rows, held = [], 0
-                if len(alone) >= 10000:
-                    yield ranges(alone)
-                    alone = []
-            group.append(one)
-    if rows:
-        yield from flush(rows)
-    if alone:
-        yield ranges(alone)
+        if part is not None:
+            waiting.append(pa.Table.from_batches([part]))
+            n_waiting += part.num_rows
+            if n_waiting < SHARD_ROWS:
+                continue
+        some = pa.concat_tables(waiting).combine_chunks() if waiting else None
+        waiting, n_waiting = [], 0
+        if some is not None and len(some):
+            anchor = some.column("anchor").to_numpy()
+            cut = np.concatenate(([0], np.flatnonzero(anchor[1:] != anchor[:-1]) + 1, [len(anchor)]))
+            if part is not None:  # the last anchor may go on
+                waiting, cut = [some.slice(cut[-2])], cut[:-1]
+            several = np.repeat(np.diff(cut) > 1, np.diff(cut))
+            some = some.slice(0, cut[-1])
+            more = some.filter(pa.array(several))
+            if len(more):
+                rows.append(more)
+                held += len(_bytes(more.column("said"))[1])
+            # The only stretch of its anchor: its strings occur nowhere else, so nothing is to sort.
+            one = some.filter(pa.array(~several))
+            anchor, name, least, most = (one.column(c).to_numpy() for c in ("anchor", "name", "least", "most"))
+            take = least < most
+            size = np.diff(_bytes(one.column("said"))[0])
+            alone.append([c[take] for c in (anchor, name, np.zeros(len(take)), size - length, least)])
+            n_alone += int(take.sum())
+        if rows and (held >= SHARD_BYTES or part is None):
+            yield from flush(rows)
+            rows, held = [], 0
+        if n_alone >= 10000 or (part is None and n_alone):
+            yield from ranges(*map(np.concatenate, zip(*alone, strict=True)))
+            alone, n_alone = [], 0
 
 
 def _heavy(said: DataFrame, limit: int) -> DataFrame | None:
@@ -447,18 +523,35 @@ def remove_repeats(
     joined = rows.join(spans.select(F.col("row").alias("__row"), F.col("spans").alias("__spans")), "__row", "left")
 
     def compute(texts, found):
-        out = []
-        for text, spans in zip(words.texts(texts), found.to_pylist(), strict=True):
-            runs: list[list[int]] = []
-            for a, b in sorted((s["start"], s["end"]) for s in spans or ()):
-                if runs and a <= runs[-1][1]:
-                    runs[-1][1] = max(b, runs[-1][1])
-                else:
-                    runs.append([a, b])
-            edges = [0, *(x for run in runs for x in run), len(text)]
-            kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-            out.append((len(text), [{"start": a, "end": b} for a, b in runs], kept))
-        return list(zip(*out, strict=True)) if out else [[], [], []]
+        import pyarrow as pa
+
+        edges, data = _bytes(texts)
+        # A place for the end of each text keeps ranges of neighbouring texts apart.
+        places = edges[:-1] + np.arange(len(texts))
+        cuts = found.offsets.to_numpy()
+        spans = found.values.slice(cuts[0], cuts[-1] - cuts[0])
+        shift = np.repeat(places, np.diff(cuts))
+        starts, ends = (spans.field(k).to_numpy().astype(np.int64) + shift for k in (0, 1))
+        order = np.argsort(starts)
+        starts, ends = starts[order], np.maximum.accumulate(ends[order])
+        # Maximal runs: ranges that overlap or touch are one.
+        new = np.flatnonzero(starts[1:] > ends[:-1]) + 1
+        heads, lasts = np.append(0, new)[: len(order)], np.append(new, len(order))[: len(order)] - 1
+        starts, ends = starts[heads], ends[lasts]
+        of = np.searchsorted(places, starts, side="right") - 1
+        turns = np.zeros(len(data) + 1, dtype=np.int8)
+        turns[starts - of] += 1
+        turns[ends - of] -= 1
+        kept = np.cumsum(turns[:-1], dtype=np.int8) == 0
+        gone = np.bincount(of, ends - starts, len(texts)).astype(np.int64)
+        sizes = np.diff(edges)
+        removed = pa.StructArray.from_arrays([pa.array((x - places[of]).astype(np.int32)) for x in (starts, ends)], ["start", "end"])
+        bounds = np.searchsorted(of, np.arange(len(texts) + 1)).astype(np.int32)
+        return [
+            pa.array(sizes),
+            pa.ListArray.from_arrays(pa.array(bounds), removed),
+            _binary(np.concatenate(([0], np.cumsum(sizes - gone))), data[kept]),
+        ]
 
     return add_columns(joined, "n_bytes long, removed array<struct<start:int,end:int>>, kept binary", ["__text", "__spans"], compute, passed)
 

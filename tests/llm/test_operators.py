@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -312,6 +313,76 @@ def test_heavy_anchors_are_cut_by_strings(spark):
     assert want and removed(heavy_bytes=200) == want and removed(heavy_bytes=0) == want
 
 
+def test_suffix_steps_work_on_many_texts_at_once(monkeypatch):
+    """Python calls of the steps don't grow with the texts, and chunks of any size give the same."""
+    rng = random.Random(6)
+    said = ["".join(rng.choice("abcdé ") for _ in range(90)).encode() for _ in range(40)]
+
+    def steps(n):
+        texts = [None, b"", b"short"] + [b"".join(rng.choice(said) + bytes([97 + k % 26]) for _ in range(5)) for k in range(n)]
+        rows = pa.array(range(len(texts)))
+        calls = Counter()
+
+        def counted(step, parts):
+            sys.setprofile(lambda frame, event, arg: calls.update([step.__name__] if event == "call" else []))
+            try:
+                return list(step(parts, 50))
+            finally:
+                sys.setprofile(None)
+
+        def packets(parts, length):
+            return suffixes._packets(parts, 1, length)
+
+        counted(packets, [pa.RecordBatch.from_arrays([rows, pa.array(texts, pa.binary())], names=["row", "text"])])
+        hashes = [suffixes.anchors(t).astype(np.int64).tolist() for t in texts]
+        batch = pa.RecordBatch.from_arrays([rows, rows, pa.array(texts, pa.binary()), pa.array(hashes, pa.list_(pa.int64()))], names=["row", "id", "text", "hashes"])
+        found = [r for b in counted(suffixes._stretches, [batch]) for r in b.to_pylist()]
+        assert all(texts[r["row"]] for r in found if r["said"] is None)
+        held = {}
+        for r in found:
+            if r["said"] is not None:
+                one = held.setdefault((r["anchor"], r["name"]), [r["said"], r["least"], r["most"]])
+                assert one[0] == r["said"]
+                one[1:] = min(one[1], r["least"]), max(one[2], r["most"])
+        stretches = sorted((*k, *v) for k, v in held.items())
+        names = ["anchor", "name", "said", "least", "most"]
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+        parts = [
+            pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*stretches[a : a + 50], strict=True), kinds, strict=True)], names=names)
+            for a in range(0, len(stretches), 50)
+        ]
+        ranges = {(r["anchor"], r["name"]): [] for b in counted(suffixes._shards, parts) for r in b.to_pylist()}
+        for b in suffixes._shards(parts, 50):
+            for r in b.to_pylist():
+                ranges[r["anchor"], r["name"]].append((r["first"], r["last"], r["least_id"]))
+        gone = {}
+        for r in found:
+            for a, b, least in ranges.get((r["anchor"], r["name"]), ()) if r["said"] is None else ():
+                if least < r["id"]:
+                    gone.setdefault(r["row"], set()).update(range(r["at"] + a, r["at"] + b + 50))
+        first, want = {}, {}
+        for k, text in enumerate(texts):
+            for at in range(len(text or b"") - 49):
+                if first.setdefault(text[at : at + 50], k) < k:
+                    want.setdefault(k, set()).update(range(at, at + 50))
+        assert gone == want and want
+        return calls
+
+    few, many = steps(60), steps(600)
+    assert many["packets"] < 2 * few["packets"] and many["_stretches"] < 2 * few["_stretches"]
+    for setting, value in (("CHUNK_BYTES", 700), ("CHUNK_TEXTS", 7), ("SHARD_ROWS", 60), ("SHARD_BYTES", 2000)):
+        monkeypatch.setattr(suffixes, setting, value)
+        steps(60)
+
+
+def test_repeats_of_fewer_bytes_than_an_anchor(spark):
+    rows = [(1, "abcdefghijkl one"), (2, "two abcdefghij-"), (3, None), (4, "abcdefghi"), (5, "zabcdefghijk")]
+    out = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), length=10).collect()
+    assert {r.doc_id: bytes(r.kept) for r in out} == {1: b"abcdefghijkl one", 2: b"two -", 3: b"", 4: b"abcdefghi", 5: b"z"}
+    assert {r.doc_id: r.n_bytes for r in out} == {1: 16, 2: 15, 3: 0, 4: 9, 5: 12}
+    assert [tuple(s) for r in out if r.doc_id == 5 for s in r.removed] == [(1, 12)]
+
+
 def test_line_edits_at_every_window(spark):
     """Every kind of edit, at ends, at window borders and between, in lines of many lengths, is found."""
     rng = random.Random(5)
